@@ -33,8 +33,11 @@ def random_key() -> Column:
 
 def epoch_micros(timestamp_ntz: Column) -> Column:
     """Microseconds since 1970 of a zone-less timestamp, whatever the session time zone is."""
-    since = timestamp_ntz - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return (since.cast("interval second").cast("decimal(20,6)") * 1_000_000).cast("bigint")
+    days = F.unix_date(timestamp_ntz.cast("date")).cast("bigint")
+    minutes = (F.hour(timestamp_ntz) * 60 + F.minute(timestamp_ntz)).cast("bigint")
+    seconds = F.extract(F.lit("SECOND"), timestamp_ntz).cast("decimal(8,6)")
+    micros = (seconds * F.lit(1_000_000).cast("decimal(7,0)")).cast("bigint")
+    return days * 86_400_000_000 + minutes * 60_000_000 + micros
 
 
 def epoch_millis(timestamp_ntz: Column) -> Column:

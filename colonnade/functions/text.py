@@ -32,9 +32,9 @@ def parse_lines(lines: DataFrame, fields: list[str], separator: str = ",", stric
     return lines.select("*", *named, reject.alias("reject"))
 
 
-def words(text: Column) -> Column:
-    """One row per word: split on a single space only, empty words dropped."""
-    return F.explode(F.filter(F.split(text, " "), lambda word: word != ""))
+def words(texts: DataFrame, text: str = "value") -> DataFrame:
+    """One row ``word`` per word: split on a single space only, empty words dropped."""
+    return texts.select(F.explode(F.split(text, " ")).alias("word")).filter(F.col("word") != "")
 
 
 def render_cell(with_family: bool = True) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colonnade.operators.scan import key_between
+
 
 def clip_ranges(bounds: list[tuple[str, str]], start: str = "", stop: str = "") -> list[tuple[str, str]]:
     """The overlap of each ``[low, high)`` with ``[start, stop)``, without the empty ones; '' is open.
@@ -49,7 +51,7 @@ def key_range_stats(spark: SparkSession, cells: DataFrame, bounds: list[tuple[st
     key = F.col("row_key")
     place = _count_not_above([low for low, _ in ranges], key)
     stops = F.array(*[F.lit(high) for _, high in ranges])
-    per_row = cells.groupBy("row_key").agg(F.count(F.lit(1)).alias("n"))
+    per_row = cells.filter(key_between(start, stop)).groupBy("row_key").agg(F.count(F.lit(1)).alias("n"))
     placed = per_row.withColumn("range_no", place).withColumn("high", F.get(stops, F.col("range_no") - 1))
     counted = (
         placed.filter((F.col("range_no") > 0) & ((F.col("high") == "") | (key < F.col("high"))))

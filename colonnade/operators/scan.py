@@ -63,6 +63,9 @@ def get_row(table: DataFrame, row_key: str | bytes) -> DataFrame:
 
 
 def get_rows(table: DataFrame, keys: DataFrame) -> DataFrame:
-    """All cells of the rows whose keys are listed in ``keys.row_key``, a set of any size."""
+    """All cells of the rows whose keys are listed in ``keys.row_key``, a set of any size.
+
+    Repeated keys are dropped before the shuffle, so a key listed very often costs one line per task.
+    """
     cells = resolve_latest(table) if "op" in table.columns else table
-    return cells.join(keys.select("row_key"), "row_key", "left_semi")
+    return cells.join(keys.select("row_key").distinct(), "row_key", "left_semi")

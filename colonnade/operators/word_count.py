@@ -12,8 +12,7 @@ from colonnade.operators.scan import scan
 
 def word_count(table: DataFrame, column: str = "content:info") -> DataFrame:
     """``(word, n)`` over one column of a table; counts start inside each task, so a common word is no hot key."""
-    text = scan(table, columns=[column])
-    return text.select(words(F.col("value")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return words(scan(table, columns=[column])).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def word_count_cells(table: DataFrame, column: str = "content:info", target: str = "content:info") -> DataFrame:

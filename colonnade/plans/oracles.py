@@ -194,6 +194,9 @@ ORACLES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY key ORDER BY ts DESC, event_id DESC) = 1)
       SELECT key AS row_key, 'cf1' AS family, 'name' AS qualifier, name AS value FROM kept
       UNION ALL SELECT key, 'cf1', 'age', age FROM kept""",
+    "stream_rejects": f"""{LINES} SELECT CASE event_type WHEN 'error' THEN key || ',' || name
+      ELSE key || ',' || name || ',' END AS line, 'too few fields' AS reject, ts, event_id AS seq
+      FROM lines WHERE event_type IN ('error', 'view')""",
     "stream_latest": f"{LOG} SELECT * FROM newest",
     "stream_raw_append": f"""SELECT lpad(CAST({MILLIS} AS VARCHAR), 19, '0') || '-' ||
       lpad(CAST(event_id AS VARCHAR), 19, '0') AS row_key, 'cf1' AS family, 'name' AS qualifier, props AS value

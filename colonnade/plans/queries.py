@@ -443,7 +443,16 @@ def stream_upsert(spark, sf_dir):
     lines = inputs.event_lines(inputs.load_stream(spark, sf_dir, "events"))
     columns = ["cf1:name", "cf1:age"]
     sinks.upsert_stream(lines, columns, path, scratch_dir(spark, "offsets"), interval=None).awaitTermination()
-    return plain(mut.resolve_latest(sinks.read_batches(spark, f"{path}/cells")))
+    return plain(mut.resolve_latest(sinks.read_upserts(spark, path)))
+
+
+@query
+def stream_rejects(spark, sf_dir):
+    path = scratch_dir(spark, "stream")
+    lines = inputs.event_lines(inputs.load_stream(spark, sf_dir, "events"))
+    offsets = scratch_dir(spark, "offsets")
+    sinks.upsert_stream(lines, ["cf1:name", "cf1:age"], path, offsets, interval=None).awaitTermination()
+    return sinks.read_rejects(spark, path)
 
 
 @query

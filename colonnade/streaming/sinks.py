@@ -9,19 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from colonnade.functions.keys import time_key_text
 from colonnade.functions.text import parse_lines
-from colonnade.model import LOG_COLUMNS, LOG_SCHEMA, split_column
+from colonnade.model import LOG_COLUMNS, LOG_SCHEMA, PUT, split_column
 from colonnade.operators.cells import join_values, wide_to_cells
+from colonnade.operators.filters import KeyPrefix
 from colonnade.operators.mutations import put
 from colonnade.operators.scan import scan
 
-REJECT_SCHEMA = T.StructType([T.StructField("line", T.StringType()), T.StructField("reject", T.StringType())])
+UPSERT_SCHEMA = T.StructType([*LOG_SCHEMA.fields, T.StructField("reject", T.StringType())])
 JOINED_SCHEMA = T.StructType([T.StructField("row_key", T.StringType()), T.StructField("value", T.StringType())])
 
 
@@ -62,28 +63,45 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType = LOG_SCHE
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def _cell(family: str | None, qualifier: str | None, value: Column) -> Column:
+    names = [F.lit(part).cast("string").alias(name) for part, name in ((family, "family"), (qualifier, "qualifier"))]
+    return F.struct(*names, value.alias("value"))
+
+
 def upsert_stream(stream: DataFrame, columns: list[str], path: str, checkpoint: str, separator: str = ",",
                   interval: str | None = "5 seconds") -> StreamingQuery:
     """Delimited records (``value, ts, seq``): the first field is the row key, the others the columns.
 
-    Puts go to ``<path>/cells``, lines with too few fields to ``<path>/rejects``. Read the first through
-    ``resolve_latest``: the newest version wins however late a record arrives, and no state is kept.
+    Puts and rejected lines are written side by side in one pass over the batch. Read them with
+    ``read_upserts``, through ``resolve_latest``, and ``read_rejects``: the newest version wins however late
+    a record arrives, and no state is kept.
     """
-    fields = ["row_key", *columns]
+    parsed = parse_lines(stream, ["row_key", *columns], separator)
+    good = F.col("reject").isNull()
+    puts = F.array(*[_cell(*split_column(name), F.col(f"`{name}`")) for name in columns])
+    # A rejected line becomes one entry without coordinates that holds the line itself.
+    refused = F.array(_cell(None, None, F.col("value")))
+    log = parsed.select(
+        F.when(good, F.col("row_key")).alias("row_key"), "ts", "seq", "reject", (~good).alias("rejected"),
+        F.explode(F.when(good, puts).otherwise(refused)).alias("cell"),
+    ).select("row_key", "cell.*", "ts", "seq", F.lit(PUT).alias("op"), "reject", "rejected")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_lines(batch, fields, separator).persist()
-        good = parsed.filter(F.col("reject").isNull())
-        values = {name: F.col(f"`{name}`") for name in columns}
-        cells = wide_to_cells(good, F.col("row_key"), values, F.col("ts"), F.col("seq"))
-        _write_batch(put(cells), f"{path}/cells", batch_id)
-        bad = parsed.filter(F.col("reject").isNotNull())
-        _write_batch(bad.select(F.col("value").alias("line"), "reject"), f"{path}/rejects", batch_id)
-        parsed.unpersist()
-
-    for name in columns:
-        split_column(name)
-    return _start(stream, write, checkpoint, interval)
+        batch.write.partitionBy("rejected").mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return _start(log, write, checkpoint, interval)
+
+
+def _read_upserts(spark: SparkSession, path: str, rejected: bool) -> DataFrame:
+    return spark.read.schema(UPSERT_SCHEMA).parquet(path).filter(F.col("rejected") == rejected)
+
+
+def read_upserts(spark: SparkSession, path: str) -> DataFrame:
+    return _read_upserts(spark, path, False).select(*LOG_COLUMNS)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return _read_upserts(spark, path, True).select(F.col("value").alias("line"), "reject", "ts", "seq")
 
 
 def raw_append_stream(stream: DataFrame, path: str, checkpoint: str, column: str = "cf1:name",
@@ -130,8 +148,8 @@ def scan_stream(spark: SparkSession, table_path: str, schema: T.StructType, path
     wanted = [c for c in LOG_COLUMNS if c in schema.names]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        cells = batch.select(*wanted).filter(F.col("row_key").startswith(prefix))
-        joined = join_values(scan(cells, start, stop, columns), separator)
+        where = KeyPrefix(prefix) if prefix else None
+        joined = join_values(scan(batch.select(*wanted), start, stop, columns, where), separator)
         _write_batch(joined, path, batch_id)
 
     return _start(table, write, checkpoint, interval=None)

@@ -1,0 +1,161 @@
+"""Named tables, connectors, text sources and indexes."""
+
+import os
+
+import pytest
+from conftest import cell_set, log_frame
+from pyspark.sql import functions as F
+
+from colonnade import session
+from colonnade.operators import mutations as mut
+from colonnade.operators.cells import cells_from_maps
+from colonnade.operators.index import build_index, lookup_covered, lookup_rows
+from colonnade.sources import tables
+from colonnade.sources.text import log_cells, read_delimited, read_log
+
+
+def rows(*cells):
+    return [dict(zip(("rowKey", "columnFamily", "columnName", "columnValue"), c)) for c in cells]
+
+
+@pytest.fixture
+def table(spark):
+    name = "people"
+    tables.recreate_table(spark, name, ["info", "geo"])
+    yield name
+    tables.drop_table(spark, name)
+
+
+def test_create_is_a_no_op_on_an_existing_table(spark, table):
+    tables.append_cells(cells_from_maps(spark, rows(("1", "info", "name", "ann"))), table)
+    assert tables.create_table(spark, table, ["other"]) is False
+    assert tables.table_families(spark, table) == ["info", "geo"]
+    assert spark.table(table).count() == 1
+
+
+def test_drop_and_recreate_empties_only_this_table(spark, table):
+    tables.create_table(spark, "second", ["f"])
+    tables.append_cells(cells_from_maps(spark, rows(("1", "f", "q", "x"))), "second")
+    tables.append_cells(cells_from_maps(spark, rows(("1", "info", "name", "ann"))), table)
+    tables.recreate_table(spark, table, ["info"])
+    assert spark.table(table).count() == 0 and spark.table("second").count() == 1
+    assert tables.drop_table(spark, "second") is True
+    assert tables.drop_table(spark, "second") is False
+
+
+def test_undeclared_family_and_empty_key_fail_the_write(spark, table):
+    with pytest.raises(Exception, match="no such column family: nope"):
+        tables.append_cells(cells_from_maps(spark, rows(("1", "nope", "q", "x"))), table)
+    with pytest.raises(Exception, match="row key must not be empty"):
+        tables.append_cells(cells_from_maps(spark, rows(("", "info", "q", "x"))), table)
+    with pytest.raises(ValueError):
+        tables.create_table(spark, "bad", ["a:b"])
+    assert spark.table(table).count() == 0
+
+
+def test_markers_need_no_family(spark, table):
+    key = spark.createDataFrame([("1", 5, 0)], "row_key string, ts bigint, seq bigint")
+    tables.append_cells(cells_from_maps(spark, rows(("1", "info", "name", "ann"))), table)
+    tables.append_log(mut.delete_rows(key), table)
+    assert cell_set(mut.resolve_latest(spark.table(table))) == []
+
+
+def test_compaction_keeps_the_visible_cells(spark, tmp_path):
+    name, location = "compacted", str(tmp_path / "t")
+    tables.create_table(spark, name, ["a"], location)
+    log = log_frame(spark, [
+        ("r1", "a", "x", 1, 0, "put", "old"), ("r1", "a", "x", 2, 0, "put", "new"), ("r2", "a", "y", 1, 0, "put", "v"),
+        ("r2", None, None, 2, 0, "delete_row", None), ("r0", "a", "z", 1, 0, "put", "w")])
+    tables.append_log(log, name)
+    before = spark.table(name)
+    shown = cell_set(mut.resolve_latest(before))
+    first = tables.compact_table(spark, name, partitions=2)
+    assert spark.table(name).count() == 2
+    assert cell_set(mut.resolve_latest(spark.table(name))) == shown == [("r0", "a", "z", "w"), ("r1", "a", "x", "new")]
+    # The old files are still there for readers that started before.
+    assert spark.read.parquet(location).count() == 5
+    tables.append_cells(cells_from_maps(spark, rows(("r3", "a", "x", "later"))), name)
+    second = tables.compact_table(spark, name)
+    assert os.path.dirname(first) == os.path.dirname(second) and first != second
+    assert len(cell_set(mut.resolve_latest(spark.table(name)))) == 3
+    tables.drop_table(spark, name)
+
+
+def test_connector_by_name(spark, tmp_path):
+    options = {"path": str(tmp_path / "orc")}
+    frame = spark.createDataFrame([("1", "hello", "25"), ("2", "world", "26")], "id string, name string, age string")
+    tables.write_table(frame, "orc", options)
+    tables.write_table(frame, "orc", options)
+    assert sorted(map(tuple, tables.read_table(spark, "orc", options).collect())) == sorted(map(tuple, frame.collect()))
+
+
+def test_jdbc_options():
+    plain = tables.jdbc_options("jdbc:x:y", '"people"', driver="some.Driver")
+    assert plain == {"url": "jdbc:x:y", "dbtable": '"people"', "driver": "some.Driver"}
+    split = tables.jdbc_options("jdbc:x:y", "t", "id", 0, 1000, 16)
+    assert split["partitionColumn"] == "id" and split["numPartitions"] == "16" and split["lowerBound"] == "0"
+    with pytest.raises(ValueError):
+        tables.jdbc_options("jdbc:x:y", "t", "id", 0)
+
+
+def test_upsert_by_primary_key(spark):
+    base = spark.createDataFrame([("1", "hello", "25", 0, 0), ("2", "world", "26", 0, 1)],
+                                 "id string, name string, age string, ts int, seq int")
+    change = spark.createDataFrame([("1", "27", 1, 0), ("3", "5", 1, 1), ("1", "28", 2, 0)],
+                                   "id string, age string, ts int, seq int")
+    got = sorted(map(tuple, tables.upsert(base, change, "id").collect()))
+    assert got == [("1", "hello", "28"), ("2", "world", "26"), ("3", None, "5")]
+    again = tables.upsert(base, base, "id")
+    assert again.count() == 2
+
+
+def test_delimited_file(spark, tmp_path):
+    file = tmp_path / "a.txt"
+    file.write_text("100,hello,20\n101,nice,24\n102,beautiful,26\n103,short\n104,a,b,c\n")
+    good, bad = read_delimited(spark, str(file), ["id", "name", "age"])
+    assert good.count() == 4 and [tuple(r) for r in bad.collect()] == [("103,short", "too few fields")]
+    good, bad = read_delimited(spark, str(file), ["id", "name", "age"], strict=True)
+    assert good.count() == 3 and bad.count() == 2
+
+
+def test_search_log(spark, tmp_path):
+    line = "00:01\tuser1\tspark sql\t1 2\texample.org/a"
+    (tmp_path / "log").write_text("\n".join([line, line, "00:02\tuser2\tx\t3\texample.org/b", "broken\tline"]))
+    good, bad = read_log(spark, str(tmp_path / "log"))
+    assert bad.count() == 1
+    cells = log_cells(good)
+    assert cells.count() == 15 and cells.select("row_key").distinct().count() == 3
+    qualifiers = [r["qualifier"] for r in cells.collect()[:5]]
+    assert qualifiers == ["keyWord", "ranking", "time", "url", "userId"]
+    assert cell_set(cells) == cell_set(log_cells(good))
+    random = log_cells(good, random=True)
+    assert random.count() == 15 and random.select("row_key").distinct().count() == 3
+
+
+def test_index_answers_alone_or_with_the_table(spark, tmp_path):
+    records = spark.createDataFrame(
+        [("r1", "red", 1), ("r2", "blue", 2), ("r3", "red", 3)], "row_key string, colour string, n int")
+    build_index(records, str(tmp_path / "i"), ["colour"], ["n"], partitions=2)
+    index = spark.read.parquet(str(tmp_path / "i"))
+    red = F.col("colour") == "red"
+    assert sorted(map(tuple, lookup_covered(index, red, ["row_key", "n"]).collect())) == [("r1", 1), ("r3", 3)]
+    cells = cells_from_maps(spark, rows(*[(f"r{i}", "f", q, "v") for i in range(5) for q in "ab"]))
+    assert sorted({c[0] for c in cell_set(lookup_rows(index, red, cells))}) == ["r1", "r3"]
+
+
+def test_scratch_folder_is_the_shared_one(spark, monkeypatch):
+    root = spark.conf.get("spark.checkpoint.dir")
+    path = session.scratch_dir(spark, "x")
+    assert path.startswith(f"{root}/colonnade/x-") and path != session.scratch_dir(spark, "x")
+
+    class Context:
+        master = "spark://cluster:7077"
+
+    class Unset:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Unset, "x")
