@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from colonnade.functions.codecs import encode_bigint, encode_byte, encode_int
 
 SALT_WIDTH = 3
+# Hex digits of a content key: 128 bits, so no two different lines of any real table share one.
+DIGEST_WIDTH = 32
 # Copies of one line written out by one task before the rest move to other tasks.
 COPIES_PER_TASK = 100_000
 
@@ -69,7 +71,7 @@ def with_content_key(records: DataFrame, fields: list[str], key: str = "row_key"
     with more than ``COPIES_PER_TASK`` copies is cut into ranges that go to different tasks.
     """
     counted = records.groupBy(*fields).agg(F.count(F.lit(1)).alias("copies"))
-    digest = F.sha2(F.concat_ws("\t", *fields), 256)
+    digest = F.substring(F.sha2(F.concat_ws("\t", *fields), 256), 1, DIGEST_WIDTH)
     few = counted.filter(F.col("copies") <= COPIES_PER_TASK).withColumn("first", F.lit(1).cast("bigint"))
     many = (
         counted.filter(F.col("copies") > COPIES_PER_TASK)
@@ -80,5 +82,5 @@ def with_content_key(records: DataFrame, fields: list[str], key: str = "row_key"
     return (
         few.unionByName(many)
         .withColumn("copy", F.explode(F.sequence(F.col("first"), last)))
-        .select(F.concat_ws("-", digest, F.lpad(F.col("copy").cast("string"), 15, "0")).alias(key), *fields)
+        .select(F.concat_ws("-", digest, F.lpad(F.col("copy").cast("string"), 12, "0")).alias(key), *fields)
     )

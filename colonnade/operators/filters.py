@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from colonnade.functions.codecs import decode_value
 from colonnade.model import is_column
+from colonnade.operators.rows import join_rows
 
 # The comparison names of the filter interface; the last one excludes everything.
 COMPARISONS: dict[str, Callable[[Column, Column], Column]] = {
@@ -147,12 +148,12 @@ def apply_filter(cells: DataFrame, where) -> DataFrame:
     """Cells that pass ``where``; ``cells`` must hold one version per cell and complete rows.
 
     Key and qualifier filters are plain predicates. Column values are read in a scan of the tested columns
-    alone, reduced to one line of booleans per row key and joined back, so a row is never gathered in one
-    task and the other columns are not shuffled more than once.
+    alone, reduced to one line of booleans per row key and joined back (``join_rows``), so a row is never
+    gathered in one task and the other columns are shuffled once.
     """
     leaves = value_filters(where)
     if not leaves:
         return cells.filter(where.predicate({}))
     flags = {leaf: F.col(f"flag{i}") for i, leaf in enumerate(leaves)}
-    joined = cells.join(_row_flags(cells, leaves), "row_key", "left")
+    joined = join_rows(cells, _row_flags(cells, leaves), "left")
     return joined.filter(where.predicate(flags)).select(*cells.columns)

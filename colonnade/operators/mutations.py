@@ -13,6 +13,7 @@ from colonnade.model import (
     LOG_COLUMNS,
     PUT,
 )
+from colonnade.operators.rows import join_rows
 
 
 def put(cells: DataFrame) -> DataFrame:
@@ -81,9 +82,8 @@ def resolve_latest(log: DataFrame) -> DataFrame:
 
     Puts and column deletes meet in one aggregate: a cell is visible only if its newest entry is a put. The
     row and family markers, reduced to one line per row key, are then joined to the surviving cells. Nothing
-    is windowed over a row key: a hot cell shrinks to one line per task before the shuffle, and a hot row
-    keeps its cells in separate join partitions when its partition is split for skew. A put and a delete
-    with the same ``(ts, seq)`` leave the put visible.
+    is windowed over a row key: a hot cell shrinks to one line per task before the shuffle, and the cells of
+    a hot row are spread (``join_rows``). A put and a delete with the same ``(ts, seq)`` leave the put visible.
     """
     # "put" sorts after "delete_column", which settles equal versions in favour of the put.
     newest = F.max(F.struct("ts", "seq", "op", "value")).alias("newest")
@@ -97,7 +97,7 @@ def resolve_latest(log: DataFrame) -> DataFrame:
     written = F.struct("ts", "seq")
     hidden = (F.col("row_marker") > written) | (F.try_element_at("family_markers", F.col("family")) > written)
     return (
-        cells.join(_newest_markers(log), "row_key", "left")
+        join_rows(cells, _newest_markers(log), "left")
         .filter(~F.coalesce(hidden, F.lit(False)))
         .select(*CELL_COLUMNS)
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from colonnade.model import COORDINATES, DELETE_FAMILY, DELETE_ROW, is_column, split_column
 from colonnade.operators.filters import apply_filter, value_filters
 from colonnade.operators.mutations import resolve_latest
+from colonnade.operators.rows import join_rows
 
 
 def key_between(start: str | bytes = "", stop: str | bytes = "") -> Column:
@@ -68,4 +69,4 @@ def get_rows(table: DataFrame, keys: DataFrame) -> DataFrame:
     Repeated keys are dropped before the shuffle, so a key listed very often costs one line per task.
     """
     cells = resolve_latest(table) if "op" in table.columns else table
-    return cells.join(keys.select("row_key").distinct(), "row_key", "left_semi")
+    return join_rows(cells, keys.select("row_key").distinct(), "left_semi")

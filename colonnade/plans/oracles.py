@@ -172,8 +172,8 @@ ORACLES: dict[str, str] = {
     ),
     "log_bulk_load": """WITH records AS (SELECT CAST(epoch_us(ts) AS VARCHAR) AS t, CAST(user_id AS VARCHAR) AS u,
         event_type AS k, CAST(event_id AS VARCHAR) AS r, props AS url FROM events),
-      keyed AS (SELECT *, sha256(concat_ws(chr(9), t, u, k, r, url)) || '-' || lpad(CAST(row_number() OVER
-        (PARTITION BY t, u, k, r, url) AS VARCHAR), 15, '0') AS row_key FROM records)
+      keyed AS (SELECT *, left(sha256(concat_ws(chr(9), t, u, k, r, url)), 32) || '-' || lpad(CAST(
+        row_number() OVER (PARTITION BY t, u, k, r, url) AS VARCHAR), 12, '0') AS row_key FROM records)
       SELECT row_key, 'cf1' AS family, 'time' AS qualifier, t AS value FROM keyed
       UNION ALL SELECT row_key, 'cf1', 'userId', u FROM keyed
       UNION ALL SELECT row_key, 'cf1', 'keyWord', k FROM keyed

@@ -30,7 +30,7 @@ from colonnade.operators.index import build_index, lookup_covered, lookup_rows
 from colonnade.plans import inputs
 from colonnade.session import scratch_dir
 from colonnade.sources import tables
-from colonnade.sources.text import LOG_FIELDS, log_cells, read_delimited, read_log
+from colonnade.sources.text import LOG_FIELDS, keyed_log, log_columns, read_delimited, read_log
 from colonnade.streaming import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -389,7 +389,7 @@ def log_bulk_load(spark, sf_dir):
     records = inputs.event_records(inputs.load(spark, sf_dir, "events"))
     records.select(F.concat_ws("\t", *LOG_FIELDS)).write.text(lines)
     good, _ = read_log(spark, lines)
-    tables.bulk_load(log_cells(good), path)
+    tables.bulk_load_records(keyed_log(good), F.col("row_key"), log_columns(), path)
     return plain(spark.read.parquet(path))
 
 
@@ -398,7 +398,7 @@ def bulk_load_single(spark, sf_dir):
     path = scratch_dir(spark, "bulk")
     key = keys.salt_key(F.col("c_custkey").cast("string"))
     customer = inputs.load(spark, sf_dir, "customer")
-    tables.bulk_load(cell_ops.wide_to_cells(customer, key, {"cf1:name": F.col("c_name")}), path)
+    tables.bulk_load_records(customer, key, {"cf1:name": F.col("c_name")}, path)
     return plain(spark.read.parquet(path))
 
 
@@ -407,7 +407,7 @@ def bulk_load_multi(spark, sf_dir):
     path = scratch_dir(spark, "bulk")
     key = keys.salt_key(F.col("o_orderkey").cast("string"))
     columns = {"cf1:status": F.col("o_orderstatus"), "cf1:priority": F.col("o_orderpriority")}
-    tables.bulk_load(cell_ops.wide_to_cells(inputs.load(spark, sf_dir, "orders"), key, columns), path)
+    tables.bulk_load_records(inputs.load(spark, sf_dir, "orders"), key, columns, path)
     return plain(spark.read.parquet(path))
 
 

@@ -8,12 +8,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings the operators count on. Skewed join partitions are split by their measured size; the
-# "force" setting keeps that split even where a later stage would then need one more exchange.
+# "force" setting keeps that split even where a later stage would then need one more exchange. The two
+# thresholds let a join side whose shuffled size was measured to be small be broadcast, or hashed per partition.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colonnade.model import COORDINATES, LOG_COLUMNS, LOG_SCHEMA
+from colonnade.operators.cells import wide_to_cells
 from colonnade.operators.mutations import put, resolve_latest
 
 
@@ -40,6 +41,31 @@ def bulk_load(cells: DataFrame, path: str, partitions: int | None = None,
     writer.parquet(path)
 
 
+def bulk_load_records(records: DataFrame, row_key: Column, columns: dict[str, Column], path: str,
+                      ts: Column | None = None, seq: Column | None = None, partitions: int | None = None) -> None:
+    """Sorted load straight from flat records: sort the records by row key, then cut each into cells.
+
+    Only one row per record is shuffled, and only the columns that become cells. The cells of a record are
+    written in column order; records that share a row key follow one another by version.
+    """
+    versions = {name: value for name, value in (("ts", ts), ("seq", seq)) if value is not None}
+    values = {name: f"value{i}" for i, name in enumerate(columns)}
+    keyed = records.select(
+        row_key.alias("row_key"),
+        *[value.alias(name) for name, value in versions.items()],
+        *[columns[name].alias(alias) for name, alias in values.items()],
+    )
+    order = ["row_key", *versions]
+    ranged = keyed.repartitionByRange(*([partitions] if partitions else []), *order)
+    cells = wide_to_cells(
+        ranged.sortWithinPartitions(*order),
+        F.col("row_key"),
+        {name: F.col(alias) for name, alias in values.items()},
+        *[F.col(name) if name in versions else None for name in ("ts", "seq")],
+    )
+    cells.write.mode("overwrite").parquet(path)
+
+
 def read_log_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colonnade.functions.keys import random_key, with_content_key
@@ -26,7 +26,15 @@ def read_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return read_delimited(spark, path, LOG_FIELDS, "\t")
 
 
+def keyed_log(records: DataFrame, random: bool = False) -> DataFrame:
+    """Log lines with a row key made from the line's content, or a random UUID if asked for."""
+    return records.withColumn("row_key", random_key()) if random else with_content_key(records, LOG_FIELDS)
+
+
+def log_columns(family: str = "cf1") -> dict[str, Column]:
+    return {f"{family}:{name}": F.col(name) for name in LOG_FIELDS}
+
+
 def log_cells(records: DataFrame, family: str = "cf1", random: bool = False) -> DataFrame:
-    """Five cells per log line. Keys come from the line's content, or are random UUIDs if asked for."""
-    keyed = records.withColumn("row_key", random_key()) if random else with_content_key(records, LOG_FIELDS)
-    return wide_to_cells(keyed, F.col("row_key"), {f"{family}:{name}": F.col(name) for name in LOG_FIELDS})
+    """Five cells per log line."""
+    return wide_to_cells(keyed_log(records, random), F.col("row_key"), log_columns(family))
