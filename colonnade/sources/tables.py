@@ -73,23 +73,32 @@ def read_log_files(spark: SparkSession, path: str) -> DataFrame:
 # ---- named tables ----------------------------------------------------------------------------------------
 
 
-def create_table(spark: SparkSession, name: str, families: list[str], path: str | None = None) -> bool:
+def create_table(spark: SparkSession, name: str, families: list[str], path: str | None = None,
+                 batches: bool = False) -> bool:
     """Create an empty table with fixed families and free columns; False if it is there already.
 
     With ``path`` the files outlive a drop; without, they belong to the catalog and go with the table.
+    ``batches`` partitions the table by ``batch_id``, for a stream that replaces whole batches on replay.
     """
     if not families or any(not f or "," in f or ":" in f or "'" in f for f in families):
         raise ValueError(f"bad column families {families!r}")
     if spark.catalog.tableExists(name):
         return False
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LOG_SCHEMA.fields)
+    columns = [f"{f.name} {f.dataType.simpleString()}" for f in LOG_SCHEMA.fields]
+    columns += ["batch_id BIGINT"] if batches else []
+    partitioned = "PARTITIONED BY (batch_id)" if batches else ""
     location = f"LOCATION '{path}'" if path else ""
-    listed = ",".join(families)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {location} "
-              f"TBLPROPERTIES ('families' = '{listed}')")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING parquet {partitioned} {location} "
+              f"TBLPROPERTIES ('families' = '{','.join(families)}')")
     return True
 
 
+def publish_batch(spark: SparkSession, name: str, batch_id: int) -> None:
+    """Make a written ``batch_id=N`` folder visible in the named table; repeating it changes nothing."""
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (batch_id = {batch_id})")
+    spark.catalog.refreshTable(name)
+
+
 def drop_table(spark: SparkSession, name: str) -> bool:
     existed = spark.catalog.tableExists(name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -21,6 +21,7 @@ from colonnade.operators.cells import join_values, wide_to_cells
 from colonnade.operators.filters import KeyPrefix
 from colonnade.operators.mutations import put
 from colonnade.operators.scan import scan
+from colonnade.sources.tables import create_table, publish_batch
 
 UPSERT_SCHEMA = T.StructType([*LOG_SCHEMA.fields, T.StructField("reject", T.StringType())])
 JOINED_SCHEMA = T.StructType([T.StructField("row_key", T.StringType()), T.StructField("value", T.StringType())])
@@ -105,17 +106,23 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def raw_append_stream(stream: DataFrame, path: str, checkpoint: str, column: str = "cf1:name",
-                      rebalance: bool = False, interval: str | None = "1 second") -> StreamingQuery:
+                      rebalance: bool = False, interval: str | None = "1 second",
+                      table: str | None = None) -> StreamingQuery:
     """Store each record (``value, millis, tiebreak``) whole, in one column, under an event-time key.
 
-    ``rebalance`` evens out the write tasks of a lopsided source at the price of a shuffle.
+    ``rebalance`` evens out the write tasks of a lopsided source at the price of a shuffle. With ``table``
+    the batches also appear in that named table, which is created over ``path`` if it is missing.
     """
+    if table:
+        create_table(stream.sparkSession, table, [split_column(column)[0]], path, batches=True)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spread = batch.hint("rebalance") if rebalance else batch
         key = time_key_text(F.col("millis"), F.col("tiebreak"))
         cells = wide_to_cells(spread, key, {column: F.col("value")}, F.col("millis"), F.col("tiebreak"))
         _write_batch(put(cells), path, batch_id)
+        if table:
+            publish_batch(batch.sparkSession, table, batch_id)
 
     return _start(stream, write, checkpoint, interval)
 

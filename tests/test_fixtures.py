@@ -244,6 +244,16 @@ def test_time_keys_tell_records_of_one_millisecond_apart(spark):
         assert found == [9, 1, 2]
 
 
+def test_binary_keys_scan_in_byte_order(spark):
+    frame = spark.createDataFrame([(n,) for n in (0, 1, 255, 256, 70_000, -1)], "n bigint")
+    cells = wide_to_cells(frame, codecs.encode_bigint(F.col("n")), {"f:n": F.col("n").cast("string")})
+    low, high = (1).to_bytes(8, "big"), (256).to_bytes(8, "big")
+    assert sorted(r["value"] for r in scan(cells, low, high).collect()) == ["1", "255"]
+    assert [r["value"] for r in scan(cells, high, ordered=True).collect()] == ["256", "70000", "-1"]
+    assert [r["value"] for r in get_row(cells, low).collect()] == ["1"]
+    assert scan(mut.put(cells), low).count() == 5
+
+
 def test_random_keys_are_distinct(spark):
     assert spark.range(1000).select(keys.random_key().alias("k")).distinct().count() == 1000
 

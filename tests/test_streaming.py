@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from colonnade.model import LOG_SCHEMA
 from colonnade.operators.cells import cells_from_maps, wide_to_cells
 from colonnade.operators.mutations import newest_versions, put, resolve_latest
-from colonnade.sources.tables import bulk_load
+from colonnade.sources.tables import bulk_load, drop_table, table_families
 from colonnade.streaming import sinks
 
 SCHEMA = "value string, ts bigint, seq bigint"
@@ -97,6 +97,22 @@ def test_raw_records_of_one_millisecond_stay_apart(spark, feed, tmp_path):
     assert [c[3] for c in cells] == ["x", "y", "x"] and len({c[0] for c in cells}) == 3
 
 
+def test_raw_stream_creates_its_table_once(spark, feed, tmp_path):
+    feed.add(("x", 5, 1))
+    out, offsets, name = str(tmp_path / "raw"), str(tmp_path / "offsets"), "raw_records"
+
+    def go():
+        records = feed.stream().select("value", F.col("ts").alias("millis"), F.col("seq").alias("tiebreak"))
+        sinks.raw_append_stream(records, out, offsets, interval=None, table=name).awaitTermination()
+        return cell_set(spark.table(name))
+
+    assert len(go()) == 1 and table_families(spark, name) == ["cf1"]
+    feed.add(("y", 6, 1), ("z", 7, 1))
+    assert [c[3] for c in go()] == ["x", "y", "z"]
+    assert cell_set(resolve_latest(spark.table(name).drop("batch_id"))) == go()
+    drop_table(spark, name)
+
+
 def test_running_newest_value(spark, feed, tmp_path):
     feed.add(("k1,a", 10, 1), ("k2,a", 10, 2))
     feed.add(("k1,late", 5, 3), ("k2,b", 11, 4))
