@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from colonnade.functions.codecs import decode_value
 from colonnade.functions.text import render_cell
 from colonnade.model import is_column, split_column, version
+from colonnade.operators.rows import group_by_key
 
 
 def wide_to_cells(records: DataFrame, row_key: Column, columns: dict[str, Column],
@@ -77,7 +78,7 @@ def read_wide(cells: DataFrame, columns: dict[str, str], names: dict[str, str] |
     picked = [
         F.max_by("value", F.when(predicate, version())).alias(f"c{i}") for i, predicate in enumerate(wanted)
     ]
-    newest = cells.filter(anything).groupBy("row_key").agg(*picked)
+    newest = group_by_key(cells.filter(anything), "row_key").agg(*picked)
     return newest.select(
         "row_key",
         *[
@@ -94,7 +95,8 @@ def join_values(cells: DataFrame, separator: str) -> DataFrame:
     """
     ordered = F.array_sort(F.collect_list(F.struct("family", "qualifier", "value")))
     values = F.transform(ordered, lambda cell: cell["value"])
-    return cells.groupBy("row_key").agg(F.array_join(values, separator).alias("value"))
+    joined = group_by_key(cells, "row_key").agg(F.array_join(values, separator).alias("value"))
+    return joined.select("row_key", "value")
 
 
 def render_cells(cells: DataFrame, with_family: bool = True) -> DataFrame:

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from colonnade.model import (
     CELL_COLUMNS,
+    COORDINATES,
     DELETE_COLUMN,
     DELETE_FAMILY,
     DELETE_ROW,
     LOG_COLUMNS,
     PUT,
 )
-from colonnade.operators.rows import join_rows
+from colonnade.operators.rows import group_by_key, join_rows
 
 
 def put(cells: DataFrame) -> DataFrame:
@@ -57,19 +58,17 @@ def newest_versions(cells: DataFrame) -> DataFrame:
     Each task first keeps one version per cell, so a cell written a billion times sends one row per task.
     """
     newest = F.max(F.struct("ts", "seq", "value")).alias("newest")
-    return cells.groupBy("row_key", "family", "qualifier").agg(newest).select(
+    return group_by_key(cells, *COORDINATES).agg(newest).select(
         "row_key", "family", "qualifier", "newest.ts", "newest.seq", "newest.value"
     )
 
 
 def _newest_markers(log: DataFrame) -> DataFrame:
     """Per row key: the newest row marker, and the newest marker of each family as a map."""
-    per_family = (
-        log.filter(F.col("op").isin(DELETE_ROW, DELETE_FAMILY))
-        .withColumn("family", F.when(F.col("op") == DELETE_FAMILY, F.col("family")))
-        .groupBy("row_key", "family")
-        .agg(F.max(F.struct("ts", "seq")).alias("marker"))
+    markers = log.filter(F.col("op").isin(DELETE_ROW, DELETE_FAMILY)).withColumn(
+        "family", F.when(F.col("op") == DELETE_FAMILY, F.col("family"))
     )
+    per_family = group_by_key(markers, "row_key", "family").agg(F.max(F.struct("ts", "seq")).alias("marker"))
     family_marker = F.when(F.col("family").isNotNull(), F.struct("family", "marker"))
     return per_family.groupBy("row_key").agg(
         F.max(F.when(F.col("family").isNull(), F.col("marker"))).alias("row_marker"),
@@ -88,8 +87,7 @@ def resolve_latest(log: DataFrame) -> DataFrame:
     # "put" sorts after "delete_column", which settles equal versions in favour of the put.
     newest = F.max(F.struct("ts", "seq", "op", "value")).alias("newest")
     cells = (
-        log.filter(F.col("op").isin(PUT, DELETE_COLUMN))
-        .groupBy("row_key", "family", "qualifier")
+        group_by_key(log.filter(F.col("op").isin(PUT, DELETE_COLUMN)), *COORDINATES)
         .agg(newest)
         .filter(F.col("newest.op") == PUT)
         .select("row_key", "family", "qualifier", "newest.ts", "newest.seq", "newest.value")

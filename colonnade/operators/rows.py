@@ -1,14 +1,23 @@
-"""Joining facts about rows back to their cells, also when one row has a large share of all cells."""
+"""Grouping by row or cell, and joining facts about rows back to their cells, also when one row is huge."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 # Shuffle groups per row key. Copying the one line per row this often is cheap next to its cells.
 PARTS = 4
 
 
+def group_by_key(frame: DataFrame, *keys: str) -> GroupedData:
+    """Group by string keys, led by their hash.
+
+    Aggregates that keep strings are computed by sorting. The hash changes no group, but lets that sort tell
+    rows apart by eight bytes instead of by strings that often share long prefixes.
+    """
+    return frame.withColumn("key_hash", F.xxhash64(*keys)).groupBy("key_hash", *keys)
+
+
 def join_rows(cells: DataFrame, per_row: DataFrame, how: str) -> DataFrame:
     """Join ``per_row`` (at most one line per ``row_key``) to the cells of its row.
 
