@@ -29,7 +29,11 @@ def unsalt_key(key: Column, width: int = SALT_WIDTH) -> Column:
 
 
 def random_key() -> Column:
-    """A random UUID per row. A second run draws new keys, so only overwriting loads may be repeated."""
+    """A random UUID per row. A second run draws new keys, so only overwriting loads may be repeated.
+
+    Draw them right above a file scan: the seed belongs to the plan, so a retried task that reads the same
+    rows in the same order repeats its keys. Behind a shuffle the order may differ.
+    """
     return F.expr("uuid()")
 
 

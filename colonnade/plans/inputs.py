@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colonnade.functions.codecs import encode_bigint, encode_int, encode_text
 from colonnade.functions.keys import epoch_micros, salt_key
 from colonnade.model import DELETE_COLUMN, DELETE_FAMILY, DELETE_ROW, LOG_COLUMNS, PUT
 from colonnade.operators.cells import wide_to_cells
@@ -40,6 +41,17 @@ def customer_cells(spark: SparkSession, sf_dir: str, salted: bool = False) -> Da
     return wide_to_cells(load(spark, sf_dir, "customer"), key, columns)
 
 
+def customer_byte_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells with encoded values: a string and two integer widths, negative numbers included."""
+    number = F.col("c_custkey") - 750
+    columns = {
+        "info:name": encode_text(F.col("c_name")),
+        "info:number": encode_int(number),
+        "info:large": encode_bigint(number * 3_000_000_019),
+    }
+    return wide_to_cells(load(spark, sf_dir, "customer"), padded("c_custkey"), columns)
+
+
 def customer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delete requests for one market segment, newer than every customer cell."""
     chosen = load(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "MACHINERY")

@@ -111,6 +111,11 @@ ORACLES: dict[str, str] = {
       GROUP BY range_start, range_stop""",
     "read_wide": f"""SELECT {PADDED} AS row_key, c_name AS name, c_mktsegment AS segment, c_nationkey AS nation,
       CASE WHEN c_acctbal >= 7000 THEN 'gold' WHEN c_acctbal >= 3000 THEN 'silver' END AS tier FROM customer""",
+    "read_wide_bytes": f"""SELECT {PADDED} AS row_key, c_name AS name, CAST(c_custkey - 750 AS INTEGER) AS number,
+      (c_custkey - 750) * 3000000019 AS large FROM customer""",
+    "filter_bytes_typed": f"""SELECT {PADDED} AS row_key, 'name' AS qualifier, hex(encode(c_name)) AS value_hex
+      FROM customer WHERE c_custkey < 750
+      UNION ALL SELECT {PADDED}, 'number', {_hex('c_custkey - 750', 8)} FROM customer WHERE c_custkey < 750""",
     "wide_to_cells": """WITH o AS (SELECT *, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS row_key FROM orders)
       SELECT row_key, 'o' AS family, 'status' AS qualifier, o_orderstatus AS value FROM o
       UNION ALL SELECT row_key, 'o', 'priority', o_orderpriority FROM o

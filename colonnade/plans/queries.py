@@ -105,6 +105,12 @@ def read_wide(spark, sf_dir):
     return cell_ops.read_wide(inputs.customer_cells(spark, sf_dir), columns)
 
 
+@query
+def read_wide_bytes(spark, sf_dir):
+    columns = {"info:name": "string", "info:number": "int", "info:large": "bigint"}
+    return cell_ops.read_wide(inputs.customer_byte_cells(spark, sf_dir), columns)
+
+
 @query
 def wide_to_cells(spark, sf_dir):
     columns = {
@@ -213,6 +219,14 @@ def filter_column_value_strict(spark, sf_dir):
     return plain(scans.scan(inputs.customer_cells(spark, sf_dir), where=GOLD))
 
 
+@query
+def filter_bytes_typed(spark, sf_dir):
+    """An integer comparison on encoded values, where the bytes of negative numbers sort last."""
+    negative = ColumnValue("info:number", "LESS", 0, type_name="int", filter_if_missing=True)
+    found = scans.scan(inputs.customer_byte_cells(spark, sf_dir), columns=["info:name", "info:number"], where=negative)
+    return found.select("row_key", "qualifier", F.hex("value").alias("value_hex"))
+
+
 @query
 def filter_any(spark, sf_dir):
     return plain(scans.scan(inputs.customer_cells(spark, sf_dir), where=AnyOf(KeyRegex("7$"), GOLD)))
