@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import os
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +61,14 @@ def stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
 def task_count(spark: SparkSession) -> int:
     """How many partitions the session shuffles to; it is sized with the data by whoever runs the job."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def arrow_job(
+    frame: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``mapInArrow``; workers that were not given this package by the cluster look for it where the driver has it."""
+    environment = frame.sparkSession.sparkContext.environment
+    folder, paths = str(Path(__file__).parents[2]), environment.get("PYTHONPATH", "")
+    if folder not in paths.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, folder]))
+    return frame.mapInArrow(task, schema)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from colonnade.llm import line_dedup, quality_rules
+from colonnade.llm import line_dedup, near_dedup, packing, quality_rules, token_files
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_packing": packing.op3_packing,
+    "op5_near_dedup": near_dedup.op5_near_dedup,
+    "op7_token_files": token_files.op7_token_files,
     "op9_quality_rules": quality_rules.op9_quality_rules,
 }
 ORACLES = {
