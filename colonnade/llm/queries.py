@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
-from colonnade.llm import line_dedup, near_dedup, packing, quality_rules, token_files
+from colonnade.llm import (
+    decontamination,
+    language_id,
+    line_dedup,
+    near_dedup,
+    packing,
+    passages,
+    quality_rules,
+    token_files,
+)
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_packing": packing.op3_packing,
+    "op4_passages": passages.op4_passages,
     "op5_near_dedup": near_dedup.op5_near_dedup,
     "op7_token_files": token_files.op7_token_files,
+    "op8_decontamination": decontamination.op8_decontamination,
     "op9_quality_rules": quality_rules.op9_quality_rules,
 }
 ORACLES = {
