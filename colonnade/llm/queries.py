@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from colonnade.llm import (
+    cotraining,
     decontamination,
     language_id,
     line_dedup,
@@ -11,6 +12,7 @@ from colonnade.llm import (
     passages,
     quality_rules,
     token_files,
+    toxicity,
 )
 
 QUERIES = {
@@ -19,9 +21,11 @@ QUERIES = {
     "op3_packing": packing.op3_packing,
     "op4_passages": passages.op4_passages,
     "op5_near_dedup": near_dedup.op5_near_dedup,
+    "op6_cotraining": cotraining.op6_cotraining,
     "op7_token_files": token_files.op7_token_files,
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_quality_rules": quality_rules.op9_quality_rules,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLES = {
     "op2_line_dedup": line_dedup.ORACLE,
