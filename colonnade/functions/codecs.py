@@ -10,9 +10,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _low_bytes(number: Column, count: int) -> Column:
-    digits = F.lpad(F.hex(number.cast("bigint")), 16, "0")
-    return F.unhex(F.substring(digits, 17 - 2 * count, 2 * count))
+def _in_bytes(number: Column, count: int, least: int, most: int, strict: bool) -> Column:
+    """The number in ``count`` bytes. One that does not fit fails the job, or reads as null if not ``strict``."""
+    whole = number.cast("bigint")
+    digits = F.lpad(F.hex(whole), 16, "0")
+    cut = F.unhex(F.substring(digits, 17 - 2 * count, 2 * count))
+    if count == 8:
+        return cut
+    fits = F.when(whole.isNull() | whole.between(least, most), cut)
+    if not strict:
+        return fits
+    message = F.concat(whole.cast("string"), F.lit(f" does not fit in {count} byte(s)"))
+    return fits.otherwise(F.raise_error(message).cast("binary"))
 
 
 def encode_text(text: Column) -> Column:
@@ -24,12 +33,13 @@ def decode_text(raw: Column) -> Column:
     return F.make_valid_utf8(raw.cast("string"))
 
 
-def encode_byte(number: Column) -> Column:
-    return _low_bytes(number, 1)
+def encode_byte(number: Column, strict: bool = True) -> Column:
+    """0 to 255."""
+    return _in_bytes(number, 1, 0, 255, strict)
 
 
-def encode_int(number: Column) -> Column:
-    return _low_bytes(number, 4)
+def encode_int(number: Column, strict: bool = True) -> Column:
+    return _in_bytes(number, 4, -(1 << 31), (1 << 31) - 1, strict)
 
 
 def decode_int(raw: Column) -> Column:
@@ -39,7 +49,7 @@ def decode_int(raw: Column) -> Column:
 
 
 def encode_bigint(number: Column) -> Column:
-    return _low_bytes(number, 8)
+    return _in_bytes(number, 8, -(1 << 63), (1 << 63) - 1, True)
 
 
 def decode_bigint(raw: Column) -> Column:

@@ -8,10 +8,8 @@ from pyspark.sql import functions as F
 from colonnade.functions.codecs import encode_bigint, encode_byte, encode_int
 
 SALT_WIDTH = 3
-# Hex digits of a content key: 128 bits, so no two different lines of any real table share one.
-DIGEST_WIDTH = 32
-# Copies of one line written out by one task before the rest move to other tasks.
-COPIES_PER_TASK = 100_000
+# Copies of one line written out from one shuffled row.
+COPIES_PER_ROW = 100_000
 
 
 def reverse_key(key: Column) -> Column:
@@ -56,35 +54,60 @@ def time_key(millis: Column, tiebreak: Column) -> Column:
     return F.concat(encode_bigint(millis), encode_bigint(tiebreak))
 
 
-def time_key_text(millis: Column, tiebreak: Column) -> Column:
-    """The same key as sortable text, for tables with string row keys."""
-    digits = [F.lpad(part.cast("string"), 19, "0") for part in (millis, tiebreak)]
-    return F.concat_ws("-", *digits)
+def _sortable(number: Column) -> Column:
+    """20 digits that sort like the number: a sign digit, then the distance from zero or from the least number."""
+    whole = number.cast("bigint")
+    distance = F.when(whole < 0, whole.bitwiseXOR(F.lit(-(1 << 63)))).otherwise(whole)
+    padded = F.lpad(distance.cast("string"), 19, "0")
+    return F.concat(F.when(whole < 0, "0").otherwise("1"), padded)
 
 
-def composite_key(salt: Column, first: Column, seconds: Column, second: Column) -> Column:
-    """13 bytes: salt (1), first attribute (4), time in seconds (4), second attribute (4)."""
-    return F.concat(encode_byte(salt), encode_int(first), encode_int(seconds), encode_int(second))
+def time_key_text(millis: Column, *tiebreaks: Column) -> Column:
+    """The same key as sortable text, for tables with string row keys; several numbers may break ties in turn."""
+    return F.concat_ws("-", _sortable(millis), *[_sortable(number) for number in tiebreaks])
 
 
-def with_content_key(records: DataFrame, fields: list[str], key: str = "row_key") -> DataFrame:
-    """Key each record by the digest of its fields plus a copy number, so a repeated load writes the same keys.
+def composite_key(salt: Column, first: Column, seconds: Column, second: Column, wide: bool = False) -> Column:
+    """13 bytes: salt (1), first attribute (4), time in seconds (4), second attribute (4).
 
-    Equal records are interchangeable, so they are counted (partial counts first) and written out again from
-    the count. Numbering them with a window would gather every copy of one line in one task; here a line
-    with more than ``COPIES_PER_TASK`` copies is cut into ranges that go to different tasks.
+    ``wide`` gives the attributes 8 bytes each. A part that does not fit fails the job.
+    """
+    attribute = encode_bigint if wide else encode_int
+    return F.concat(encode_byte(salt), attribute(first), encode_int(seconds), attribute(second))
+
+
+def content_digest(fields: list[str]) -> Column:
+    """SHA-256 over all fields; each goes in with its length, so nulls and separators can't be mistaken."""
+    parts = []
+    for name in fields:
+        text = F.col(name).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.sha2(F.concat_ws(",", *parts), 256)
+
+
+def copy_blocks(records: DataFrame, fields: list[str], copies_per_row: int = COPIES_PER_ROW) -> DataFrame:
+    """``digest, first, last`` and the fields: every distinct record once for each run of so many copies.
+
+    Equal records are interchangeable, so they are counted (partial counts first) instead of numbered one by one,
+    which would gather every copy of one line in one task.
     """
     counted = records.groupBy(*fields).agg(F.count(F.lit(1)).alias("copies"))
-    digest = F.substring(F.sha2(F.concat_ws("\t", *fields), 256), 1, DIGEST_WIDTH)
-    few = counted.filter(F.col("copies") <= COPIES_PER_TASK).withColumn("first", F.lit(1).cast("bigint"))
-    many = (
-        counted.filter(F.col("copies") > COPIES_PER_TASK)
-        .withColumn("first", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies", F.lit(COPIES_PER_TASK))))
-        .repartition(*fields, "first")
-    )
-    last = F.least(F.col("first") + (COPIES_PER_TASK - 1), F.col("copies"))
-    return (
-        few.unionByName(many)
-        .withColumn("copy", F.explode(F.sequence(F.col("first"), last)))
-        .select(F.concat_ws("-", digest, F.lpad(F.col("copy").cast("string"), 12, "0")).alias(key), *fields)
-    )
+    one = F.lit(1).cast("bigint")
+    firsts = F.explode(F.sequence(one, F.col("copies"), F.lit(copies_per_row).cast("bigint")))
+    blocks = counted.withColumn("first", firsts)
+    last = F.least(F.col("first") + (copies_per_row - 1), F.col("copies"))
+    return blocks.select(content_digest(fields).alias("digest"), "first", last.alias("last"), *fields)
+
+
+def numbered_copies(blocks: DataFrame, fields: list[str], key: str = "row_key") -> DataFrame:
+    """A row for each copy, keyed by digest and copy number. No shuffle: blocks are written out where they are."""
+    copy = F.explode(F.sequence("first", "last")).alias("copy")
+    number = F.lpad(F.col("copy").cast("string"), 19, "0")
+    return blocks.select("digest", *fields, copy).select(F.concat_ws("-", "digest", number).alias(key), *fields)
+
+
+def with_content_key(records: DataFrame, fields: list[str], key: str = "row_key",
+                     copies_per_row: int = COPIES_PER_ROW) -> DataFrame:
+    """Key each record by the digest of its fields plus a copy number, so a repeated load writes the same keys."""
+    blocks = copy_blocks(records, fields, copies_per_row).repartition("digest", "first")
+    return numbered_copies(blocks, fields, key)

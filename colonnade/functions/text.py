@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 def split_fields(line: Column, separator: str) -> Column:
     """Fields of a line. Empty fields at the end do not count, empty fields in between do."""
-    return F.split(F.rtrim(line, F.lit(separator)), re.escape(separator))
+    mark = re.escape(separator)
+    return F.split(F.regexp_replace(line, rf"({mark})+\z", ""), mark)
 
 
 def parse_lines(lines: DataFrame, fields: list[str], separator: str = ",", strict: bool = False,
@@ -32,6 +33,14 @@ def parse_lines(lines: DataFrame, fields: list[str], separator: str = ",", stric
     return lines.select("*", *named, reject.alias("reject"))
 
 
+def parsed_lines(lines: DataFrame, fields: list[str], separator: str = ",", strict: bool = False) -> DataFrame:
+    """``line``, ``record`` (a struct of the fields) and ``reject``; fields may have any name."""
+    numbered = [f"field{i}" for i in range(len(fields))]
+    parsed = parse_lines(lines.select("value"), numbered, separator, strict)
+    record = F.struct(*[F.col(n).alias(name) for n, name in zip(numbered, fields, strict=True)])
+    return parsed.select(F.col("value").alias("line"), record.alias("record"), "reject")
+
+
 def words(texts: DataFrame, text: str = "value") -> DataFrame:
     """One row ``word`` per word: split on a single space only, empty words dropped."""
     return texts.select(F.explode(F.split(text, " ")).alias("word")).filter(F.col("word") != "")

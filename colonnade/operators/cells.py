@@ -9,6 +9,7 @@ from colonnade.functions.codecs import decode_value
 from colonnade.functions.text import render_cell
 from colonnade.model import is_column, split_column, version
 from colonnade.operators.rows import group_by_key
+from colonnade.operators.scan import scan
 
 
 def wide_to_cells(records: DataFrame, row_key: Column, columns: dict[str, Column],
@@ -66,10 +67,12 @@ def read_wide(cells: DataFrame, columns: dict[str, str], names: dict[str, str] |
     """One row per row key with a typed column per declared ``family:qualifier`` (null where absent).
 
     ``columns`` maps each column to ``string``, ``int`` or ``bigint``; ``names`` renames the outputs, which
-    are otherwise called by qualifier. The newest version of each cell is taken, so cells of a log without
-    deletes need no resolve step first. Only declared cells are shuffled, one partial row per key and task.
+    are otherwise called by qualifier. The newest version of each cell is taken; a log has its deletes applied
+    first. Only declared cells are shuffled, one partial row per key and task.
     """
     names = names or {}
+    if "op" in cells.columns:
+        cells = scan(cells, columns=list(columns))
     binary = dict(cells.dtypes)["value"] == "binary"
     wanted = [is_column(name) for name in columns]
     anything = wanted[0]

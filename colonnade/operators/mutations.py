@@ -65,9 +65,9 @@ def newest_versions(cells: DataFrame) -> DataFrame:
 
 def _newest_markers(log: DataFrame) -> DataFrame:
     """Per row key: the newest row marker, and the newest marker of each family as a map."""
-    markers = log.filter(F.col("op").isin(DELETE_ROW, DELETE_FAMILY)).withColumn(
-        "family", F.when(F.col("op") == DELETE_FAMILY, F.col("family"))
-    )
+    # A null family means the row only where the entry says so; a family marker without a family hides nothing.
+    markers = log.filter((F.col("op") == DELETE_ROW) | ((F.col("op") == DELETE_FAMILY) & F.col("family").isNotNull()))
+    markers = markers.withColumn("family", F.when(F.col("op") == DELETE_FAMILY, F.col("family")))
     per_family = group_by_key(markers, "row_key", "family").agg(F.max(F.struct("ts", "seq")).alias("marker"))
     family_marker = F.when(F.col("family").isNotNull(), F.struct("family", "marker"))
     return per_family.groupBy("row_key").agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colonnade.operators.scan import key_between
+from colonnade.operators.scan import scan
 
 
 def clip_ranges(bounds: list[tuple[str, str]], start: str = "", stop: str = "") -> list[tuple[str, str]]:
@@ -39,7 +39,8 @@ def key_range_stats(spark: SparkSession, cells: DataFrame, bounds: list[tuple[st
                     stop: str = "") -> DataFrame:
     """Rows, cells and the longest row of every clipped range, ranges without rows included.
 
-    Cells are first counted per row key, then each key is placed in its range: no range join.
+    A log counts by what it shows. Cells are first counted per row key, then each key is placed in its range: no
+    range join.
     """
     ranges = clip_ranges(bounds, start, stop)
     listed = spark.createDataFrame(
@@ -51,7 +52,7 @@ def key_range_stats(spark: SparkSession, cells: DataFrame, bounds: list[tuple[st
     key = F.col("row_key")
     place = _count_not_above([low for low, _ in ranges], key)
     stops = F.array(*[F.lit(high) for _, high in ranges])
-    per_row = cells.filter(key_between(start, stop)).groupBy("row_key").agg(F.count(F.lit(1)).alias("n"))
+    per_row = scan(cells, start, stop).groupBy("row_key").agg(F.count(F.lit(1)).alias("n"))
     placed = per_row.withColumn("range_no", place).withColumn("high", F.get(stops, F.col("range_no") - 1))
     counted = (
         placed.filter((F.col("range_no") > 0) & ((F.col("high") == "") | (key < F.col("high"))))

@@ -18,7 +18,7 @@ def group_by_key(frame: DataFrame, *keys: str) -> GroupedData:
     return frame.withColumn("key_hash", F.xxhash64(*keys)).groupBy("key_hash", *keys)
 
 
-def join_rows(cells: DataFrame, per_row: DataFrame, how: str) -> DataFrame:
+def join_rows(cells: DataFrame, per_row: DataFrame, how: str, parts: int = PARTS) -> DataFrame:
     """Join ``per_row`` (at most one line per ``row_key``) to the cells of its row.
 
     The cells of a row go to several shuffle groups by column, and its line to each of them. Besides cutting
@@ -26,7 +26,7 @@ def join_rows(cells: DataFrame, per_row: DataFrame, how: str) -> DataFrame:
     adaptive execution needs to cut the groups further by measured size; a side that was just aggregated by
     the bare row key would be joined in place and never be split.
     """
-    part = F.pmod(F.xxhash64("family", "qualifier"), F.lit(PARTS)).cast("int")
-    every_part = F.explode(F.array(*[F.lit(i) for i in range(PARTS)]))
+    part = F.pmod(F.xxhash64("family", "qualifier"), F.lit(parts)).cast("int")
+    every_part = F.explode(F.array(*[F.lit(i) for i in range(parts)]))
     copies = per_row.withColumn("part", every_part)
     return cells.withColumn("part", part).join(copies, ["row_key", "part"], how).drop("part")

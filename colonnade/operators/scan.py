@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colonnade.model import COORDINATES, DELETE_FAMILY, DELETE_ROW, is_column, split_column
-from colonnade.operators.filters import apply_filter, value_filters
+from colonnade.operators.filters import KeyPrefix, apply_filter, value_filters
 from colonnade.operators.mutations import resolve_latest
 from colonnade.operators.rows import join_rows
 
@@ -35,6 +35,21 @@ def _covers_with_markers(columns: list[str]) -> Column:
     return _covers(columns) | family_marker | (F.col("op") == DELETE_ROW)
 
 
+def entries_for(table: DataFrame, start: str | bytes = "", stop: str | bytes = "", columns: list[str] | None = None,
+                where=None) -> DataFrame:
+    """The cells, or the entries of a log, that ``scan`` needs: key bounds, key filters and the column selection.
+
+    Only predicates that a file reader can take; a log keeps the delete markers that can hide what is selected.
+    """
+    near = table.filter(key_between(start, stop))
+    if isinstance(where, KeyPrefix):
+        near = near.filter(where.predicate({}))
+    if not columns:
+        return near
+    needed = [*columns, *(leaf.column for leaf in value_filters(where))]
+    return near.filter(_covers_with_markers(needed) if "op" in table.columns else _covers(needed))
+
+
 def scan(table: DataFrame, start: str | bytes = "", stop: str | bytes = "", columns: list[str] | None = None,
          where=None, ordered: bool = False) -> DataFrame:
     """Read cells of a cell table or, with deletes applied, of a mutation log.
@@ -66,7 +81,14 @@ def get_row(table: DataFrame, row_key: str | bytes) -> DataFrame:
 def get_rows(table: DataFrame, keys: DataFrame) -> DataFrame:
     """All cells of the rows whose keys are listed in ``keys.row_key``, a set of any size.
 
-    Repeated keys are dropped before the shuffle, so a key listed very often costs one line per task.
+    The least and the largest key are looked up first (two values), as bounds that reach the files. The keys then
+    select log entries, cells and markers alike, so only wanted rows are resolved. Repeated keys are dropped before
+    the shuffle, so a key listed very often costs one line per task.
     """
-    cells = resolve_latest(table) if "op" in table.columns else table
-    return join_rows(cells, keys.select("row_key").distinct(), "left_semi")
+    wanted = keys.select("row_key").filter(F.col("row_key").isNotNull())
+    low, high = wanted.agg(F.min("row_key"), F.max("row_key")).first()
+    if low is None:
+        return get_row(table, "").limit(0)
+    near = table.filter((F.col("row_key") >= F.lit(low)) & (F.col("row_key") <= F.lit(high)))
+    chosen = join_rows(near, wanted.distinct(), "left_semi")
+    return resolve_latest(chosen) if "op" in table.columns else chosen

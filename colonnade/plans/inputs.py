@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from colonnade.functions.codecs import encode_bigint, encode_int, encode_text
 from colonnade.functions.keys import epoch_micros, salt_key
-from colonnade.model import DELETE_COLUMN, DELETE_FAMILY, DELETE_ROW, LOG_COLUMNS, PUT
+from colonnade.model import CELL_SCHEMA, DELETE_COLUMN, DELETE_FAMILY, DELETE_ROW, LOG_COLUMNS, PUT
 from colonnade.operators.cells import wide_to_cells
+from colonnade.session import scratch_dir
+from colonnade.sources.tables import bulk_load
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +23,8 @@ def load_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def padded(number: str) -> Column:
-    return F.lpad(F.col(number).cast("string"), 12, "0")
+    """As many digits as the longest number has, so that none is cut."""
+    return F.lpad(F.col(number).cast("string"), 19, "0")
 
 
 def tier() -> Column:
@@ -41,6 +44,19 @@ def customer_cells(spark: SparkSession, sf_dir: str, salted: bool = False) -> Da
     return wide_to_cells(load(spark, sf_dir, "customer"), key, columns)
 
 
+STORED: dict[tuple[str, str, bool], str] = {}
+
+
+def stored_customers(spark: SparkSession, sf_dir: str, salted: bool = False) -> DataFrame:
+    """The customer cells as a table sorted by key: written by the first scan of a session, read by the others."""
+    key = (spark.sparkContext.applicationId, sf_dir, salted)
+    if key not in STORED:
+        path = scratch_dir(spark, "customers")
+        bulk_load(customer_cells(spark, sf_dir, salted), path)
+        STORED[key] = path
+    return spark.read.schema(CELL_SCHEMA).parquet(STORED[key])
+
+
 def customer_byte_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells with encoded values: a string and two integer widths, negative numbers included."""
     number = F.col("c_custkey") - 750

@@ -10,16 +10,19 @@ UNION ALL SELECT {key}, 'acct', 'tier', CASE WHEN c_acctbal >= 7000 THEN 'gold'
 FROM customer WHERE c_acctbal >= 3000
 """
 ID = "CAST(c_custkey AS VARCHAR)"
-PADDED = f"lpad({ID}, 12, '0')"
+PADDED = f"lpad({ID}, 19, '0')"
 CC = f"WITH cc AS ({CELLS.format(key=PADDED)}) "
 SC = f"WITH sc AS ({CELLS.format(key=f'left(md5({ID}), 3) || {ID}')}) "
 
 GOLD = "row_key IN (SELECT row_key FROM cc WHERE family = 'acct' AND qualifier = 'tier' AND value = 'gold')"
 NOT_GOLD = GOLD.replace("value = 'gold'", "value <> 'gold'").replace("row_key IN", "row_key NOT IN")
 
+NO_NAME = f"""(family = 'info' AND qualifier = 'name' AND row_key IN
+  (SELECT {PADDED} FROM customer WHERE c_mktsegment = 'MACHINERY'))"""
+
 LOG = """
 WITH el AS (
-  SELECT lpad(CAST(user_id AS VARCHAR), 12, '0') AS row_key,
+  SELECT lpad(CAST(user_id AS VARCHAR), 19, '0') AS row_key,
     CASE WHEN event_type = 'purchase' THEN 'buy' WHEN event_type = 'error' AND value >= 40 THEN NULL ELSE 'ev'
     END AS family,
     CASE event_type WHEN 'purchase' THEN 'last' WHEN 'signup' THEN 'view' WHEN 'click' THEN 'click'
@@ -42,15 +45,12 @@ visible AS (
   SELECT row_key, family, qualifier, ts, seq, value FROM marked
   WHERE op = 'put' AND version >= greatest(coalesce(row_marker, 0), coalesce(family_marker, 0),
                                            coalesce(column_marker, 0))
-  QUALIFY row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY version DESC) = 1),
-newest AS (
-  SELECT row_key, family, qualifier, value FROM el WHERE op = 'put'
   QUALIFY row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY version DESC) = 1)
 """
 
 LINES = """
 WITH lines AS (
-  SELECT lpad(CAST(user_id AS VARCHAR), 12, '0') AS key, event_type AS name, CAST(event_id AS VARCHAR) AS age,
+  SELECT lpad(CAST(user_id AS VARCHAR), 19, '0') AS key, event_type AS name, CAST(event_id AS VARCHAR) AS age,
     event_type, epoch_us(ts) AS ts, event_id FROM events)
 """
 
@@ -89,15 +89,16 @@ def _hex(number: str, digits: int) -> str:
 
 MILLIS = "(epoch_us(ts) // 1000)"
 JOINED = "string_agg(value, '{sep}' ORDER BY family, qualifier)"
+DIGESTED = " || ',' || ".join(f"coalesce(length({c}) || ':' || {c}, '-')" for c in ("t", "u", "k", "r", "url"))
 WORDS = """SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)
 WHERE word <> '' GROUP BY word"""
 
 ORACLES: dict[str, str] = {
     "scan_full": f"{CC} SELECT * FROM cc",
     "scan_range": f"{SC} SELECT * FROM sc WHERE row_key >= '4' AND row_key < 'c'",
-    "get_row": f"{CC} SELECT * FROM cc WHERE row_key = '000000000042'",
-    "get_rows": f"""{CC} SELECT * FROM cc WHERE row_key IN
-      (SELECT lpad(CAST(o_custkey AS VARCHAR), 12, '0') FROM orders WHERE o_orderpriority = '1-URGENT')""",
+    "get_row": f"{CC} SELECT * FROM cc WHERE row_key = lpad('42', 19, '0')",
+    "get_rows": f"""{CC} SELECT * FROM cc WHERE NOT {NO_NAME} AND row_key IN
+      (SELECT lpad(CAST(o_custkey AS VARCHAR), 19, '0') FROM orders WHERE o_orderpriority = '1-URGENT')""",
     "scan_family": f"{CC} SELECT * FROM cc WHERE family = 'info'",
     "scan_column": f"{CC} SELECT * FROM cc WHERE family = 'info' AND qualifier = 'name'",
     "scan_log_columns": f"""{LOG} SELECT row_key, family, qualifier, value FROM visible
@@ -109,6 +110,13 @@ ORACLES: dict[str, str] = {
         coalesce(max(n), 0) AS longest_row
       FROM ranges LEFT JOIN per_row ON row_key >= range_start AND row_key < range_stop
       GROUP BY range_start, range_stop""",
+    "key_range_stats_log": f"""{LOG}, ranges(range_start, range_stop) AS (VALUES (lpad('5', 19, '0'), lpad('100', 19, '0')),
+        (lpad('100', 19, '0'), lpad('400', 19, '0')), (lpad('400', 19, '0'), '')),
+      per_row AS (SELECT row_key, count(*) AS n FROM visible GROUP BY row_key)
+      SELECT range_start, range_stop, count(row_key) AS n_rows, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_cells,
+        coalesce(max(n), 0) AS longest_row
+      FROM ranges LEFT JOIN per_row ON row_key >= range_start AND (range_stop = '' OR row_key < range_stop)
+      GROUP BY range_start, range_stop""",
     "read_wide": f"""SELECT {PADDED} AS row_key, c_name AS name, c_mktsegment AS segment, c_nationkey AS nation,
       CASE WHEN c_acctbal >= 7000 THEN 'gold' WHEN c_acctbal >= 3000 THEN 'silver' END AS tier FROM customer""",
     "read_wide_bytes": f"""SELECT {PADDED} AS row_key, c_name AS name, CAST(c_custkey - 750 AS INTEGER) AS number,
@@ -116,7 +124,7 @@ ORACLES: dict[str, str] = {
     "filter_bytes_typed": f"""SELECT {PADDED} AS row_key, 'name' AS qualifier, hex(encode(c_name)) AS value_hex
       FROM customer WHERE c_custkey < 750
       UNION ALL SELECT {PADDED}, 'number', {_hex('c_custkey - 750', 8)} FROM customer WHERE c_custkey < 750""",
-    "wide_to_cells": """WITH o AS (SELECT *, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS row_key FROM orders)
+    "wide_to_cells": """WITH o AS (SELECT *, lpad(CAST(o_orderkey AS VARCHAR), 19, '0') AS row_key FROM orders)
       SELECT row_key, 'o' AS family, 'status' AS qualifier, o_orderstatus AS value FROM o
       UNION ALL SELECT row_key, 'o', 'priority', o_orderpriority FROM o
       UNION ALL SELECT row_key, 'o', 'customer', CAST(o_custkey AS VARCHAR) FROM o
@@ -135,12 +143,14 @@ ORACLES: dict[str, str] = {
     "key_salt": """SELECT o_orderkey, left(md5(CAST(o_orderkey AS VARCHAR)), 3) || CAST(o_orderkey AS VARCHAR)
       AS row_key, CAST(o_orderkey AS VARCHAR) AS unsalted FROM orders""",
     "key_time": f"""SELECT event_id, {_hex(MILLIS, 16)} || {_hex('event_id', 16)} AS key_hex,
-      lpad(CAST({MILLIS} AS VARCHAR), 19, '0') || '-' || lpad(CAST(event_id AS VARCHAR), 19, '0') AS key_text
+      '1' || lpad(CAST({MILLIS} AS VARCHAR), 19, '0') || '-1' || lpad(CAST(event_id AS VARCHAR), 19, '0') AS key_text
       FROM events""",
-    "key_composite": f"""SELECT event_id, {_hex('user_id % 16', 2)} || {_hex('user_id', 8)} ||
-      {_hex(f"{MILLIS} // 1000", 8)} || {_hex('event_id', 8)} AS key_hex FROM events""",
+    "key_composite": f"""SELECT event_id, {_hex('user_id % 16', 2)} || {_hex('user_id', 16)} ||
+      {_hex(f"{MILLIS} // 1000", 8)} || {_hex('event_id', 16)} AS key_hex FROM events""",
     "filter_key_prefix": f"{SC} SELECT * FROM sc WHERE starts_with(row_key, 'a')",
     "filter_key_regex": f"{CC} SELECT * FROM cc WHERE regexp_matches(row_key, '7$')",
+    "filter_key_literal": f"{SC} SELECT * FROM sc WHERE starts_with(row_key, 'b')",
+    "filter_key_compare": f"{SC} SELECT * FROM sc WHERE row_key >= '5' AND row_key < '9'",
     "filter_column_prefix": f"{CC} SELECT * FROM cc WHERE starts_with(qualifier, 'na')",
     "filter_column_value": f"{CC} SELECT * FROM cc WHERE {NOT_GOLD}",
     "filter_column_value_strict": f"{CC} SELECT * FROM cc WHERE {GOLD}",
@@ -151,12 +161,12 @@ ORACLES: dict[str, str] = {
         WHERE family = 'geo' AND qualifier = 'nation' AND CAST(value AS INTEGER) < 10))""",
     "filter_compare_ops": f"{CC} SELECT row_key, value, {COMPARED} FROM cc WHERE family = 'geo'",
     "resolve_latest": f"{LOG} SELECT * FROM visible",
-    "resolve_versions": """SELECT lpad(CAST(l_orderkey AS VARCHAR), 12, '0') AS row_key, 'line' AS family,
+    "resolve_versions": """SELECT lpad(CAST(l_orderkey AS VARCHAR), 19, '0') AS row_key, 'line' AS family,
       CAST(l_linenumber AS VARCHAR) AS qualifier, epoch_us(l_shipdate) AS ts, l_partkey AS seq,
       l_returnflag || l_linestatus AS value FROM lineitem
       QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
         ORDER BY l_shipdate DESC, l_partkey DESC, l_returnflag || l_linestatus DESC) = 1""",
-    "put_batch": f"{LOG} SELECT * FROM newest",
+    "put_batch": f"{LOG} SELECT row_key, family, qualifier, value FROM visible",
     "put_update": f"""{CC} SELECT row_key, family, qualifier, CASE WHEN qualifier = 'segment' AND row_key IN
       (SELECT {PADDED} FROM customer WHERE c_acctbal >= 9000) THEN 'VIP' ELSE value END AS value FROM cc""",
     "delete_row": _deleted("true"),
@@ -165,8 +175,8 @@ ORACLES: dict[str, str] = {
     "delete_columns": _deleted("family = 'info' AND qualifier IN ('name', 'segment')"),
     "table_lifecycle": f"{CC} SELECT * FROM cc WHERE family = 'info'",
     "table_compaction": f"{LOG} SELECT row_key, family, qualifier, value FROM visible",
-    "sql_upsert": """SELECT c_custkey, c_name, CASE WHEN c_acctbal < 0 THEN 'DEBT' ELSE c_mktsegment END
-      AS c_mktsegment FROM customer""",
+    "sql_upsert": """SELECT c_custkey, c_name, CASE WHEN c_acctbal < -500 THEN 'STOP'
+      WHEN c_acctbal < 0 THEN 'DEBT' ELSE c_mktsegment END AS c_mktsegment FROM customer""",
     "word_count": WORDS,
     "word_count_cells": f"""SELECT word AS row_key, 'content' AS family, 'info' AS qualifier,
       CAST(n AS VARCHAR) AS value FROM ({WORDS})""",
@@ -175,10 +185,10 @@ ORACLES: dict[str, str] = {
         "event_type NOT IN ('error', 'view', 'signup')",
         "CASE event_type WHEN 'signup' THEN 'too many fields' ELSE 'too few fields' END",
     ),
-    "log_bulk_load": """WITH records AS (SELECT CAST(epoch_us(ts) AS VARCHAR) AS t, CAST(user_id AS VARCHAR) AS u,
+    "log_bulk_load": f"""WITH records AS (SELECT CAST(epoch_us(ts) AS VARCHAR) AS t, CAST(user_id AS VARCHAR) AS u,
         event_type AS k, CAST(event_id AS VARCHAR) AS r, props AS url FROM events),
-      keyed AS (SELECT *, left(sha256(concat_ws(chr(9), t, u, k, r, url)), 32) || '-' || lpad(CAST(
-        row_number() OVER (PARTITION BY t, u, k, r, url) AS VARCHAR), 12, '0') AS row_key FROM records)
+      keyed AS (SELECT *, sha256({DIGESTED}) || '-' || lpad(CAST(
+        row_number() OVER (PARTITION BY t, u, k, r, url) AS VARCHAR), 19, '0') AS row_key FROM records)
       SELECT row_key, 'cf1' AS family, 'time' AS qualifier, t AS value FROM keyed
       UNION ALL SELECT row_key, 'cf1', 'userId', u FROM keyed
       UNION ALL SELECT row_key, 'cf1', 'keyWord', k FROM keyed
@@ -202,14 +212,19 @@ ORACLES: dict[str, str] = {
     "stream_rejects": f"""{LINES} SELECT CASE event_type WHEN 'error' THEN key || ',' || name
       ELSE key || ',' || name || ',' END AS line, 'too few fields' AS reject, ts, event_id AS seq
       FROM lines WHERE event_type IN ('error', 'view')""",
-    "stream_latest": f"{LOG} SELECT * FROM newest",
-    "stream_raw_append": f"""SELECT lpad(CAST({MILLIS} AS VARCHAR), 19, '0') || '-' ||
+    "stream_latest": f"{LOG} SELECT row_key, family, qualifier, value FROM visible",
+    "stream_table": f"""{LINES}, kept AS (SELECT * FROM lines WHERE event_type NOT IN ('error', 'view')
+        QUALIFY row_number() OVER (PARTITION BY key ORDER BY ts DESC, event_id DESC) = 1)
+      SELECT key AS row_key, 'cf1' AS family, 'name' AS qualifier, name AS value FROM kept
+      UNION ALL SELECT key, 'cf1', 'age', age FROM kept
+      UNION ALL SELECT 'c' || {PADDED}, 'cf1', 'name', c_name FROM customer""",
+    "stream_raw_append": f"""SELECT '1' || lpad(CAST({MILLIS} AS VARCHAR), 19, '0') || '-1' ||
       lpad(CAST(event_id AS VARCHAR), 19, '0') AS row_key, 'cf1' AS family, 'name' AS qualifier, props AS value
       FROM events""",
     "stream_scan": f"""{SC} SELECT row_key, {JOINED.format(sep='_')} AS value FROM sc
       WHERE row_key >= '4' AND row_key < 'c' AND family IN ('acct', 'info') GROUP BY row_key""",
     "covering_index_lookup": """SELECT CAST(event_id AS VARCHAR) AS ranking, props AS url FROM events
       WHERE event_type = 'purchase'""",
-    "index_join_back": f"""{CC} SELECT * FROM cc WHERE row_key IN
-      (SELECT {PADDED} FROM customer WHERE c_mktsegment = 'BUILDING')""",
+    "index_join_back": f"""{CC} SELECT * FROM cc WHERE NOT {NO_NAME} AND row_key IN
+      (SELECT {PADDED} FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))""",
 }

@@ -22,6 +22,7 @@ from colonnade.operators.filters import (
     AnyOf,
     ColumnPrefix,
     ColumnValue,
+    KeyCompare,
     KeyPrefix,
     KeyRegex,
     compare,
@@ -30,7 +31,7 @@ from colonnade.operators.index import build_index, lookup_covered, lookup_rows
 from colonnade.plans import inputs
 from colonnade.session import scratch_dir
 from colonnade.sources import tables
-from colonnade.sources.text import LOG_FIELDS, keyed_log, log_columns, read_delimited, read_log
+from colonnade.sources.text import LOG_FIELDS, bulk_load_log, read_delimited, read_log
 from colonnade.streaming import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,29 +59,35 @@ def scan_full(spark, sf_dir):
 
 @query
 def scan_range(spark, sf_dir):
-    return plain(scans.scan(inputs.customer_cells(spark, sf_dir, salted=True), start="4", stop="c"))
+    return plain(scans.scan(inputs.stored_customers(spark, sf_dir, salted=True), start="4", stop="c"))
 
 
 @query
 def get_row(spark, sf_dir):
-    return plain(scans.get_row(inputs.customer_cells(spark, sf_dir), "000000000042"))
+    return plain(scans.get_row(inputs.stored_customers(spark, sf_dir), "42".zfill(19)))
+
+
+def _customer_log(spark, sf_dir):
+    """The stored cells with deletes of one segment's names: a log whose rows lie in sorted files."""
+    puts = mut.put(inputs.stored_customers(spark, sf_dir))
+    return puts.unionByName(mut.delete_column(inputs.customer_keys(spark, sf_dir), "info", "name"))
 
 
 @query
 def get_rows(spark, sf_dir):
     urgent = inputs.load(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
     wanted = urgent.select(inputs.padded("o_custkey").alias("row_key"))
-    return plain(scans.get_rows(inputs.customer_cells(spark, sf_dir), wanted))
+    return plain(scans.get_rows(_customer_log(spark, sf_dir), wanted))
 
 
 @query
 def scan_family(spark, sf_dir):
-    return plain(scans.scan(inputs.customer_cells(spark, sf_dir), columns=["info"]))
+    return plain(scans.scan(inputs.stored_customers(spark, sf_dir), columns=["info"]))
 
 
 @query
 def scan_column(spark, sf_dir):
-    return plain(scans.scan(inputs.customer_cells(spark, sf_dir), columns=["info:name"]))
+    return plain(scans.scan(inputs.stored_customers(spark, sf_dir), columns=["info:name"]))
 
 
 @query
@@ -96,6 +103,14 @@ def key_range_stats(spark, sf_dir):
     return ranges.key_range_stats(spark, inputs.customer_cells(spark, sf_dir, salted=True), regions, "2", "e")
 
 
+@query
+def key_range_stats_log(spark, sf_dir):
+    """The same figures of a log: markers and deleted cells do not count."""
+    bounds = [("", "100".zfill(19)), ("100".zfill(19), "400".zfill(19)), ("400".zfill(19), "")]
+    log = inputs.event_log(inputs.load(spark, sf_dir, "events"))
+    return ranges.key_range_stats(spark, log, bounds, "5".zfill(19), "")
+
+
 # ---- rows, codecs, keys ----------------------------------------------------------------------------------
 
 
@@ -187,7 +202,7 @@ def key_time(spark, sf_dir):
 @query
 def key_composite(spark, sf_dir):
     seconds = F.floor(keys.epoch_millis(F.col("ts")) / 1000)
-    key = keys.composite_key(F.pmod("user_id", F.lit(16)), F.col("user_id"), seconds, F.col("event_id"))
+    key = keys.composite_key(F.pmod("user_id", F.lit(16)), F.col("user_id"), seconds, F.col("event_id"), wide=True)
     return inputs.load(spark, sf_dir, "events").select("event_id", F.hex(key).alias("key_hex"))
 
 
@@ -196,12 +211,24 @@ def key_composite(spark, sf_dir):
 
 @query
 def filter_key_prefix(spark, sf_dir):
-    return plain(scans.scan(inputs.customer_cells(spark, sf_dir, salted=True), where=KeyPrefix("a")))
+    return plain(scans.scan(inputs.stored_customers(spark, sf_dir, salted=True), where=KeyPrefix("a")))
 
 
 @query
 def filter_key_regex(spark, sf_dir):
-    return plain(scans.scan(inputs.customer_cells(spark, sf_dir), where=KeyRegex("7$")))
+    return plain(scans.scan(inputs.stored_customers(spark, sf_dir), where=KeyRegex("7$")))
+
+
+@query
+def filter_key_literal(spark, sf_dir):
+    """A pattern that is a literal prefix, which the file reader can check."""
+    return plain(scans.scan(inputs.stored_customers(spark, sf_dir, salted=True), where=KeyRegex("^b")))
+
+
+@query
+def filter_key_compare(spark, sf_dir):
+    where = AllOf(KeyCompare("GREATER_OR_EQUAL", "5"), KeyCompare("LESS", "9"))
+    return plain(scans.scan(inputs.stored_customers(spark, sf_dir, salted=True), where=where))
 
 
 @query
@@ -272,17 +299,16 @@ def resolve_versions(spark, sf_dir):
 
 @query
 def put_batch(spark, sf_dir):
-    """A batch of (row, family, column, value) records appended to a log, read back newest first."""
-    events = inputs.load(spark, sf_dir, "events")
-    puts = inputs.event_log(events).filter(F.col("op") == PUT)
-    records = puts.select(
+    """A batch of (row, family, column, value) records and one of deletes, appended to a log and read back."""
+    log = inputs.event_log(inputs.load(spark, sf_dir, "events"))
+    records = log.filter(F.col("op") == PUT).select(
         "ts", "seq", F.col("row_key").alias("rowKey"), F.col("family").alias("columnFamily"),
         F.col("qualifier").alias("columnName"), F.col("value").alias("columnValue"),
     )
-    batch = cell_ops.cells_from_records(records, F.col("ts"), F.col("seq"))
     path = scratch_dir(spark, "put-batch")
-    mut.put(batch).write.mode("append").parquet(path)
-    return plain(mut.newest_versions(tables.read_log_files(spark, path)))
+    mut.put(cell_ops.cells_from_records(records, F.col("ts"), F.col("seq"))).write.mode("append").parquet(path)
+    log.filter(F.col("op") != PUT).write.mode("append").parquet(path)
+    return plain(mut.resolve_latest(tables.read_log_files(spark, path)))
 
 
 @query
@@ -328,8 +354,7 @@ def table_lifecycle(spark, sf_dir):
     tables.append_cells(cells, name)
     if tables.create_table(spark, name, families):
         raise RuntimeError("an existing table was created again")
-    path = scratch_dir(spark, "table")
-    tables.recreate_table(spark, name, families, path)
+    path = tables.recreate_table(spark, name, families, tables.table_location(spark, name))
     tables.append_cells(cells.filter(F.col("family") == "info"), name)
     tables.drop_table(spark, name)
     return plain(mut.resolve_latest(tables.read_log_files(spark, path)))
@@ -356,8 +381,12 @@ def sql_upsert(spark, sf_dir):
     changes = customer.filter(F.col("c_acctbal") < 0).select(
         "c_custkey", F.lit("DEBT").alias("c_mktsegment"), F.lit(1).alias("ts"), F.lit(0).alias("seq")
     )
+    later = customer.filter(F.col("c_acctbal") < -500).select(
+        "c_custkey", F.lit("STOP").alias("c_mktsegment"), F.lit(2).alias("ts"), F.lit(0).alias("seq")
+    )
+    once = tables.upsert(base, changes, "c_custkey", versions=True)
     view = f"upserted_{uuid.uuid4().hex}"
-    tables.upsert(base, changes, "c_custkey").createOrReplaceTempView(view)
+    tables.upsert(once, later, "c_custkey").createOrReplaceTempView(view)
     result = spark.sql(f"SELECT * FROM {view}")
     spark.catalog.dropTempView(view)
     return result
@@ -403,7 +432,7 @@ def log_bulk_load(spark, sf_dir):
     records = inputs.event_records(inputs.load(spark, sf_dir, "events"))
     records.select(F.concat_ws("\t", *LOG_FIELDS)).write.text(lines)
     good, _ = read_log(spark, lines)
-    tables.bulk_load_records(keyed_log(good), F.col("row_key"), log_columns(), path)
+    bulk_load_log(good, path)
     return plain(spark.read.parquet(path))
 
 
@@ -473,9 +502,31 @@ def stream_rejects(spark, sf_dir):
 def stream_latest(spark, sf_dir):
     path = scratch_dir(spark, "stream")
     log = inputs.event_log(inputs.load_stream(spark, sf_dir, "events"))
-    puts = log.filter(F.col("op") == PUT)
-    sinks.latest_stream(puts, path, scratch_dir(spark, "offsets"), interval=None).awaitTermination()
-    return plain(mut.newest_versions(sinks.read_batches(spark, path)))
+    sinks.latest_stream(log, path, scratch_dir(spark, "offsets"), interval=None).awaitTermination()
+    return plain(mut.resolve_latest(sinks.read_batches(spark, path)))
+
+
+@query
+def stream_table(spark, sf_dir):
+    """One table: made by a stream, appended to by a batch job, compacted, filled by a second stream, read."""
+    name = f"cells_{uuid.uuid4().hex}"
+    lines = inputs.event_lines(inputs.load_stream(spark, sf_dir, "events"))
+    columns = ["cf1:name", "cf1:age"]
+
+    def fill(some):
+        path, offsets = scratch_dir(spark, "stream"), scratch_dir(spark, "offsets")
+        sinks.upsert_stream(some, columns, path, offsets, interval=None, table=name).awaitTermination()
+
+    fill(lines.filter(F.col("seq") % 2 == 0))
+    customers = inputs.load(spark, sf_dir, "customer")
+    key = F.concat(F.lit("c"), inputs.padded("c_custkey"))
+    tables.append_cells(cell_ops.wide_to_cells(customers, key, {"cf1:name": F.col("c_name")}), name)
+    tables.compact_table(spark, name)
+    fill(lines.filter(F.col("seq") % 2 == 1))
+    location = scratch_dir(spark, "table")
+    mut.put(mut.resolve_latest(spark.table(name))).write.parquet(location)
+    tables.drop_table(spark, name)
+    return plain(tables.read_log_files(spark, location))
 
 
 @query
@@ -514,6 +565,6 @@ def covering_index_lookup(spark, sf_dir):
 @query
 def index_join_back(spark, sf_dir):
     path = scratch_dir(spark, "index")
-    cells = inputs.customer_cells(spark, sf_dir)
-    build_index(cell_ops.read_wide(cells, {"info:segment": "string"}), path, ["segment"], [])
-    return plain(lookup_rows(spark.read.parquet(path), F.col("segment") == "BUILDING", cells))
+    log = _customer_log(spark, sf_dir)
+    build_index(cell_ops.read_wide(log, {"info:segment": "string"}), path, ["segment"], [])
+    return plain(lookup_rows(spark.read.parquet(path), F.col("segment").isin("BUILDING", "MACHINERY"), log))

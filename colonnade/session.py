@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings the operators count on. Skewed join partitions are split by their measured size; the
-# "force" setting keeps that split even where a later stage would then need one more exchange. The two
-# thresholds let a join side whose shuffled size was measured to be small be broadcast, or hashed per partition.
+# "force" setting keeps that split even where a later stage would then need one more exchange.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -30,13 +26,11 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``, the folder every executor can reach.
+    """A fresh path below ``spark.checkpoint.dir``, or else the context's checkpoint folder.
 
-    Only a local session may fall back to a folder of this machine.
+    That is the folder every executor can reach; without one there is nowhere to write.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.gettempdir()
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{root.rstrip('/')}/colonnade/{label}-{uuid.uuid4().hex}"

@@ -1,8 +1,9 @@
 """Stored tables: sorted loads into files, and the named tables of Spark's catalog.
 
 A named table is a Parquet mutation log registered in the catalog with its column families as a table
-property. The catalog entry is the only pointer to the current files, so replacing a table's content means
-writing a new folder and moving that pointer; files being read are never overwritten.
+property. It is partitioned by ``batch``: every append, micro-batch and compaction writes one folder and then
+enters it in the catalog with its place. Streams and batch jobs so share a table; a batch that is replayed
+replaces its own folder, and files being read are never overwritten.
 """
 
 from __future__ import annotations
@@ -12,7 +13,15 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colonnade.model import COORDINATES, LOG_COLUMNS, LOG_SCHEMA
+from colonnade.model import (
+    COORDINATES,
+    DELETE_COLUMN,
+    DELETE_FAMILY,
+    DELETE_ROW,
+    LOG_COLUMNS,
+    LOG_SCHEMA,
+    PUT,
+)
 from colonnade.operators.cells import wide_to_cells
 from colonnade.operators.mutations import put, resolve_latest
 
@@ -72,30 +81,38 @@ def read_log_files(spark: SparkSession, path: str) -> DataFrame:
 
 # ---- named tables ----------------------------------------------------------------------------------------
 
+OPERATIONS = [PUT, DELETE_ROW, DELETE_FAMILY, DELETE_COLUMN]
 
-def create_table(spark: SparkSession, name: str, families: list[str], path: str | None = None,
-                 batches: bool = False) -> bool:
-    """Create an empty table with fixed families and free columns; False if it is there already.
+
+def create_table(spark: SparkSession, name: str, families: list[str], path: str | None = None) -> bool:
+    """Create a table with fixed families and free columns; False if it is there already.
 
     With ``path`` the files outlive a drop; without, they belong to the catalog and go with the table.
-    ``batches`` partitions the table by ``batch_id``, for a stream that replaces whole batches on replay.
     """
     if not families or any(not f or "," in f or ":" in f or "'" in f for f in families):
         raise ValueError(f"bad column families {families!r}")
     if spark.catalog.tableExists(name):
         return False
     columns = [f"{f.name} {f.dataType.simpleString()}" for f in LOG_SCHEMA.fields]
-    columns += ["batch_id BIGINT"] if batches else []
-    partitioned = "PARTITIONED BY (batch_id)" if batches else ""
     location = f"LOCATION '{path}'" if path else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING parquet {partitioned} {location} "
-              f"TBLPROPERTIES ('families' = '{','.join(families)}')")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}, batch STRING) USING parquet "
+              f"PARTITIONED BY (batch) {location} TBLPROPERTIES ('families' = '{','.join(families)}')")
     return True
 
 
-def publish_batch(spark: SparkSession, name: str, batch_id: int) -> None:
-    """Make a written ``batch_id=N`` folder visible in the named table; repeating it changes nothing."""
-    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (batch_id = {batch_id})")
+def table_location(spark: SparkSession, name: str) -> str:
+    details = spark.sql(f"DESCRIBE FORMATTED {name}")
+    return details.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+
+
+def table_batches(spark: SparkSession, name: str) -> list[str]:
+    """Names of the table's batches: one line for each append or micro-batch since the last compaction."""
+    return [row[0].partition("=")[2] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+
+
+def publish_batch(spark: SparkSession, name: str, batch: str, folder: str) -> None:
+    """Make a written folder of log files visible as a batch of the table; repeating it changes nothing."""
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (batch = '{batch}') LOCATION '{folder}'")
     spark.catalog.refreshTable(name)
 
 
@@ -105,10 +122,14 @@ def drop_table(spark: SparkSession, name: str) -> bool:
     return existed
 
 
-def recreate_table(spark: SparkSession, name: str, families: list[str], path: str | None = None) -> None:
-    """Drop this one table if it exists and create it empty; ``path`` should be a fresh folder."""
+def recreate_table(spark: SparkSession, name: str, families: list[str], path: str | None = None) -> str:
+    """Drop this one table if it exists and create it empty; returns where it now lies.
+
+    With ``path`` that is a fresh folder below it, so files that lie there already do not come back.
+    """
     drop_table(spark, name)
-    create_table(spark, name, families, path)
+    create_table(spark, name, families, path and f"{path.rstrip('/')}/v-{uuid.uuid4().hex}")
+    return table_location(spark, name)
 
 
 def table_families(spark: SparkSession, name: str) -> list[str]:
@@ -117,21 +138,34 @@ def table_families(spark: SparkSession, name: str) -> list[str]:
 
 
 def checked(log: DataFrame, families: list[str]) -> DataFrame:
-    """The same log, failing the write at the first entry with an undeclared family or an empty row key."""
-    unknown = F.col("family").isNotNull() & ~F.col("family").isin(families)
-    family = F.when(unknown, F.raise_error(F.concat(F.lit("no such column family: "), F.col("family"))))
-    empty = F.coalesce(F.col("row_key"), F.lit("")) == ""
-    row_key = F.when(empty, F.raise_error(F.lit("a row key must not be empty")))
-    return log.withColumns(
-        {"family": family.otherwise(F.col("family")), "row_key": row_key.otherwise(F.col("row_key"))}
+    """The same log, failing the write at the first entry that names too little or something unknown.
+
+    Puts and column deletes need a family and a qualifier, family deletes a family, all a row key and a known
+    operation; families must be declared.
+    """
+    family, qualifier, op = F.col("family"), F.col("qualifier"), F.coalesce(F.col("op"), F.lit(""))
+    needs_column = op.isin(PUT, DELETE_COLUMN)
+    said = lambda *parts: F.raise_error(F.concat(*parts))
+    found = F.when(~op.isin(OPERATIONS), said(F.lit("unknown operation: "), op)).when(
+        F.coalesce(F.col("row_key"), F.lit("")) == "", said(F.lit("a row key must not be empty"))
+    ).when(
+        (needs_column | (op == DELETE_FAMILY)) & family.isNull(), said(op, F.lit(" needs a column family"))
+    ).when(
+        needs_column & qualifier.isNull(), said(op, F.lit(" needs a qualifier"))
+    ).when(
+        family.isNotNull() & ~family.isin(families), said(F.lit("no such column family: "), family)
     )
+    return log.withColumn("row_key", found.otherwise(F.col("row_key")))
 
 
 def append_log(log: DataFrame, name: str) -> None:
-    """Append puts and delete markers to a named table; nothing is read or rewritten."""
+    """Append puts and delete markers to a named table as a batch of its own; nothing is read or rewritten."""
     spark = log.sparkSession
     families = table_families(spark, name)
-    checked(log, families).select(*LOG_COLUMNS).write.insertInto(name)
+    batch = f"append-{uuid.uuid4().hex}"
+    folder = f"{table_location(spark, name)}/batch={batch}"
+    checked(log, families).select(*LOG_COLUMNS).write.parquet(folder)
+    publish_batch(spark, name, batch, folder)
 
 
 def append_cells(cells: DataFrame, name: str) -> None:
@@ -139,19 +173,24 @@ def append_cells(cells: DataFrame, name: str) -> None:
 
 
 def compact_table(spark: SparkSession, name: str, partitions: int | None = None) -> str:
-    """Rewrite a table as its visible cells, sorted, in a new folder, and point the catalog at it.
+    """Rewrite the batches a table has now as its visible cells, sorted, in one new batch; returns its folder.
 
-    Readers of the old folder finish undisturbed; writers must pause, or what they append meanwhile is not
-    carried over. Returns the new location; the old folder is left to the caller.
+    The new batch is entered before the old ones are taken out. A reader in between sees cells twice, in the same
+    version, and shows them once. Batches that are added meanwhile stay. What arrives later with a version older
+    than a delete that was compacted away shows again. Files of a table with a path stay for readers of the old
+    batches, until the caller removes them.
     """
-    details = spark.sql(f"DESCRIBE FORMATTED {name}")
-    location = details.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
-    base = location.rsplit("/", 1)[0] if location.rsplit("/", 1)[1].startswith("v-") else location + "-versions"
-    target = f"{base}/v-{uuid.uuid4().hex}"
-    bulk_load(put(resolve_latest(spark.table(name).select(*LOG_COLUMNS))), target, partitions)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
-    spark.catalog.refreshTable(name)
-    return target
+    old = table_batches(spark, name)
+    batch = f"v-{uuid.uuid4().hex}"
+    folder = f"{table_location(spark, name)}/batch={batch}"
+    log = spark.table(name).filter(F.col("batch").isin(old)).select(*LOG_COLUMNS)
+    bulk_load(put(resolve_latest(log)), folder, partitions)
+    publish_batch(spark, name, batch, folder)
+    if old:
+        specs = ", ".join(f"PARTITION (batch = '{one}')" for one in old)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
+        spark.catalog.refreshTable(name)
+    return folder
 
 
 # ---- SQL tables and other connectors ---------------------------------------------------------------------
@@ -180,13 +219,19 @@ def write_table(records: DataFrame, fmt: str, options: dict[str, str], mode: str
     records.write.format(fmt).options(**(keep | options)).mode(mode).save()
 
 
-def upsert(base: DataFrame, changes: DataFrame, key: str, ts: str = "ts", seq: str = "seq") -> DataFrame:
+def upsert(base: DataFrame, changes: DataFrame, key: str, ts: str = "ts", seq: str = "seq",
+           versions: bool = False) -> DataFrame:
     """Upsert by primary key: per column the newest value that was set; null in ``changes`` means "not set".
 
-    Both sides carry the version columns. One shuffle on the key, one partial row per key and task before it.
+    Both sides carry the version columns. With ``versions`` the result has the newest version of each row too and
+    can be the base of the next upsert; a later change must then be newer than the whole row. One shuffle on the
+    key, one partial row per key and task before it.
     """
     columns = [c for c in base.columns if c not in (key, ts, seq)]
     both = base.unionByName(changes, allowMissingColumns=True)
-    version = F.struct(ts, seq)
+    version = F.struct(F.col(ts).alias(ts), F.col(seq).alias(seq))
     newest = [F.max_by(c, F.when(F.col(c).isNotNull(), version)).alias(c) for c in columns]
-    return both.groupBy(key).agg(*newest)
+    done = both.groupBy(key).agg(*newest, F.max(version).alias("_version"))
+    if not versions:
+        return done.drop("_version")
+    return done.select(key, *columns, *[F.col("_version")[name].alias(name) for name in (ts, seq)])

@@ -2,11 +2,14 @@
 
 Every sink writes micro-batch N to ``<path>/batch_id=N`` in overwrite mode. A batch that is replayed after a
 failure replaces its own folder, so with a checkpoint each record lands exactly once. Batch ids restart with
-a new checkpoint; use a new path with it.
+a new checkpoint; use a new path with it. With a named table the folder also becomes a batch of that table, which
+batch jobs append to as well; read through the catalog, nobody lists the folders, and compaction puts one in their
+place.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +23,7 @@ from colonnade.model import LOG_COLUMNS, LOG_SCHEMA, PUT, split_column
 from colonnade.operators.cells import join_values, wide_to_cells
 from colonnade.operators.filters import KeyPrefix
 from colonnade.operators.mutations import put
-from colonnade.operators.scan import scan
+from colonnade.operators.scan import entries_for, scan
 from colonnade.sources.tables import create_table, publish_batch
 
 UPSERT_SCHEMA = T.StructType([*LOG_SCHEMA.fields, T.StructField("reject", T.StringType())])
@@ -28,18 +31,27 @@ JOINED_SCHEMA = T.StructType([T.StructField("row_key", T.StringType()), T.Struct
 
 
 def topic_stream(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
-    """A message topic as ``value STRING, ts, seq``. Needs Spark's Kafka connector on the class path.
+    """A message topic as ``value STRING, ts, seq, millis, partition, offset``, as both sinks below take it.
 
-    Messages of one key share a topic partition, so its offset orders them; ``maxOffsetsPerTrigger`` sets
-    the batch size.
+    Needs Spark's Kafka connector on the class path. Messages of one key share a topic partition, so its offset
+    orders them; over partitions only both numbers together tell records apart. ``maxOffsetsPerTrigger`` sets the
+    batch size.
     """
     source = spark.readStream.format("kafka").options(
         **{"kafka.bootstrap.servers": servers, "subscribe": topic, **options}
     )
-    return source.load().select(
+    return topic_records(source.load())
+
+
+def topic_records(messages: DataFrame) -> DataFrame:
+    """``value, timestamp, partition, offset`` as the columns of ``topic_stream``."""
+    return messages.select(
         F.col("value").cast("string").alias("value"),
         F.unix_micros("timestamp").alias("ts"),
-        F.col("offset").alias("seq"),
+        F.col("offset").cast("bigint").alias("seq"),
+        F.unix_millis("timestamp").alias("millis"),
+        F.col("partition").cast("bigint").alias("partition"),
+        F.col("offset").cast("bigint").alias("offset"),
     )
 
 
@@ -69,14 +81,26 @@ def _cell(family: str | None, qualifier: str | None, value: Column) -> Column:
     return F.struct(*names, value.alias("value"))
 
 
+def _publish(spark: SparkSession, table: str, path: str, batch_id: int, folder: str) -> None:
+    """The folder as a batch of the table, named after the stream's path; a folder that was not written is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        stream = hashlib.md5(path.encode()).hexdigest()
+        publish_batch(spark, table, f"stream-{stream}-{batch_id}", folder)
+
+
 def upsert_stream(stream: DataFrame, columns: list[str], path: str, checkpoint: str, separator: str = ",",
-                  interval: str | None = "5 seconds") -> StreamingQuery:
+                  interval: str | None = "5 seconds", table: str | None = None) -> StreamingQuery:
     """Delimited records (``value, ts, seq``): the first field is the row key, the others the columns.
 
     Puts and rejected lines are written side by side in one pass over the batch. Read them with
     ``read_upserts``, through ``resolve_latest``, and ``read_rejects``: the newest version wins however late
-    a record arrives, and no state is kept.
+    a record arrives, and no state is kept. With ``table`` the puts also appear in that named table, which is
+    created if it is missing; rejected lines stay in the folder.
     """
+    if table:
+        families = sorted({split_column(name)[0] for name in columns})
+        create_table(stream.sparkSession, table, families)
     parsed = parse_lines(stream, ["row_key", *columns], separator)
     good = F.col("reject").isNull()
     puts = F.array(*[_cell(*split_column(name), F.col(f"`{name}`")) for name in columns])
@@ -88,7 +112,10 @@ def upsert_stream(stream: DataFrame, columns: list[str], path: str, checkpoint:
     ).select("row_key", "cell.*", "ts", "seq", F.lit(PUT).alias("op"), "reject", "rejected")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.partitionBy("rejected").mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        folder = f"{path}/batch_id={batch_id}"
+        batch.write.partitionBy("rejected").mode("overwrite").parquet(folder)
+        if table:
+            _publish(batch.sparkSession, table, path, batch_id, f"{folder}/rejected=false")
 
     return _start(log, write, checkpoint, interval)
 
@@ -108,37 +135,43 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
 def raw_append_stream(stream: DataFrame, path: str, checkpoint: str, column: str = "cf1:name",
                       rebalance: bool = False, interval: str | None = "1 second",
                       table: str | None = None) -> StreamingQuery:
-    """Store each record (``value, millis, tiebreak``) whole, in one column, under an event-time key.
+    """Store each record whole, in one column, under an event-time key.
 
-    ``rebalance`` evens out the write tasks of a lopsided source at the price of a shuffle. With ``table``
-    the batches also appear in that named table, which is created over ``path`` if it is missing.
+    Records are ``value, millis`` and what tells those of one millisecond apart: ``partition, offset`` of a topic,
+    or one number ``tiebreak``. ``rebalance`` evens out the write tasks of a lopsided source at the price of a
+    shuffle. With ``table`` the batches also appear in that named table, which is created if it is missing.
     """
     if table:
-        create_table(stream.sparkSession, table, [split_column(column)[0]], path, batches=True)
+        create_table(stream.sparkSession, table, [split_column(column)[0]])
+    ties = ["partition", "offset"] if {"partition", "offset"} <= set(stream.columns) else ["tiebreak"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spread = batch.hint("rebalance") if rebalance else batch
-        key = time_key_text(F.col("millis"), F.col("tiebreak"))
-        cells = wide_to_cells(spread, key, {column: F.col("value")}, F.col("millis"), F.col("tiebreak"))
+        key = time_key_text(F.col("millis"), *[F.col(name) for name in ties])
+        cells = wide_to_cells(spread, key, {column: F.col("value")}, F.col("millis"), F.col(ties[-1]))
         _write_batch(put(cells), path, batch_id)
         if table:
-            publish_batch(batch.sparkSession, table, batch_id)
+            _publish(batch.sparkSession, table, path, batch_id, f"{path}/batch_id={batch_id}")
 
     return _start(stream, write, checkpoint, interval)
 
 
-def latest_stream(puts: DataFrame, path: str, checkpoint: str, interval: str | None = "5 seconds") -> StreamingQuery:
-    """Running newest value per cell: each batch emits the cells it changed.
+def latest_stream(log: DataFrame, path: str, checkpoint: str, interval: str | None = "5 seconds") -> StreamingQuery:
+    """Running newest entry per cell, and per row and family for their delete markers: each batch emits the changes.
 
-    State is one row per cell ever seen. Late records with an older version change nothing. Read the output
-    with ``newest_versions``.
+    Takes a log, or cells, which count as puts. Late entries with an older version change nothing. Read the output
+    through ``resolve_latest``. State is one row per cell and marker ever seen, which is the table itself: for a
+    table without bound, append the stream to it (``raw_append_stream``, ``upsert_stream``) and resolve when
+    reading, which keeps no state.
     """
-    newest = F.max(F.struct("ts", "seq", "value")).alias("newest")
-    running = puts.groupBy("row_key", "family", "qualifier").agg(newest)
-    cells = running.select("row_key", "family", "qualifier", "newest.ts", "newest.seq", "newest.value")
+    entries = log if "op" in log.columns else log.withColumn("op", F.lit(PUT))
+    newest = F.max(F.struct("ts", "seq", "op", "value")).alias("newest")
+    # A marker of a family or row is kept beside the cells and newer puts beside the markers.
+    running = entries.groupBy("row_key", "family", "qualifier").agg(newest)
+    cells = running.select("row_key", "family", "qualifier", "newest.ts", "newest.seq", "newest.value", "newest.op")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(put(batch), path, batch_id)
+        _write_batch(batch.select(*LOG_COLUMNS), path, batch_id)
 
     return _start(cells, write, checkpoint, interval, output_mode="update")
 
@@ -148,15 +181,21 @@ def scan_stream(spark: SparkSession, table_path: str, schema: T.StructType, path
                 prefix: str = "") -> StreamingQuery:
     """Emit a bounded range of a stored table as ``(row_key, joined values)`` and stop.
 
-    The range, column and key-prefix predicates reach the file scan. All files form one micro-batch, so no
-    row is cut in two; the batch itself is an ordinary distributed job without streaming state.
+    The key bounds, the key prefix and the column selection (with the markers it needs) are predicates of the
+    stream, so they reach the file scan. All files form one micro-batch, so no row is cut in two; the batch is
+    held while its deletes are resolved, and read once.
     """
+    where = KeyPrefix(prefix) if prefix else None
     table = spark.readStream.schema(schema).parquet(table_path)
     wanted = [c for c in LOG_COLUMNS if c in schema.names]
+    near = entries_for(table, start, stop, columns, where).select(*wanted)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        where = KeyPrefix(prefix) if prefix else None
-        joined = join_values(scan(batch.select(*wanted), start, stop, columns, where), separator)
-        _write_batch(joined, path, batch_id)
-
-    return _start(table, write, checkpoint, interval=None)
+        held = batch.persist()
+        try:
+            joined = join_values(scan(held, start, stop, columns, where), separator)
+            _write_batch(joined, path, batch_id)
+        finally:
+            held.unpersist()
+
+    return _start(near, write, checkpoint, interval=None)

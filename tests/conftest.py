@@ -23,6 +23,7 @@ def spark():
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
+        .config("spark.checkpoint.dir", f"{scratch}/shared")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,5 +1,8 @@
 """Small tables with results worked out by hand."""
 
+import hashlib
+
+import pytest
 from conftest import cell_set, log_frame
 from pyspark.sql import functions as F
 
@@ -20,25 +23,30 @@ from colonnade.operators.filters import (
 from colonnade.operators.ranges import clip_ranges, key_range_stats
 from colonnade.operators.scan import get_row, get_rows, scan
 from colonnade.operators.word_count import word_count, word_count_cells
+from colonnade.plans import inputs
 
 
 def rows(*cells):
     return [dict(zip(("rowKey", "columnFamily", "columnName", "columnValue"), c)) for c in cells]
 
 
-ARTICLES = rows(
-    ("first", "article", "title", "Deep Tables"),
-    ("first", "article", "content", "rows, families, columns"),
-    ("first", "article", "tag", "a,b,c"),
-    ("first", "author", "name", "nicholas"),
-    ("first", "author", "nickname", "lee"),
-    ("second", "author", "name", "spark"),
-    ("second", "author", "nickname", "ember"),
+# Harbours: three rows of unequal width, two families.
+HARBOURS = rows(
+    ("aarhus", "place", "country", "DK"),
+    ("aarhus", "place", "berths", "31"),
+    ("aarhus", "tide", "low", "-2"),
+    ("bergen", "place", "country", "NO"),
+    ("bergen", "place", "pilot", "yes"),
+    ("bergen", "place", "berths", "18"),
+    ("bergen", "tide", "low", "-9"),
+    ("bergen", "tide", "high", "11"),
+    ("cork", "tide", "high", "23"),
+    ("cork", "tide", "place_of_gauge", "pier"),
 )
 
 
-def articles(spark):
-    return cells_from_maps(spark, ARTICLES)
+def harbours(spark):
+    return cells_from_maps(spark, HARBOURS)
 
 
 def keys_of(cells):
@@ -49,58 +57,61 @@ def keys_of(cells):
 
 
 def test_column_value_keeps_the_whole_row(spark):
-    found = apply_filter(articles(spark), ColumnValue("author:name", "EQUAL", "spark"))
-    assert cell_set(found) == [("second", "author", "name", "spark"), ("second", "author", "nickname", "ember")]
+    where = ColumnValue("place:pilot", "EQUAL", "yes", filter_if_missing=True)
+    assert cell_set(apply_filter(harbours(spark), where)) == [
+        ("bergen", "place", "berths", "18"), ("bergen", "place", "country", "NO"), ("bergen", "place", "pilot", "yes"),
+        ("bergen", "tide", "high", "11"), ("bergen", "tide", "low", "-9")]
 
 
 def test_row_without_the_column_passes_unless_strict(spark):
-    where = ColumnValue("article:tag", "EQUAL", "x")
-    assert keys_of(apply_filter(articles(spark), where)) == ["second"]
-    strict = ColumnValue("article:tag", "EQUAL", "x", filter_if_missing=True)
-    assert keys_of(apply_filter(articles(spark), strict)) == []
+    where = ColumnValue("place:country", "EQUAL", "NO")
+    assert keys_of(apply_filter(harbours(spark), where)) == ["bergen", "cork"]
+    strict = ColumnValue("place:country", "EQUAL", "NO", filter_if_missing=True)
+    assert keys_of(apply_filter(harbours(spark), strict)) == ["bergen"]
 
 
 def test_column_prefix_is_a_cell_filter(spark):
-    found = apply_filter(articles(spark), ColumnPrefix("name"))
-    assert cell_set(found) == [("first", "author", "name", "nicholas"), ("second", "author", "name", "spark")]
+    found = apply_filter(harbours(spark), ColumnPrefix("pl"))
+    assert cell_set(found) == [("cork", "tide", "place_of_gauge", "pier")]
+    assert len(cell_set(apply_filter(harbours(spark), ColumnPrefix("")))) == len(HARBOURS)
 
 
 def test_all_of_and_any_of(spark):
-    is_spark = ColumnValue("author:name", "EQUAL", "spark")
-    both = apply_filter(articles(spark), AllOf(is_spark, ColumnPrefix("name")))
-    assert cell_set(both) == [("second", "author", "name", "spark")]
-    either = apply_filter(articles(spark), AnyOf(is_spark, KeyRegex("^fir")))
-    assert keys_of(either) == ["first", "second"]
+    deep = ColumnValue("tide:low", "EQUAL", "-9", filter_if_missing=True)
+    both = apply_filter(harbours(spark), AllOf(deep, ColumnPrefix("b")))
+    assert cell_set(both) == [("bergen", "place", "berths", "18")]
+    either = apply_filter(harbours(spark), AnyOf(deep, KeyRegex("k$")))
+    assert keys_of(either) == ["bergen", "cork"]
     # A cell filter in an OR list lets single cells of other rows through.
-    either = apply_filter(articles(spark), AnyOf(is_spark, ColumnPrefix("ti")))
-    assert cell_set(either)[0] == ("first", "article", "title", "Deep Tables")
-    assert len(cell_set(either)) == 3
+    either = cell_set(apply_filter(harbours(spark), AnyOf(deep, ColumnPrefix("co"))))
+    assert either[0] == ("aarhus", "place", "country", "DK") and len(either) == 6
 
 
 def test_two_tested_columns_in_one_list(spark):
     where = AllOf(
-        ColumnValue("author:name", "EQUAL", "nicholas", filter_if_missing=True),
-        ColumnValue("article:tag", "NOT_EQUAL", "x"),
+        ColumnValue("tide:high", "NOT_EQUAL", "11"),
+        ColumnValue("place:berths", "EQUAL", "31", filter_if_missing=True),
     )
-    assert keys_of(apply_filter(articles(spark), where)) == ["first"]
-    nobody = AllOf(where, ColumnValue("author:nickname", "EQUAL", "ember", filter_if_missing=True))
-    assert keys_of(apply_filter(articles(spark), nobody)) == []
+    assert keys_of(apply_filter(harbours(spark), where)) == ["aarhus"]
+    nobody = AllOf(where, ColumnValue("tide:low", "EQUAL", "0", filter_if_missing=True))
+    assert keys_of(apply_filter(harbours(spark), nobody)) == []
 
 
 def test_row_flag_is_read_before_the_projection(spark):
-    found = scan(articles(spark), columns=["article"], where=ColumnValue("author:name", "EQUAL", "nicholas"))
-    assert len(cell_set(found)) == 3 and keys_of(found) == ["first"]
+    found = scan(harbours(spark), columns=["tide"], where=ColumnValue("place:berths", "LESS", 20, type_name="int"))
+    assert len(cell_set(found)) == 4 and keys_of(found) == ["bergen", "cork"]
 
 
 def test_key_patterns_find_anywhere(spark):
-    cells = cells_from_maps(spark, rows(*[(f"1234{i}", "info", "name", f"user{i}") for i in range(21, 50)]))
-    assert keys_of(apply_filter(cells, KeyRegex("^12341"))) == []
-    assert len(keys_of(apply_filter(cells, KeyRegex("^12342")))) == 9
-    assert len(keys_of(apply_filter(cells, KeyRegex("9$")))) == 3
-    assert len(keys_of(apply_filter(cells, KeyRegex("^12342", op="NOT_EQUAL")))) == 20
-    assert len(keys_of(apply_filter(cells, KeyRegex("34[23]1")))) == 2
-    assert len(keys_of(apply_filter(cells, KeyPrefix("12344")))) == 10
-    assert len(keys_of(apply_filter(cells, KeyCompare("GREATER_OR_EQUAL", "123448")))) == 2
+    names = [f"{row}{seat}" for row in "klmn" for seat in range(7, 13)]
+    cells = cells_from_maps(spark, rows(*[(name, "seat", "free", "y") for name in names]))
+    assert keys_of(apply_filter(cells, KeyRegex("^z"))) == []
+    assert keys_of(apply_filter(cells, KeyRegex("^l1"))) == ["l10", "l11", "l12"]
+    assert len(keys_of(apply_filter(cells, KeyRegex("[02]$")))) == 8
+    assert len(keys_of(apply_filter(cells, KeyRegex("^m", op="NOT_EQUAL")))) == 18
+    assert keys_of(apply_filter(cells, KeyRegex("[kn]8"))) == ["k8", "n8"]
+    assert len(keys_of(apply_filter(cells, KeyPrefix("n")))) == 6
+    assert keys_of(apply_filter(cells, KeyCompare("GREATER_OR_EQUAL", "n8"))) == ["n8", "n9"]
     assert keys_of(apply_filter(cells, KeyCompare("NO_OP", ""))) == []
 
 
@@ -117,73 +128,84 @@ def test_text_and_integer_comparison(spark):
 
 
 def test_binary_values(spark):
-    numbers = spark.createDataFrame([(f"r{n}", n) for n in (-5, 3, 1255, 1283)], "k string, n int")
-    cells = wide_to_cells(numbers, F.col("k"), {"info:password": codecs.encode_int(F.col("n"))})
-    big = ColumnValue("info:password", "GREATER", 1254, type_name="int")
-    assert keys_of(apply_filter(cells, big)) == ["r1255", "r1283"]
+    numbers = spark.createDataFrame([(f"d{n}", n) for n in (-40, 0, 260, 70_000)], "k string, n int")
+    cells = wide_to_cells(numbers, F.col("k"), {"sea:depth": codecs.encode_int(F.col("n"))})
+    deep = ColumnValue("sea:depth", "GREATER", 259, type_name="int")
+    assert keys_of(apply_filter(cells, deep)) == ["d260", "d70000"]
     # Bytewise, an encoded negative number sorts after every positive one.
-    raw = ColumnValue("info:password", "GREATER", b"\x00\x00\x04\xe7")
-    assert keys_of(apply_filter(cells, raw)) == ["r-5", "r1283"]
-    wide = read_wide(cells, {"info:password": "int"})
-    assert sorted(r["password"] for r in wide.collect()) == [-5, 3, 1255, 1283]
+    raw = ColumnValue("sea:depth", "GREATER", (260).to_bytes(4, "big"))
+    assert keys_of(apply_filter(cells, raw)) == ["d-40", "d70000"]
+    wide = read_wide(cells, {"sea:depth": "int"})
+    assert sorted(r["depth"] for r in wide.collect()) == [-40, 0, 260, 70_000]
 
 
 # ---- scans and rows --------------------------------------------------------------------------------------
 
 
-def people(spark):
-    lines = ["100,hello,20", "101,nice,24", "102,beautiful,26"]
+def cargo(spark):
+    """Four loads, keyed by the reversed number of their crate."""
+    lines = ["2041,tea,7", "2052,salt,130", "2063,rope,15", "2074,tar,88"]
     frame = spark.createDataFrame([(line,) for line in lines], "value string")
-    records = parse_lines(frame, ["id", "name", "age"])
-    key = keys.reverse_key(F.col("id"))
-    return wide_to_cells(records, key, {"cf1:name": F.col("name"), "cf1:age": F.col("age")})
+    records = parse_lines(frame, ["crate", "goods", "tons"])
+    key = keys.reverse_key(F.col("crate"))
+    return wide_to_cells(records, key, {"load:tons": F.col("tons"), "load:goods": F.col("goods")})
 
 
 def test_range_is_inclusive_then_exclusive(spark):
-    assert keys_of(scan(people(spark), "001", "201")) == ["001", "101"]
-    assert keys_of(scan(people(spark), "", "101")) == ["001"]
-    assert keys_of(scan(people(spark), "101", "")) == ["101", "201"]
-    assert keys_of(scan(people(spark))) == ["001", "101", "201"]
+    assert keys_of(scan(cargo(spark), "1402", "3602")) == ["1402", "2502"]
+    assert keys_of(scan(cargo(spark), "", "2502")) == ["1402"]
+    assert keys_of(scan(cargo(spark), "2502", "")) == ["2502", "3602", "4702"]
+    assert keys_of(scan(cargo(spark))) == ["1402", "2502", "3602", "4702"]
 
 
 def test_joined_rows(spark):
-    joined = join_values(scan(people(spark), "001", "201", columns=["cf1"]), "_")
-    assert sorted(map(tuple, joined.collect())) == [("001", "20_hello"), ("101", "24_nice")]
-    assert [r[0] for r in joined.filter(F.col("value").startswith("20")).collect()] == ["001"]
+    joined = join_values(scan(cargo(spark), "2", "4", columns=["load"]), "/")
+    assert sorted(map(tuple, joined.collect())) == [("2502", "salt/130"), ("3602", "rope/15")]
+    assert [r[0] for r in joined.filter(F.col("value").startswith("ro")).collect()] == ["3602"]
 
 
 def test_gets(spark):
-    assert get_row(people(spark), "201").count() == 2
-    assert get_row(people(spark), "999").count() == 0
-    wanted = spark.createDataFrame([("001",), ("201",), ("201",), ("none",)], "row_key string")
-    assert keys_of(get_rows(people(spark), wanted)) == ["001", "201"]
+    assert get_row(cargo(spark), "4702").count() == 2
+    assert get_row(cargo(spark), "47").count() == 0
+    wanted = spark.createDataFrame([("1402",), ("4702",), ("1402",), ("none",), (None,)], "row_key string")
+    assert keys_of(get_rows(cargo(spark), wanted)) == ["1402", "4702"]
+    assert get_rows(cargo(spark), wanted.limit(0)).count() == 0
+
+
+def test_multi_get_of_a_log_applies_deletes(spark):
+    log = mut.put(cargo(spark))
+    gone = spark.createDataFrame([("1402", 1, 0), ("2502", 1, 0)], "row_key string, ts bigint, seq bigint")
+    log = log.unionByName(mut.delete_rows(gone)).unionByName(mut.delete_column(gone, "load", "tons"))
+    wanted = spark.createDataFrame([("1402",), ("3602",)], "row_key string")
+    assert cell_set(get_rows(log, wanted)) == [("3602", "load", "goods", "rope"), ("3602", "load", "tons", "15")]
 
 
 def test_ordered_scan(spark):
-    order = [tuple(r) for r in scan(articles(spark), ordered=True).select("row_key", "family", "qualifier").collect()]
+    order = [tuple(r) for r in scan(harbours(spark), ordered=True).select("row_key", "family", "qualifier").collect()]
     assert order == sorted(order)
 
 
 def test_render(spark):
-    cells = get_row(articles(spark), "second")
+    cells = get_row(harbours(spark), "cork")
     assert sorted(r["cell"] for r in render_cells(cells).collect()) == [
-        "author::name::spark", "author::nickname::ember"]
+        "tide::high::23", "tide::place_of_gauge::pier"]
     assert sorted(r["cell"] for r in render_cells(cells, with_family=False).collect()) == [
-        "name::spark", "nickname::ember"]
+        "high::23", "place_of_gauge::pier"]
 
 
-def test_sparse_rows_read_as_null(spark):
-    sparse = cells_from_maps(spark, rows(
-        ("rowKey1", "user", "name", "ann"), ("rowKey2", "user", "age", "18"),
-        ("rowKey3", "user", "weight", "120"), ("rowKey4", "user", "sex", "男")))
-    columns = {"user:name": "string", "user:age": "int", "user:weight": "bigint", "user:sex": "string"}
-    wide = [tuple(r) for r in read_wide(sparse, columns).orderBy("row_key").collect()]
-    assert wide == [
-        ("rowKey1", "ann", None, None, None), ("rowKey2", None, 18, None, None),
-        ("rowKey3", None, None, 120, None), ("rowKey4", None, None, None, "男")]
-    assert keys_of(apply_filter(sparse, KeyRegex("Key1$"))) == ["rowKey1"]
-    named = read_wide(sparse, {"user:age": "int"}, {"user:age": "years"})
-    assert named.columns == ["row_key", "years"]
+def test_absent_columns_read_as_null(spark):
+    columns = {"place:country": "string", "place:berths": "int", "tide:high": "bigint"}
+    wide = [tuple(r) for r in read_wide(harbours(spark), columns).orderBy("row_key").collect()]
+    assert wide == [("aarhus", "DK", 31, None), ("bergen", "NO", 18, 11), ("cork", None, None, 23)]
+    named = read_wide(harbours(spark), {"place:berths": "int"}, {"place:berths": "room"})
+    assert named.columns == ["row_key", "room"]
+
+
+def test_read_wide_applies_the_deletes_of_a_log(spark):
+    one = spark.createDataFrame([("bergen", 5, 0)], "row_key string, ts bigint, seq bigint")
+    log = mut.put(harbours(spark)).unionByName(mut.delete_family(one, "tide"))
+    wide = read_wide(log, {"place:berths": "int", "tide:high": "int"})
+    assert sorted(map(tuple, wide.collect())) == [("aarhus", 31, None), ("bergen", 18, None), ("cork", None, 23)]
 
 
 def test_read_wide_takes_the_newest_version(spark):
@@ -222,14 +244,45 @@ def test_values_that_do_not_fit_read_as_null(spark):
     assert got[1][:3] == (7, None, None) and "�" in got[1][3]
 
 
+def test_numbers_that_do_not_fit_are_not_cut(spark):
+    frame = spark.createDataFrame([(5,), (2**32 + 5,), (2**40 + 5,), (-(2**31) - 1,), (None,)], "v bigint")
+    for number in (2**32 + 5, -(2**31) - 1):
+        with pytest.raises(Exception, match="does not fit in 4"):
+            frame.filter(F.col("v") == number).select(codecs.encode_int(F.col("v"))).collect()
+    with pytest.raises(Exception, match="does not fit in 1"):
+        frame.filter("v = 4294967301").select(codecs.encode_byte(F.col("v"))).collect()
+    lenient = [r[0] for r in frame.select(codecs.encode_int(F.col("v"), strict=False)).collect()]
+    assert [x and bytes(x) for x in lenient] == [(5).to_bytes(4, "big"), None, None, None, None]
+    parts = frame.filter("v > 0").select(F.lit(1).alias("s"), F.col("v").alias("a"), F.lit(9).alias("t"))
+    wide = parts.select(keys.composite_key(F.col("s"), F.col("a"), F.col("t"), F.col("a"), wide=True).alias("k"))
+    assert wide.distinct().count() == 3
+
+
 def test_salt(spark):
-    frame = spark.createDataFrame([("100",), ("101",), ("102",)], "k string")
-    salted = sorted(r[0] for r in frame.select(keys.salt_key(F.col("k"))).collect())
-    assert salted == ["38b101", "ec8102", "f89100"]
+    frame = spark.createDataFrame([("tea",), ("rope",)], "k string")
+    salted = {r[0]: r[1] for r in frame.select("k", keys.salt_key(F.col("k"))).collect()}
+    assert salted == {k: hashlib.md5(k.encode()).hexdigest()[:3] + k for k in ("tea", "rope")}
     back = frame.select("k", keys.unsalt_key(keys.salt_key(F.col("k"))).alias("b"))
     assert all(r["k"] == r["b"] for r in back.collect())
 
 
+def test_content_keys_tell_nulls_and_separators_apart(spark):
+    lines = [("a", None, "b"), ("a", "b", None), ("a\tb", "c", "d"), ("a", "b\tc", "d"), ("a", "b\tc", "d")]
+    frame = spark.createDataFrame(lines, "x string, y string, z string")
+    keyed = keys.with_content_key(frame, ["x", "y", "z"])
+    found = [r["row_key"] for r in keyed.collect()]
+    assert len(set(found)) == 5 and len({k.split("-")[0] for k in found}) == 4
+    assert all(len(k.split("-")[0]) == 64 for k in found)
+    assert sorted(found) == sorted(r["row_key"] for r in keys.with_content_key(frame, ["x", "y", "z"]).collect())
+
+
+def test_copies_are_numbered_in_blocks(spark):
+    frame = spark.range(25).select(F.lit("same").alias("x"))
+    blocks = keys.copy_blocks(frame, ["x"], copies_per_row=10)
+    assert sorted((r["first"], r["last"]) for r in blocks.collect()) == [(1, 10), (11, 20), (21, 25)]
+    assert keys.numbered_copies(blocks, ["x"]).distinct().count() == 25
+
+
 def test_composite_key_layout(spark):
     frame = spark.createDataFrame([(3, 77, 1_700_000_000, 5)], "s int, a bigint, t bigint, b bigint")
     key = bytes(frame.select(keys.composite_key(*map(F.col, "satb"))).first()[0])
@@ -244,6 +297,19 @@ def test_time_keys_tell_records_of_one_millisecond_apart(spark):
         assert found == [9, 1, 2]
 
 
+def test_time_key_text_sorts_times_before_1970(spark):
+    times = [-(2**63), -2000, -1999, -1, 0, 5, 10**12, 2**63 - 1]
+    frame = spark.createDataFrame([(t,) for t in reversed(times)], "ms bigint")
+    ordered = frame.withColumn("k", keys.time_key_text(F.col("ms"), F.lit(0))).orderBy("k")
+    assert [r["ms"] for r in ordered.collect()] == times
+
+
+def test_ids_of_any_length_keep_their_order(spark):
+    ids = [7, 10**12, 10**12 + 1, 10**13, 2**63 - 1]
+    padded = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "n bigint").select(inputs.padded("n")).collect()]
+    assert padded == sorted(padded) and len(set(padded)) == len(ids)
+
+
 def test_binary_keys_scan_in_byte_order(spark):
     frame = spark.createDataFrame([(n,) for n in (0, 1, 255, 256, 70_000, -1)], "n bigint")
     cells = wide_to_cells(frame, codecs.encode_bigint(F.col("n")), {"f:n": F.col("n").cast("string")})
@@ -274,6 +340,12 @@ def test_split_drops_empty_fields_at_the_end_only(spark):
     assert got == [["a", "b", "c"], ["a", "", "c"], ["a", "b"], ["", "b", "c"], [""]]
 
 
+def test_separators_of_several_characters(spark):
+    lines = spark.createDataFrame([("k::b:",), ("k::b::",), ("k::::b",), ("::",)], "l string")
+    got = [r[0] for r in lines.select(split_fields(F.col("l"), "::")).collect()]
+    assert got == [["k", "b:"], ["k", "b"], ["k", "", "b"], [""]]
+
+
 def test_short_and_long_lines(spark):
     lines = spark.createDataFrame([("1,a,b",), ("2,a",), ("3,a,b,c",), (",a,b",), (None,)], "value string")
     lenient = {r["value"]: r["reject"] for r in parse_lines(lines, ["k", "n", "a"]).collect()}
@@ -321,24 +393,30 @@ def test_sequence_breaks_ties_of_time(spark):
 
 
 def test_deletes_of_every_scope(spark):
-    base = mut.put(articles(spark))
-    first = spark.createDataFrame([("first", 1, 0)], "row_key string, ts bigint, seq bigint")
+    base = mut.put(harbours(spark))
+    one = spark.createDataFrame([("bergen", 1, 0)], "row_key string, ts bigint, seq bigint")
 
     def left(marker):
         return cell_set(mut.resolve_latest(base.unionByName(marker)))
 
-    assert [c[0] for c in left(mut.delete_rows(first))] == ["second", "second"]
-    assert [c[2] for c in left(mut.delete_family(first, "article"))] == ["name", "nickname"] * 2
-    assert len(left(mut.delete_columns(first, "article", ["content", "title"]))) == 5
-    assert len(left(mut.delete_column(first, "article", "name"))) == 7
-    assert len(left(mut.delete_column(first, "article", "tag"))) == 6
+    assert [c[0] for c in left(mut.delete_rows(one))] == ["aarhus"] * 3 + ["cork"] * 2
+    assert [c[2] for c in left(mut.delete_family(one, "place"))] == [
+        "berths", "country", "low", "high", "low", "high", "place_of_gauge"]
+    assert len(left(mut.delete_columns(one, "place", ["country", "pilot"]))) == 8
+    assert len(left(mut.delete_column(one, "tide", "berths"))) == 10
+    assert len(left(mut.delete_column(one, "tide", "low"))) == 9
+
+
+def test_a_family_marker_without_family_hides_nothing(spark):
+    log = log_frame(spark, [("r", "a", "x", 1, 0, "put", "v"), ("r", "b", "x", 1, 1, "put", "w"),
+                            ("r", None, None, 2, 2, "delete_family", None)])
+    assert len(cell_set(mut.resolve_latest(log))) == 2
 
 
 def test_update_replaces_one_cell(spark):
-    change = cells_from_maps(spark, rows(("second", "author", "name", "flint")), ts=1)
-    log = mut.put(articles(spark)).unionByName(mut.put(change))
-    shown = cell_set(mut.resolve_latest(log))
-    assert ("second", "author", "name", "flint") in shown and len(shown) == 7
+    change = cells_from_maps(spark, rows(("cork", "tide", "high", "24")), ts=1)
+    shown = cell_set(mut.resolve_latest(mut.put(harbours(spark)).unionByName(mut.put(change))))
+    assert ("cork", "tide", "high", "24") in shown and len(shown) == 10
 
 
 # ---- key ranges ------------------------------------------------------------------------------------------
@@ -363,3 +441,10 @@ def test_range_statistics_count_every_key_once(spark):
         assert longest == max((1 + i % 3 for i in inside), default=0)
     assert [g[:2] for g in got] == [("050", "100"), ("100", "101"), ("200", "400"), ("400", "460")]
     assert key_range_stats(spark, cells, regions, "150", "160").count() == 0
+
+
+def test_range_statistics_of_a_log_count_what_it_shows(spark):
+    log = log_frame(spark, [
+        ("a", "f", "q", 1, 0, "put", "1"), ("b", "f", "q", 1, 1, "put", "2"), ("b", None, None, 2, 2, "delete_row", None),
+        ("c", "f", None, 2, 3, "delete_family", None)])
+    assert [tuple(r) for r in key_range_stats(spark, log, [("", "")]).collect()] == [("", "", 1, 1, 1)]

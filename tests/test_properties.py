@@ -92,13 +92,12 @@ def test_sorted_load_keeps_every_entry_in_order(spark, tmp_path):
     assert len(seen) == 400 and seen == sorted(seen)
 
 
-@pytest.mark.parametrize("copies_per_task", [1, 3, 100_000])
-def test_content_keys_number_equal_records(spark, monkeypatch, copies_per_task):
-    monkeypatch.setattr("colonnade.functions.keys.COPIES_PER_TASK", copies_per_task)
+@pytest.mark.parametrize("copies_per_row", [1, 3, 100_000])
+def test_content_keys_number_equal_records(spark, copies_per_row):
     lines = [("a", "1")] * 7 + [("b", "1")] * 2 + [("c", "")]
     records = spark.createDataFrame(lines, "x string, y string").repartition(3)
-    keyed = [tuple(r) for r in with_content_key(records, ["x", "y"]).collect()]
-    again = [tuple(r) for r in with_content_key(records, ["x", "y"]).collect()]
+    keyed = [tuple(r) for r in with_content_key(records, ["x", "y"], copies_per_row=copies_per_row).collect()]
+    again = [tuple(r) for r in with_content_key(records, ["x", "y"], copies_per_row=copies_per_row).collect()]
     assert sorted(keyed) == sorted(again)
     assert sorted(k[1:] for k in keyed) == sorted(lines)
     assert len({k[0] for k in keyed}) == len(lines)

@@ -116,11 +116,10 @@ def test_index_splits_a_frequent_value(spark, tmp_path):
     assert files >= 10 and share < 0.2
 
 
-def test_copies_of_a_hot_line_go_to_many_tasks(spark, monkeypatch, conf):
-    monkeypatch.setattr("colonnade.functions.keys.COPIES_PER_TASK", 100)
+def test_copies_of_a_hot_line_go_to_many_tasks(spark, conf):
     conf(spark__sql__shuffle__partitions="8", spark__sql__adaptive__coalescePartitions__enabled="false")
     records = spark.range(6000).selectExpr("if(id % 3 = 0, 'hot', concat('line', id)) line")
-    keyed = with_content_key(records, ["line"])
+    keyed = with_content_key(records, ["line"], copies_per_row=100)
     assert keyed.count() == 6000 and keyed.select("row_key").distinct().count() == 6000
     tasks = keyed.filter("line = 'hot'").groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert len(tasks) >= 5 and max(r["count"] for r in tasks) <= 1000

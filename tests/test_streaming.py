@@ -1,14 +1,22 @@
 """Streams over a file source: restart, replay, late and duplicate records."""
 
 import pytest
-from conftest import cell_set
+from conftest import cell_set, log_frame
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from colonnade.model import LOG_SCHEMA
 from colonnade.operators.cells import cells_from_maps, wide_to_cells
-from colonnade.operators.mutations import newest_versions, put, resolve_latest
-from colonnade.sources.tables import bulk_load, drop_table, table_families
+from colonnade.operators.mutations import delete_column, newest_versions, put, resolve_latest
+from colonnade.sources.tables import (
+    append_cells,
+    append_log,
+    bulk_load,
+    compact_table,
+    drop_table,
+    table_batches,
+    table_families,
+)
 from colonnade.streaming import sinks
 
 SCHEMA = "value string, ts bigint, seq bigint"
@@ -109,10 +117,68 @@ def test_raw_stream_creates_its_table_once(spark, feed, tmp_path):
     assert len(go()) == 1 and table_families(spark, name) == ["cf1"]
     feed.add(("y", 6, 1), ("z", 7, 1))
     assert [c[3] for c in go()] == ["x", "y", "z"]
-    assert cell_set(resolve_latest(spark.table(name).drop("batch_id"))) == go()
+    assert cell_set(resolve_latest(spark.table(name).drop("batch"))) == go()
     drop_table(spark, name)
 
 
+def test_batches_after_a_compaction_appear(spark, feed, tmp_path):
+    out, offsets, name = str(tmp_path / "raw"), str(tmp_path / "offsets"), "raw_compacted"
+
+    def go():
+        records = feed.stream().select("value", F.col("ts").alias("millis"), F.col("seq").alias("tiebreak"))
+        sinks.raw_append_stream(records, out, offsets, interval=None, table=name).awaitTermination()
+
+    feed.add(*((f"a{i}", i, 1) for i in range(1000)))
+    go()
+    compact_table(spark, name)
+    assert spark.table(name).count() == 1000 and len(table_batches(spark, name)) == 1
+    feed.add(*((f"b{i}", i, 2) for i in range(1000)))
+    go()
+    assert spark.table(name).count() == 2000
+    compact_table(spark, name)
+    assert spark.table(name).count() == 2000 and len(table_batches(spark, name)) == 1
+    drop_table(spark, name)
+
+
+def test_streams_and_batch_jobs_share_a_table(spark, feed, tmp_path):
+    name = "shared_cells"
+
+    def go():
+        sinks.upsert_stream(feed.stream(), COLUMNS, str(tmp_path / "out"), str(tmp_path / "offsets"), interval=None,
+                            table=name).awaitTermination()
+        return cell_set(resolve_latest(spark.table(name)))
+
+    feed.add(("1,ann,30", 1, 1), ("broken", 1, 2))
+    feed.add(("only", 1, 3), ("rejects", 1, 4))
+    assert go() == [("1", "cf1", "age", "30"), ("1", "cf1", "name", "ann")]
+    rows = [{"rowKey": "2", "columnFamily": "cf1", "columnName": "name", "columnValue": "bo"}]
+    append_cells(cells_from_maps(spark, rows), name)
+    one = spark.createDataFrame([("1", 9, 9)], "row_key string, ts bigint, seq bigint")
+    append_log(delete_column(one, "cf1", "age"), name)
+    shown = [("1", "cf1", "name", "ann"), ("2", "cf1", "name", "bo")]
+    assert cell_set(resolve_latest(spark.table(name))) == shown
+    compact_table(spark, name)
+    assert cell_set(spark.table(name)) == shown
+    feed.add(("1,ann,31", 10, 1))
+    assert go() == [("1", "cf1", "age", "31"), *shown]
+    rejects = sinks.read_rejects(spark, str(tmp_path / "out"))
+    assert sorted(r["line"] for r in rejects.collect()) == ["broken", "only", "rejects"]
+    drop_table(spark, name)
+
+
+def test_topic_partitions_do_not_mix(spark, tmp_path):
+    """Two partitions share offsets and milliseconds; no record is lost on the way into a raw table."""
+    messages = spark.range(40).selectExpr(
+        "cast(concat('m', id) as binary) AS value", "timestamp_millis(1700000000000 + id % 2) AS timestamp",
+        "cast(id % 4 as int) AS partition", "id div 4 AS offset")
+    messages.write.parquet(str(tmp_path / "topic"))
+    stream = sinks.topic_records(spark.readStream.schema(messages.schema).parquet(str(tmp_path / "topic")))
+    out = str(tmp_path / "out")
+    sinks.raw_append_stream(stream, out, str(tmp_path / "offsets"), interval=None).awaitTermination()
+    cells = cell_set(newest_versions(sinks.read_batches(spark, out)))
+    assert sorted(c[3] for c in cells) == sorted(f"m{i}" for i in range(40))
+
+
 def test_running_newest_value(spark, feed, tmp_path):
     feed.add(("k1,a", 10, 1), ("k2,a", 10, 2))
     feed.add(("k1,late", 5, 3), ("k2,b", 11, 4))
@@ -127,6 +193,20 @@ def test_running_newest_value(spark, feed, tmp_path):
         ("k1", "f", "q", "a"), ("k2", "f", "q", "b"), ("k3", "f", "q", "c")]
 
 
+def test_running_newest_value_keeps_deletes(spark, tmp_path):
+    log = log_frame(spark, [
+        ("r1", "a", "x", 1, 0, "put", "v"), ("r1", "a", "x", 2, 1, "delete_column", None),
+        ("r1", "b", "x", 1, 2, "put", "w"), ("r2", "a", "x", 1, 3, "put", "u"), ("r2", None, None, 5, 4, "delete_row", None),
+        ("r3", "a", "x", 7, 5, "put", "t"), ("r3", "a", None, 6, 6, "delete_family", None)])
+    log.write.parquet(str(tmp_path / "log"))
+    stream = spark.readStream.schema(LOG_SCHEMA).parquet(str(tmp_path / "log"))
+    out = str(tmp_path / "latest")
+    sinks.latest_stream(stream, out, str(tmp_path / "offsets"), interval=None).awaitTermination()
+    changes = sinks.read_batches(spark, out)
+    assert changes.filter("op = 'put' AND value IS NULL").count() == 0
+    assert cell_set(resolve_latest(changes)) == [("r1", "b", "x", "w"), ("r3", "a", "x", "t")]
+
+
 def test_table_range_as_stream(spark, tmp_path):
     rows = [{"rowKey": k, "columnFamily": "cf1", "columnName": c, "columnValue": f"{c}{k}"}
             for k in ("100", "103", "106", "107", "203") for c in ("name", "age")]
@@ -144,6 +224,21 @@ def test_table_range_as_stream(spark, tmp_path):
     assert [k for k, _ in emitted(start="100", stop="300", prefix="10")] == ["100", "103", "106", "107"]
 
 
+def test_range_of_a_stream_reaches_the_files(spark, tmp_path):
+    """The micro-batch reads the range's files alone, and reads them once."""
+    cells = spark.range(20_000).selectExpr("lpad(id, 6, '0') AS row_key", "'f' AS family", "'q' AS qualifier",
+                                           "0L AS ts", "0L AS seq", "'v' AS value")
+    table, out = str(tmp_path / "table"), str(tmp_path / "out")
+    bulk_load(put(cells), table, partitions=8)
+    query = sinks.scan_stream(spark, table, LOG_SCHEMA, out, f"{out}-offsets", start="000100", stop="000120")
+    query.awaitTermination()
+    text = spark._jvm.PythonSQLUtils.explainString(
+        query._jsq.streamingQuery().lastExecution(), "formatted") if hasattr(query._jsq, "streamingQuery") else ""
+    assert not text or "GreaterThanOrEqual(row_key,000100)" in text
+    assert sum(p["numInputRows"] for p in query.recentProgress) < 5000
+    assert sinks.read_batches(spark, out, sinks.JOINED_SCHEMA).count() == 20
+
+
 def test_topic_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         sinks.topic_stream(spark, "nowhere:1", "records")

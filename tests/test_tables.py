@@ -1,7 +1,6 @@
 """Named tables, connectors, text sources and indexes."""
 
 import os
-import tempfile
 
 import pytest
 from conftest import cell_set, log_frame
@@ -54,6 +53,30 @@ def test_undeclared_family_and_empty_key_fail_the_write(spark, table):
     assert spark.table(table).count() == 0
 
 
+@pytest.mark.parametrize("entry, said", [
+    (("r", None, "x", 1, 0, "put", "v"), "needs a column family"),
+    (("r", None, None, 1, 0, "delete_family", None), "needs a column family"),
+    (("r", "info", None, 1, 0, "delete_column", None), "needs a qualifier"),
+    (("r", "info", None, 1, 0, "put", "v"), "needs a qualifier"),
+    (("r", "info", "x", 1, 0, "PUT", "v"), "unknown operation: PUT"),
+    (("r", "info", "x", 1, 0, None, "v"), "unknown operation"),
+])
+def test_entries_that_name_too_little_fail_the_write(spark, table, entry, said):
+    with pytest.raises(Exception, match=said):
+        tables.append_log(log_frame(spark, [entry]), table)
+    assert spark.table(table).count() == 0
+
+
+def test_a_table_recreated_over_a_used_folder_is_empty(spark, tmp_path):
+    path = str(tmp_path / "used")
+    first = tables.recreate_table(spark, "reused", ["f"], path)
+    tables.append_cells(cells_from_maps(spark, rows(("1", "f", "q", "x"))), "reused")
+    assert spark.table("reused").count() == 1
+    assert tables.recreate_table(spark, "reused", ["f"], path) != first
+    assert spark.table("reused").count() == 0
+    tables.drop_table(spark, "reused")
+
+
 def test_markers_need_no_family(spark, table):
     key = spark.createDataFrame([("1", 5, 0)], "row_key string, ts bigint, seq bigint")
     tables.append_cells(cells_from_maps(spark, rows(("1", "info", "name", "ann"))), table)
@@ -74,7 +97,7 @@ def test_compaction_keeps_the_visible_cells(spark, tmp_path):
     assert spark.table(name).count() == 2
     assert cell_set(mut.resolve_latest(spark.table(name))) == shown == [("r0", "a", "z", "w"), ("r1", "a", "x", "new")]
     # The old files are still there for readers that started before.
-    assert spark.read.parquet(location).count() == 5
+    assert spark.read.parquet(location).count() == 7
     tables.append_cells(cells_from_maps(spark, rows(("r3", "a", "x", "later"))), name)
     second = tables.compact_table(spark, name)
     assert os.path.dirname(first) == os.path.dirname(second) and first != second
@@ -84,7 +107,7 @@ def test_compaction_keeps_the_visible_cells(spark, tmp_path):
 
 def test_connector_by_name(spark, tmp_path):
     options = {"path": str(tmp_path / "orc")}
-    frame = spark.createDataFrame([("1", "hello", "25"), ("2", "world", "26")], "id string, name string, age string")
+    frame = spark.createDataFrame([("k1", "oak", 3.5), ("k2", None, 0.25)], "id string, tree string, height double")
     tables.write_table(frame, "orc", options)
     tables.write_table(frame, "orc", options)
     assert sorted(map(tuple, tables.read_table(spark, "orc", options).collect())) == sorted(map(tuple, frame.collect()))
@@ -100,23 +123,26 @@ def test_jdbc_options():
 
 
 def test_upsert_by_primary_key(spark):
-    base = spark.createDataFrame([("1", "hello", "25", 0, 0), ("2", "world", "26", 0, 1)],
-                                 "id string, name string, age string, ts int, seq int")
-    change = spark.createDataFrame([("1", "27", 1, 0), ("3", "5", 1, 1), ("1", "28", 2, 0)],
-                                   "id string, age string, ts int, seq int")
-    got = sorted(map(tuple, tables.upsert(base, change, "id").collect()))
-    assert got == [("1", "hello", "28"), ("2", "world", "26"), ("3", None, "5")]
-    again = tables.upsert(base, base, "id")
-    assert again.count() == 2
+    base = spark.createDataFrame([("elm", "north", 4, 0, 0), ("fir", "south", 9, 0, 1)],
+                                 "tree string, side string, height int, ts int, seq int")
+    change = spark.createDataFrame([("elm", 5, 1, 0), ("yew", 2, 1, 1), ("elm", 6, 2, 0)],
+                                   "tree string, height int, ts int, seq int")
+    got = sorted(map(tuple, tables.upsert(base, change, "tree").collect()))
+    assert got == [("elm", "north", 6), ("fir", "south", 9), ("yew", None, 2)]
+    once = tables.upsert(base, change, "tree", versions=True)
+    later = spark.createDataFrame([("elm", "east", 3, 0), ("fir", "west", 0, 0)], "tree string, side string, ts int, seq int")
+    got = sorted(map(tuple, tables.upsert(once, later, "tree").collect()))
+    assert got == [("elm", "east", 6), ("fir", "south", 9), ("yew", None, 2)]
 
 
 def test_delimited_file(spark, tmp_path):
     file = tmp_path / "a.txt"
-    file.write_text("100,hello,20\n101,nice,24\n102,beautiful,26\n103,short\n104,a,b,c\n")
-    good, bad = read_delimited(spark, str(file), ["id", "name", "age"])
-    assert good.count() == 4 and [tuple(r) for r in bad.collect()] == [("103,short", "too few fields")]
-    good, bad = read_delimited(spark, str(file), ["id", "name", "age"], strict=True)
-    assert good.count() == 3 and bad.count() == 2
+    file.write_text("elm,4\nfir,9,tall\nyew\n")
+    good, bad = read_delimited(spark, str(file), ["value", "line"])
+    assert sorted(map(tuple, good.collect())) == [("elm", "4"), ("fir", "9")] and good.columns == ["value", "line"]
+    assert [tuple(r) for r in bad.collect()] == [("yew", "too few fields")]
+    good, bad = read_delimited(spark, str(file), ["value", "line"], strict=True)
+    assert good.count() == 1 and bad.count() == 2
 
 
 def test_search_log(spark, tmp_path):
@@ -144,19 +170,16 @@ def test_index_answers_alone_or_with_the_table(spark, tmp_path):
     assert sorted({c[0] for c in cell_set(lookup_rows(index, red, cells))}) == ["r1", "r3"]
 
 
-def test_scratch_folder_is_the_shared_one(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+def test_scratch_folder_is_the_shared_one(spark, conf):
+    root = spark.conf.get("spark.checkpoint.dir")
     path = session.scratch_dir(spark, "x")
     assert path.startswith(f"{root}/colonnade/x-") and path != session.scratch_dir(spark, "x")
 
-    class Context:
-        master = "spark://cluster:7077"
-
-    class Unset:
-        sparkContext = Context()
-
-        class conf:
-            get = staticmethod(lambda key, default: default)
+    def stub(conf, folder):
+        context = type("Context", (), {"getCheckpointDir": lambda self: folder})()
+        settings = type("Conf", (), {"get": lambda self, key, default: conf})()
+        return type("Session", (), {"conf": settings, "sparkContext": context})()
 
+    assert session.scratch_dir(stub(None, "/shared"), "x").startswith("/shared/colonnade/x-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.scratch_dir(Unset, "x")
+        session.scratch_dir(stub(None, None), "x")
