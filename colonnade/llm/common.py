@@ -54,7 +54,7 @@ def lower_ascii(text: Column) -> Column:
 def stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared folder and read back: work done once, kept when executors are lost."""
     path = scratch_dir(spark, label)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -12,11 +12,13 @@ bounded by the distinct hashes of a bucket, not by how often one occurs.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,22 +38,24 @@ TABLE, PROBE, ANSWER = 0, 1, 2
 def pack(ids: np.ndarray, counts: np.ndarray, places: np.ndarray, hashes: np.ndarray) -> bytes:
     """Documents (a row of numbers each), how many entries each has, their places (rising) and their hashes.
 
-    Numbers that are near to each other are kept as differences of one byte, with an escape for large ones.
+    Numbers that are near to each other are kept as differences of one or two bytes, with an escape for large ones.
     """
     firsts = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
     steps = np.diff(places, prepend=0).astype(np.int64)
     steps[firsts] = places[firsts]
-    small = np.minimum(steps, 255).astype(np.uint8)
-    large = steps[steps >= 255].astype("<u4")
+    width = 1 if np.count_nonzero(steps >= 255) * 4 < len(steps) else 2
+    escape = (1 << 8 * width) - 1
+    small = np.minimum(steps, escape).astype(f"<u{width}")
+    large = steps[steps >= escape].astype("<u4")
     id_steps = np.diff(ids, axis=0, prepend=np.zeros((1, ids.shape[1]), np.int64))
-    head = struct.pack("<5q", len(ids), ids.shape[1], len(places), len(large), hashes.itemsize)
+    head = struct.pack("<6q", len(ids), ids.shape[1], len(places), len(large), hashes.itemsize, width)
     arrays = (id_steps.T.copy(), counts.astype("<u4"), large, hashes, small)
     return head + b"".join(a.tobytes() for a in arrays)
 
 
 def unpack(payload: memoryview) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    n_ids, width, n, n_large, size = struct.unpack_from("<5q", payload, 0)
-    at = 40
+    n_ids, width, n, n_large, size, step = struct.unpack_from("<6q", payload, 0)
+    at = 48
 
     def take(kind: str, count: int) -> np.ndarray:
         nonlocal at
@@ -61,8 +65,8 @@ def unpack(payload: memoryview) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
     ids = np.cumsum(take("<i8", n_ids * width).reshape(width, n_ids), axis=1).T
     counts, large = take("<u4", n_ids).astype(np.int64), take("<u4", n_large)
-    hashes, steps = take(f"<u{size}", n), take("u1", n).astype(np.int64)
-    steps[steps == 255] = large
+    hashes, steps = take(f"<u{size}", n), take(f"<u{step}", n).astype(np.int64)
+    steps[steps == (1 << 8 * step) - 1] = large
     total = np.cumsum(steps)
     firsts = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
     places = total - np.repeat(total[firsts] - steps[firsts], counts)
@@ -147,7 +151,10 @@ class Smallest:
 
 
 def answers(width: int) -> Callable:
-    """The Arrow task that streams sorted bucket rows: the documents' numbers and the places that were hit."""
+    """The Arrow task that streams sorted bucket rows: the documents' numbers and the places that were hit.
+
+    ``repeats`` are places whose hash a smaller document holds, ``asked`` those whose hash a larger one asks for.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, table = None, Smallest()
@@ -172,9 +179,11 @@ def answers(width: int) -> Callable:
                     firsts = np.flatnonzero(np.diff(owner, prepend=-1))
                     edges = np.append(firsts, len(hit)).astype(np.int32)
                     found = pa.ListArray.from_arrays(edges, pa.array(places[hit].astype(np.int32)))
+                    nothing = pa.nulls(len(firsts), found.type)
+                    both = [found, nothing] if kind.as_py() == PROBE else [nothing, found]
                     numbers = [pa.array(ids[owner[firsts], k]) for k in range(width)]
                     names = ["doc_id", "version"][:width]
-                    yield pa.RecordBatch.from_arrays([*numbers, found], names=[*names, "places"])
+                    yield pa.RecordBatch.from_arrays([*numbers, *both], names=[*names, "repeats", "asked"])
 
     return run
 
@@ -182,9 +191,9 @@ def answers(width: int) -> Callable:
 def streamed(frame: DataFrame, width: int) -> DataFrame:
     """The bucket rows, each bucket to one task in the order of kinds, and what that task answers."""
     spark = frame.sparkSession
-    dealt = frame.repartition(task_count(spark), "bucket").sortWithinPartitions("bucket", "kind")
+    dealt = frame.repartitionById(task_count(spark), "bucket").sortWithinPartitions("bucket", "kind")
     numbers = ["doc_id bigint", "version bigint"][:width]
-    return arrow_job(dealt, answers(width), ", ".join([*numbers, "places array<int>"]))
+    return arrow_job(dealt, answers(width), ", ".join([*numbers, "repeats array<int>", "asked array<int>"]))
 
 
 # ---- hits of blocks ---------------------------------------------------------------------------------------
@@ -218,14 +227,11 @@ def block_rows(buckets: int) -> Callable:
     return run
 
 
-def bucket_count(spark: SparkSession) -> int:
-    return 4 * task_count(spark)
-
-
 def anchors(docs: DataFrame) -> DataFrame:
-    """``doc_id, places``: where windows of 25 words begin that another document has as a block, or asks for."""
+    """``doc_id, repeats, asked``: where windows of 25 words begin that a smaller document has as a block, and where
+    blocks begin that a larger document has a window like."""
     spark = docs.sparkSession
-    rows = arrow_job(docs.select("doc_id", "hashes"), block_rows(bucket_count(spark)), ROWS)
+    rows = arrow_job(docs.select("doc_id", "hashes"), block_rows(task_count(spark)), ROWS)
     return streamed(rows, 1)
 
 
@@ -233,28 +239,31 @@ def anchors(docs: DataFrame) -> DataFrame:
 
 
 def window_rows(buckets: int) -> Callable:
-    """The Arrow task that sends the windows of 50 words around the hits to their buckets, hash and all."""
+    """The Arrow task that sends the windows of 50 words around the hits to their buckets, hash and all.
+
+    Windows that a larger document may hold build the tables, those that a smaller one may hold look them up.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 2):
             values, offsets = lists(part.column(2))
-            hits, hit_offsets = lists(part.column(3))
-            starts = window_starts(offsets, WINDOW)
-            if not len(starts):
-                continue
-            first = hits + offsets[owners(hit_offsets)]
-            marks = np.zeros(len(values) + 2, np.int64)
-            np.add.at(marks, np.maximum(first - BLOCK, offsets[owners(hit_offsets)]), 1)
-            np.add.at(marks, first + 1, -1)
-            starts = starts[np.cumsum(marks)[starts] > 0]
-            hashes = window_hashes(values, starts, WINDOW)
-            owner = owners(offsets)[starts]
-            places = starts - offsets[owner]
-            spread = mix(hashes ^ seeded(7))
-            bucket = ((spread >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+            every = window_starts(offsets, WINDOW)
             ids = np.stack([part.column(0).to_numpy(), part.column(1).to_numpy()], axis=1)
-            for number, payload in by_bucket(bucket, owner, places, hashes, ids):
-                yield as_rows([(number, TABLE, payload), (number, PROBE, payload)])
+            for kind, column in ((TABLE, 4), (PROBE, 3)):
+                hits, hit_offsets = lists(part.column(column))
+                if not len(every) or not len(hits):
+                    continue
+                begins = offsets[owners(hit_offsets)]
+                marks = np.zeros(len(values) + 2, np.int64)
+                np.add.at(marks, np.maximum(hits + begins - BLOCK, begins), 1)
+                np.add.at(marks, hits + begins + 1, -1)
+                starts = every[np.cumsum(marks)[every] > 0]
+                hashes = window_hashes(values, starts, WINDOW)
+                owner = owners(offsets)[starts]
+                spread = mix(hashes ^ seeded(7))
+                bucket = ((spread >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+                for number, payload in by_bucket(bucket, owner, starts - offsets[owner], hashes, ids):
+                    yield as_rows([(number, kind, payload)])
 
     return run
 
@@ -280,40 +289,33 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, digest: bool = False) -
     digests = known.select("doc_id", whole.alias("digest"), version.alias("version"))
     least = digests.groupBy("digest").agg(F.min("doc_id").alias("least"))
     copies = digests.join(least, "digest").filter("least < doc_id").select("doc_id", "version")
+    none = F.lit(None)
     marks = (
-        hits.withColumn("version", F.lit(None).cast("bigint"))
-        .unionByName(copies.withColumn("places", F.lit(None).cast("array<int>")))
+        hits.withColumn("version", none.cast("bigint"))
+        .unionByName(copies.withColumns({name: none.cast("array<int>") for name in ("repeats", "asked")}))
         .groupBy("doc_id")
-        .agg(F.flatten(F.collect_list("places")).alias("places"), F.collect_set("version").alias("copies"))
+        .agg(
+            *(F.flatten(F.collect_list(name)).alias(name) for name in ("repeats", "asked")),
+            F.collect_set("version").alias("copies"),
+        )
     )
-    joined = docs.select("doc_id", "text", version.alias("version")).join(marks, "doc_id", "left")
-    is_copy = F.coalesce(F.array_contains("copies", F.col("version")), F.lit(False))
-    is_open = F.coalesce(F.size("places") > 0, F.lit(False)) & ~is_copy
-    found = bind(
-        words(F.col("text")),
-        lambda w: F.struct(
-            F.size(w).cast("bigint").alias("n_words"),
-            F.when(is_copy & (F.size(w) >= WINDOW), F.lit("")).otherwise(F.array_join(w, " ")).alias("kept"),
-        ),
-    )
-    halfway = joined.select(
-        F.struct("doc_id", "version").alias("row"), is_copy.alias("is_copy"), is_open.alias("is_open"), "places",
-        found.alias("found"),
-    )
-    settled = F.sha2("found.kept", 256) if digest else F.col("found.kept")
-    halfway = halfway.select(
-        "row", "is_open", F.when(F.col("is_open"), F.col("places")).alias("places"), "found.n_words",
-        F.when(F.col("is_copy") & (F.col("found.n_words") >= WINDOW), F.col("found.n_words"))
-        .otherwise(F.lit(0)).cast("bigint").alias("n_removed"),
-        F.when(F.col("is_open"), F.col("found.kept")).otherwise(settled).alias("kept"),
+    packed = arrow_job(docs.select("doc_id", version.alias("version"), F.coalesce("text", F.lit("")).alias("text")),
+                       _compress, "doc_id bigint, version bigint, text binary")
+    joined = packed.join(marks, "doc_id", "left").select(
+        "doc_id", "version", "text",
+        *(F.coalesce(name, F.array().cast("array<int>")).alias(name) for name in ("repeats", "asked")),
+        F.coalesce(F.array_contains("copies", F.col("version")), F.lit(False)).alias("is_copy"),
     )
-    halfway = stored(spark, halfway, "passages")
-    open_ = halfway.filter("is_open").select("row", "places", "kept")
-    entries = open_.select("row.doc_id", "row.version", word_hashes(F.col("kept")).alias("hashes"), "places")
-    repeats = streamed(arrow_job(entries, window_rows(bucket_count(spark)), ROWS), 2)
+    halfway = stored(spark, arrow_job(joined, settler(digest), HALFWAY), "passages")
+    row = F.struct("doc_id", "version").alias("row")
+    open_ = halfway.filter("is_open").select(row, "repeats", "asked", "kept")
+    entries = open_.select(
+        "row.doc_id", "row.version", word_hashes(F.col("kept")).alias("hashes"), "repeats", "asked"
+    )
+    repeats = streamed(arrow_job(entries, window_rows(task_count(spark)), ROWS), 2)
     starts = (
         repeats.groupBy(F.struct("doc_id", "version").alias("row"))
-        .agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("starts"))
+        .agg(F.array_sort(F.flatten(F.collect_list("repeats"))).alias("starts"))
     )
     done = open_.select("row", "kept").join(starts, "row", "left")
     places = F.coalesce("starts", F.array().cast("array<int>"))
@@ -325,10 +327,63 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, digest: bool = False) -
         (F.col("parted.n") - F.size("parted.left")).cast("bigint").alias("n_removed"),
         (F.sha2(text, 256) if digest else text).alias("kept"),
     )
-    settled_rows = halfway.filter("NOT is_open").select("row", "n_words", "n_removed", "kept")
+    settled_rows = halfway.filter("NOT is_open").select(row, "n_words", "n_removed", "kept")
     return settled_rows.unionByName(done).select("row.doc_id", "n_words", "n_removed", "kept")
 
 
+HALFWAY = (
+    "doc_id bigint, version bigint, is_open boolean, repeats array<int>, asked array<int>, n_words bigint, "
+    "n_removed bigint, kept string"
+)
+
+
+def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts smaller, before they are shuffled."""
+    import zstandard
+
+    compressor = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        texts = pa.array([compressor.compress(text.as_buffer()) for text in batch.column(2)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], texts], names=["doc_id", "version", "text"])
+
+
+def settler(digest: bool) -> Callable:
+    """The Arrow task that settles documents without hits, and copies of a smaller document; others stay open.
+
+    An open document keeps its words, joined by one blank, and its hits.
+    """
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        expand = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 1000):
+                part = batch.slice(begin, 1000)
+                opened, counts, removed, kept = [], [], [], []
+                hits = zip(part.column(3), part.column(4), part.column(5), strict=True)
+                for text, (repeats, asked, is_copy) in zip(part.column(2), hits, strict=True):
+                    found = expand.decompress(text.as_buffer()).split()  # bytes split at just the six blanks
+                    gone = len(found) if is_copy.as_py() and len(found) >= WINDOW else 0
+                    hit = not is_copy.as_py() and len(found) >= WINDOW and len(repeats) + len(asked) > 0
+                    words_left = b"" if gone else b" ".join(found)
+                    if digest and not hit:
+                        words_left = hashlib.sha256(words_left).hexdigest().encode()
+                    opened.append(hit)
+                    counts.append(len(found))
+                    removed.append(gone)
+                    kept.append(words_left.decode())
+                flag = pa.array(opened, pa.bool_())
+                empty = pa.array([[]] * len(opened), pa.list_(pa.int32()))
+                lists_ = [pc.if_else(flag, part.column(k), empty) for k in (3, 4)]
+                arrays = [*part.columns[:2], flag, *lists_, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
+                          pa.array(kept, pa.string())]
+                names = [c.split()[0] for c in HALFWAY.split(", ")]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return settle
+
+
 def uncovered(found: Column, starts: Column) -> Column:
     """The words that no window of 50 covers; the windows' starts come in rising order."""
     edges = F.concat(F.array(F.lit(-WINDOW)), starts, F.array(F.size(found)))
