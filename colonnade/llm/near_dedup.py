@@ -16,15 +16,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from colonnade.llm.arrays import GOLDEN, lists, mix, seeded, window_hashes
-from colonnade.llm.common import arrow_job, documents, lower_ascii, stored, words
+from colonnade.llm.common import arrow_job, documents, lower_ascii, stored, task_count, words
 from colonnade.llm.components import components
 
 SHINGLE = 5
 PERCENT = 75  # of the union that two sets must share
-ROWS = 4  # places of a signature that must agree for two documents to meet
-BANDS = 36  # a pair at the threshold meets nowhere with probability (1 - 0.75 ** 4) ** 36, about 1e-6
+ROWS = 6  # places of a signature that must agree for two documents to meet
+BANDS = 70  # a pair at the threshold meets nowhere with probability (1 - 0.75 ** 6) ** 70, about 1e-6
+#: Pairs of an unsettled bucket whose signatures agree in less than this share aren't verified: nearly five standard
+#: deviations below the threshold, so a link is lost here as rarely as by never meeting.
+LEAST_LIKE = 0.65
 ELEMENTS_AT_ONCE = 400_000
-CENTERS = (1, 8, 64, 512)  # documents of an unsettled bucket compared with all others, by round
+CENTERS_AT_ONCE = 2048  # of one bucket held by a task while all documents of the bucket stream past
 
 
 def shingle_sets(values: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -113,14 +116,96 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+SETS = "id bigint, members binary, sketch binary"
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole sets, and signatures cut to a byte a place with band keys cut to four bytes."""
     for batch in batches:
         for begin in range(0, batch.num_rows, 1000):
             part = batch.slice(begin, 1000)
             sets = shingle_sets(*lists(part.column(1)))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "members"]
-            )
+            signatures = signatures_of(sets, ROWS * BANDS)
+            keys = band_keys(signatures, ROWS).astype("<u4")
+            small = mix(signatures.copy()).astype(np.uint8)
+            sketches = [one.tobytes() + key.tobytes() for one, key in zip(small, keys, strict=True)]
+            arrays = [part.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "members", "sketch"])
+
+
+MEETS = "bucket bigint, band int, node bigint, lo bigint"
+
+
+def _meets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by bucket and node those whose bucket has several, with the smallest node of the bucket.
+
+    Memory holds a batch and what the last bucket needs; a bucket that lies in several partitions has a smallest
+    node in each.
+    """
+
+    def rows(bucket, band, node, lo):
+        arrays = [pa.array(bucket), pa.array(band.astype(np.int32)), pa.array(node), pa.array(lo)]
+        return pa.RecordBatch.from_arrays(arrays, names=["bucket", "band", "node", "lo"])
+
+    empty = np.zeros(0, np.int64)
+    held, last, low = (empty, empty, empty), None, None  # a bucket's only row so far; the open bucket and its lowest
+    for batch in batches:
+        bucket, band, node = (
+            np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(held)
+        )
+        if not len(bucket):
+            continue
+        firsts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        counts = np.diff(firsts, append=len(bucket))
+        lows, several = node[firsts].copy(), counts > 1
+        if last is not None and bucket[0] == last:
+            lows[0], several[0] = low, True
+        if not several[-1]:
+            held, last, low = (bucket[-1:], band[-1:], node[-1:]), None, None
+        else:
+            held, last, low = (empty, empty, empty), bucket[-1], lows[-1]
+        keep = np.repeat(several, counts)
+        yield rows(bucket[keep], band[keep], node[keep], np.repeat(lows, counts)[keep])
+
+
+CANDIDATES = "a bigint, b bigint"
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by bucket, centers first: pairs of a center and another document that may be linked.
+
+    A pair that meets in several bands is given out in the first of them.
+    """
+    places = ROWS * BANDS
+    current, centers, ready = None, [], None
+    for batch in batches:
+        pairs = []
+        columns = [batch.column(i).to_pylist() for i in range(7)]
+        for i, (bucket, chunk, kind, node, component, band, main) in enumerate(zip(*columns, strict=True)):
+            if (bucket, chunk) != current:
+                current, centers, ready = (bucket, chunk), [], None
+            data = np.frombuffer(batch.column(7)[i].as_buffer(), np.uint8)
+            size = batch.column(8)[i].as_py()
+            small, keys = data[:places], data[places:].view("<u4")
+            if kind == 0:
+                centers.append((node, component, size, small, keys))
+                continue
+            if ready is None:
+                ready = [np.array(c) for c in zip(*centers, strict=True)] if centers else []
+            if not ready:
+                continue
+            nodes, parts, sizes, all_small, all_keys = ready
+            fits = (parts != component) & (100 * np.minimum(sizes, size) >= PERCENT * np.maximum(sizes, size))
+            if component != main:  # it is a center too, so the pair comes up twice
+                fits &= nodes < node
+            at = np.flatnonzero(fits)
+            like = ((all_small[at] == small).mean(axis=1) - 1 / 256) * (256 / 255)
+            at = at[like >= LEAST_LIKE]
+            if len(at):
+                at = at[np.argmax(all_keys[at] == keys, axis=1) == band]
+                pairs += [(min(n, node), max(n, node)) for n in nodes[at].tolist()]
+        first, second = zip(*pairs, strict=True) if pairs else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(first, pa.int64()), pa.array(second, pa.int64())], names=["a", "b"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,22 +229,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (``doc_id``, ``text``).
 
     Documents with equal sets are one class, represented by its smallest id; only representatives are banded.
-    In a bucket the smallest document is compared with all others. Buckets that then still hold several
-    components compare more of their documents, round by round, until every pair of different components was
-    compared: no bucket is cut short, and no bucket of one group puts out all its pairs. Links are confirmed on
-    whole sets (of 64-bit hashes).
+    In a bucket the smallest document is compared with all others. In buckets that then still hold several
+    components every document outside the largest of them is compared with all others: by signatures, while the
+    bucket streams through a task, and what is similar enough by whole sets (of 64-bit hashes). So no bucket is cut
+    short, and no bucket puts out all its pairs.
 
     Documents without words (null, empty, blank) link with nothing. Rows with a null doc_id link with nothing and
     are kept. Rows that share a doc_id are one document. Other columns are ignored, an empty table gives no rows.
     """
-    hashed = docs.select(F.col("doc_id").alias("id"), word_hashes(F.col("text")).alias("hashes"))
+    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    hashed = texts.select("id", word_hashes(F.col("text")).alias("hashes"))
     sketch = stored(spark, arrow_job(hashed, _sketch, SKETCH), "sketches")
     filled = sketch.filter("n_shingles > 0 AND id IS NOT NULL")
     classes = filled.groupBy("set_key").agg(F.min("id").alias("node"), F.first("bands").alias("bands"))
-    labels = _labels(spark, hashed, classes)
-    member = filled.select("id", "set_key").join(classes.select("set_key", "node"), "set_key")
+    labels = _labels(spark, texts, classes)
+    nodes = filled.groupBy("set_key").agg(F.min("id").alias("node"))
     group = (
-        member.join(labels, "node", "left")
+        filled.select("id", "set_key").join(nodes, "set_key")
+        .join(labels, "node", "left")
         .groupBy("id")
         .agg(F.min(F.coalesce("component", "node")).alias("component"))
     )
@@ -172,60 +259,63 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
 
 
-def _labels(spark: SparkSession, hashed: DataFrame, classes: DataFrame) -> DataFrame:
-    """``node, component`` of the representatives that share a bucket with another one."""
-    banded = classes.select("node", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
-    meets = stored(spark, banded.join(shared.select("bucket", "lo"), "bucket"), "buckets")
-    nodes = meets.select("node").distinct()
-    wanted = hashed.join(nodes.withColumnRenamed("node", "id"), "id", "left_semi")
-    sets = stored(spark, arrow_job(wanted, _sets, "id bigint, members binary"), "sets")
+def _labels(spark: SparkSession, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """``node, component`` of the representatives that are linked."""
+    banded = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    # Ranges of bucket and node cut a hot bucket into several partitions.
+    ranged = banded.select("bucket", F.col("band").cast("bigint").alias("band"), "node").repartitionByRange(
+        task_count(spark), "bucket", "node"
+    )
+    meets = stored(spark, arrow_job(ranged.sortWithinPartitions("bucket", "node"), _meets, MEETS), "buckets")
+    wanted = texts.join(meets.select(F.col("node").alias("id")).distinct(), "id", "left_semi")
+    hashed = wanted.select("id", word_hashes(F.col("text")).alias("hashes"))
+    sets = stored(spark, arrow_job(hashed, _sets, SETS), "sets")
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def linked(pairs: DataFrame) -> DataFrame:
         first = sets.select(F.col("id").alias("a"), F.col("members").alias("one"))
         second = sets.select(F.col("id").alias("b"), F.col("members").alias("other"))
         size, other = F.octet_length("one"), F.octet_length("other")
         whole = pairs.join(second, "b").join(first, "a").filter(
             100 * F.least(size, other) >= PERCENT * F.greatest(size, other)
         )
-        return arrow_job(whole.select("a", "b", "one", "other"), _verified, "a bigint, b bigint, linked boolean")
+        found = arrow_job(whole.select("a", "b", "one", "other"), _verified, "a bigint, b bigint, linked boolean")
+        return stored(spark, found.filter("linked").select("a", "b"), "linked")
 
     pairs = meets.filter("lo <> node").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
-    seen = stored(spark, pairs, "pairs")
-    links = stored(spark, verified(seen).filter("linked"), "linked")
-    used = meets.select("bucket", F.col("lo").alias("node")).distinct()
-    for round_ in range(1, 1000):
-        labels = stored(spark, components(spark, links), "components")
-        open_, centers = _unsettled(spark, meets, labels, used, CENTERS[min(round_, len(CENTERS) - 1)])
-        if centers.isEmpty():
-            return labels
-        opposite = open_.select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"))
-        pairs = centers.join(opposite, "bucket").filter("component <> cx").select(
-            F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")
-        )
-        fresh = stored(spark, pairs.distinct().join(seen, ["a", "b"], "left_anti"), "pairs")
-        links = links.select("a", "b", "linked").union(stored(spark, verified(fresh).filter("linked"), "linked"))
-        seen, used = seen.union(fresh), used.union(centers.select("bucket", "node"))
-    raise RuntimeError("buckets stay unsettled")
+    links = linked(pairs)
+    rest = _unsettled(spark, meets, components(spark, links), sets)
+    return components(spark, links.union(linked(rest.join(pairs, ["a", "b"], "left_anti"))))
 
 
-def _unsettled(spark, meets, labels, used, count):
-    """Rows of the buckets that hold several components, and the next documents to compare with all others.
+def _unsettled(spark: SparkSession, meets: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of documents of one bucket and of different components whose signatures are similar.
 
     Two documents of different components are not both in the bucket's largest one, so it is enough to compare
-    every document outside that with all.
+    every document outside that with all. Where these are many, they are held by several tasks, and the bucket
+    streams past each.
     """
-    rows = meets.select("bucket", "node").join(labels, "node", "left")
-    rows = rows.select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    rows = meets.select("bucket", "band", "node").join(labels, "node", "left")
+    rows = rows.select("bucket", "band", "node", F.coalesce("component", "node").alias("component"))
     sizes = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main")
+        F.count(F.lit(1)).alias("parts"),
+        F.max_by("component", F.struct("n", "component")).alias("main"),
+        (F.sum("n") - F.max("n")).alias("n_centers"),
+    )
+    open_ = stored(spark, rows.join(mixed.filter("parts > 1").drop("parts"), "bucket"), "open")
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node")) - 1
+    centers = open_.filter("component <> main").withColumn("chunk", F.floor(rank / CENTERS_AT_ONCE))
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n_centers") - 1) / CENTERS_AT_ONCE))
+    others = open_.withColumn("chunk", F.explode(chunks))
+    columns = ["bucket", "chunk", "kind", "node", "component", "band", "main"]
+    both = centers.withColumn("kind", F.lit(0)).select(columns).union(
+        others.withColumn("kind", F.lit(1)).select(columns)
     )
-    open_ = stored(spark, rows.join(mixed.filter("parts > 1").select("bucket", "main"), "bucket"), "open")
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-    left = open_.filter("component <> main").join(used, ["bucket", "node"], "left_anti")
-    centers = left.withColumn("rank", rank).filter(F.col("rank") <= count).select("bucket", "node", "component")
-    return open_, stored(spark, centers, "centers")
+    known = sets.select(F.col("id").alias("node"), "sketch", (F.octet_length("members") / 8).cast("int").alias("n"))
+    dealt = both.join(known, "node").select(*columns, "sketch", "n")
+    dealt = dealt.repartition(task_count(spark), "bucket", "chunk")
+    ordered = dealt.sortWithinPartitions("bucket", "chunk", "kind", "node")
+    return arrow_job(ordered, _candidates, CANDIDATES).distinct()
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
