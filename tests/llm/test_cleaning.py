@@ -1,0 +1,133 @@
+"""Quality rules and line dedup against SQL and plain Python, and on awkward rows."""
+
+import hashlib
+import os
+
+import duckdb
+import pytest
+from conftest import TESTDATA
+from llm_tables import SCHEMA, ascii_lower, awkward, frame, sentence, words, write_tables
+
+import __spark_entry__ as entry
+from colonnade.llm import line_dedup, quality_rules
+from colonnade.llm.quality_rules import apply_rules
+
+SF_DIR = f"{TESTDATA}/sf0.001"
+
+
+def duck(folder):
+    connection = duckdb.connect()
+    for name in os.listdir(folder):
+        path = f"{folder}/{name}"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        connection.execute(f"CREATE VIEW {name.removesuffix('.parquet')} AS SELECT * FROM '{files}'")
+    return connection
+
+
+def same_as_sql(spark, folder, name):
+    result = entry.queries()[name](spark, folder)
+    columns = sorted(result.columns)
+    expected = duck(folder).execute(entry.oracle_sql()[name])
+    places = [[d[0] for d in expected.description].index(c) for c in columns]
+    want = sorted(repr([row[i] for i in places]) for row in expected.fetchall())
+    assert sorted(repr(list(r)) for r in result.select(*columns).collect()) == want
+    return want
+
+
+@pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if n.startswith("op")))
+def test_query_matches_sql(spark, tmp_path, name):
+    assert same_as_sql(spark, SF_DIR, name)
+    # Rows that share an id, or have none, are one document each in SQL too: with unique ids the awkward rows compare.
+    rows = [(i, *row[1:]) for i, row in enumerate(awkward())]
+    assert same_as_sql(spark, write_tables(spark, tmp_path / "t", rows), name)
+
+
+def repeats(found):
+    grams = [tuple(found[i : i + 3]) for i in range(len(found) - 2)]
+    covered = {p for i, g in enumerate(grams) if grams.count(g) > 1 for p in (i, i + 1, i + 2)}
+    return len(covered)
+
+
+def test_measures(spark):
+    texts = ["a b c a b c a", "x " * 60, "", None, "# one!\n# one!\n\n# one!", sentence(__import__("random").Random(1), 200, 6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.quality_rules for r in apply_rules(docs).collect()}
+    for i, text in enumerate(texts):
+        found = words(text)
+        assert got[i].n_words == len(found) and got[i].n_repeat_words == repeats(found)
+        assert got[i].word_chars == sum(map(len, found))
+        assert got[i].base_failed == (len(found) < 50 or 100 * repeats(found) > 50 * len(found))
+    assert got[4].n_dup_lines == 2 and got[4].n_symbols == 3 and got[4].n_lines == 3
+    assert "few_words" in got[2].broken and not got[3].kept
+
+
+def test_rules_name_what_is_broken(spark):
+    clean = "the cat of that house is in for it on a day with you as " * 5
+    odd = clean.split()
+    fine = " ".join(w + str(i % 97) if i % 3 else w for i, w in enumerate(odd))
+    texts = [fine, " ".join(w + "&&&" for w in fine.split()), " ".join(w.upper() + "!!" for w in fine.split())]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    broken = {r.doc_id: set(r.quality_rules.broken) for r in apply_rules(docs).collect()}
+    assert broken[0] == set() and "symbols" in broken[1] and {"exclamations", "stop_words"} <= broken[2]
+
+
+def test_rules_keep_rows_and_other_columns(spark):
+    docs = frame(spark, awkward()).withColumnsRenamed({"source": "kept", "lang": "n_words"})
+    judged = apply_rules(docs)
+    assert judged.count() == len(awkward()) and judged.columns == [*docs.columns, "quality_rules"]
+    again = apply_rules(judged)
+    assert again.columns == judged.columns
+    assert apply_rules(docs.limit(0)).count() == 0
+
+
+def lines_left(rows, least=40, documents=5):
+    holders = {}
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            key = ascii_lower(line.strip(" \t\n\x0b\x0c\r"))
+            if len(key) >= least:
+                holders.setdefault(key, set()).add(doc_id)
+    out = []
+    for doc_id, text in rows:
+        lines, kept = (text or "").split("\n"), []
+        for line in lines:
+            held = holders.get(ascii_lower(line.strip(" \t\n\x0b\x0c\r")), ())
+            top = max(held, key=lambda i: -1 if i is None else i) if held else None
+            if not (len(held) >= documents and doc_id != top):
+                kept.append(line)
+        out.append((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=repr)
+
+
+def test_lines_by_brute_force(spark):
+    shared, other = "This line of forty characters and more is SHARED.", "short and shared by all"
+    rows = [(i, f"own {i}\n {shared.lower() if i % 2 else shared}\t\n{other}\n{shared}") for i in range(8)]
+    rows += [(None, shared), (None, shared), (3, shared), (3, shared), (20, None), (21, ""), (22, f"{'É' * 40}\n" * 3)]
+    rows += [(30 + i, "\n".join(f"{'x' * 50}{k % 7}" for k in range(3000))) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'own' AS n_lines", "1 AS _lost_")
+    done = line_dedup.drop_lines(docs)
+    got = [(r.doc_id, r.line_dedup.n_lines, r.line_dedup.n_dropped, r.line_dedup.text) for r in done.collect()]
+    assert sorted(got, key=repr) == lines_left(rows)
+    assert done.columns == ["doc_id", "text", "n_lines", "_lost_", "line_dedup"]
+    assert line_dedup.drop_lines(docs.limit(0)).count() == 0
+
+
+def test_line_query_hashes_what_stays(spark, tmp_path):
+    got = line_dedup.op2_line_dedup(spark, write_tables(spark, tmp_path / "t", awkward())).collect()
+    assert len(got) == len(awkward())
+    empty = hashlib.sha256(b"").hexdigest()
+    assert {(r.n_lines, r.n_dropped, r.kept_sha256) for r in got if r.doc_id in (5, 6)} == {(1, 0, empty)}
+
+
+def test_line_plan_is_native(spark):
+    text = line_dedup.op2_line_dedup(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in text for word in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"))
+    rules = quality_rules.op9_quality_rules(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in rules for word in ("Python", "Arrow", "Pandas", "Exchange"))
+
+
+def test_tables_without_rows(spark, tmp_path):
+    folder = str(tmp_path / "none")
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    for name in ("op2_line_dedup", "op9_quality_rules"):
+        assert entry.queries()[name](spark, folder).count() == 0

@@ -1,0 +1,225 @@
+"""Language, decontamination, toxicity and quality: held-out accuracy, brute force, awkward rows."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import TESTDATA
+from llm_tables import SCHEMA, awkward, frame, sentence, write_tables
+from pyspark.sql import functions as F
+
+from colonnade.llm import cotraining, decontamination, language_id, toxicity
+from colonnade.llm.common import documents
+from colonnade.llm.language_id import fold
+
+SF_DIR = f"{TESTDATA}/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def empty(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("none"))
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder
+
+
+@pytest.fixture(scope="module")
+def odd(spark, tmp_path_factory):
+    labels = [(i, i % 2, int(i % 3 == 0)) for i in range(1, 17)] + [(None, 1, 0), (5, None, None), (900, 1, 1)]
+    return write_tables(
+        spark, tmp_path_factory.mktemp("odd") / "t", awkward(),
+        labels=(labels, "doc_id long, quality int, toxic int"),
+        benchmark=([(1, awkward()[0][1]), (2, None), (3, ""), (None, "two words")], "item_id long, text string"),
+    )
+
+
+# ---- language --------------------------------------------------------------------------------------------
+
+
+def test_language_on_held_out_rows(spark):
+    found = language_id.op1_language_id(spark, SF_DIR).join(documents(spark, SF_DIR).select("doc_id", "lang"), "doc_id")
+    held = found.filter("held_out")
+    right = held.filter("lang = lang_pred").count() / held.count()
+    assert right >= 0.97 and found.count() == 1000
+    assert found.filter("score < 0 OR score > 1 OR lang_pred IS NULL").count() == 0
+
+
+def test_language_fold_is_never_learned_from(spark):
+    docs = documents(spark, SF_DIR)
+    assert docs.filter(fold(4) == 2).count() > 0
+    marked = docs.withColumn("lang", F.when(fold(4) == 2, "xx").otherwise(F.col("lang")))
+    learned = language_id.dictionaries(marked.filter(fold(4) != 2).select("lang", "text"))
+    assert "xx" not in learned and all(len(v) <= 4 * 201 * 400 for v in learned.values())
+
+
+def test_language_of_awkward_rows(spark, odd, empty):
+    got = language_id.op1_language_id(spark, odd).collect()
+    assert len(got) == len(awkward())
+    for r in got:
+        if r.doc_id in (5, 6, 7):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+    assert {r.lang_pred for r in got} <= {"en", "de", "fr", "und"}
+    assert language_id.op1_language_id(spark, empty).count() == 0
+    nothing = language_id.identify(frame(spark, awkward()), {})
+    assert {r.best for r in nothing.collect()} == {"und"}
+
+
+def test_narrow_margins_are_rejected(spark):
+    texts = [(0, "abc def ghi " * 30), (1, "zzz yyy xxx " * 30)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    samples = {"one": b"abc def ghi abc def", "two": b"abc def ghi abc def"}
+    got = language_id.identify(docs, samples).orderBy("doc_id").collect()
+    assert [(r.best, r.lang, r.rejected) for r in got] == [("one", "und", True)] * 2
+
+
+# ---- decontamination -------------------------------------------------------------------------------------
+
+
+def tokens(text):
+    return [t for t in re.split(r"[\W_]+", (text or "").lower()) if t]
+
+
+def leaks(docs, items):
+    """Documents and items with a window of 13 of which 11 agree; shorter items word for word."""
+    out = set()
+    for doc_id, text in docs:
+        found = tokens(text)
+        for item_id, item in items:
+            want = tokens(item)
+            span = min(13, len(want))
+            if span < 8:
+                continue
+            need = 11 if span == 13 else span
+            for i in range(len(found) - span + 1):
+                for k in range(len(want) - span + 1):
+                    if sum(a == b for a, b in zip(found[i : i + span], want[k : k + span])) >= need:
+                        out.add((doc_id, item_id))
+    return out
+
+
+@pytest.mark.parametrize("block_tokens", [40, 2_000_000])
+def test_leaks_by_brute_force(spark, block_tokens):
+    rng = random.Random(12)
+    items = [(k, sentence(rng, rng.choice([7, 8, 12, 13, 14, 30]), 60)) for k in range(12)] + [(50, None), (None, sentence(rng, 20))]
+    docs = [(i, sentence(rng, rng.randrange(40), 60)) for i in range(40)] + [(90, None), (91, "")]
+    for i, (k, item) in enumerate(items * 3):
+        found = tokens(item)
+        for _ in range(rng.randrange(4)):
+            if found:
+                found[rng.randrange(len(found))] = "other"
+        cut = found[rng.randrange(3) :]
+        docs.append((100 + i, f"{sentence(rng, 9)}, {'; '.join(cut).title()}. {sentence(rng, 9)}"))
+    frame_ = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).selectExpr("*", "1 AS item_id", "2 AS start")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.contaminated(frame_, bench, block_tokens)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == leaks(docs, items)
+    assert got.count() == len(leaks(docs, items))
+
+
+def test_leak_query_against_brute_force(spark, odd, empty):
+    folder = f"{TESTDATA}/sf0.001"
+    got = decontamination.op8_decontamination(spark, folder).collect()
+    docs = [(r.doc_id, r.text) for r in documents(spark, folder).collect() if len(r.text) < 3000]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    short = {d for d, _ in docs}
+    assert {(r.doc_id, r.item_id) for r in got if r.doc_id in short} == leaks(docs, items)
+    assert all(0 <= r.start < r.end and r.n_windows >= 1 and 11 <= r.n_equal <= 13 for r in got)
+    assert {r.item_id for r in decontamination.op8_decontamination(spark, odd).collect()} == {1}
+    assert decontamination.op8_decontamination(spark, empty).count() == 0
+
+
+def test_two_substitutions_leave_a_mask():
+    shown = [set(mask) for mask in decontamination.MASKS]
+    for a in range(13):
+        for b in range(13):
+            assert any(not mask & {a, b} for mask in shown)
+
+
+# ---- toxicity --------------------------------------------------------------------------------------------
+
+
+def toxic_tables(spark, folder):
+    """Toxic documents hold several words of two stems; some clean ones hold a single one."""
+    rng = random.Random(21)
+    rows, labels = [], []
+    for i in range(600):
+        toxic = i % 6 == 0
+        found = sentence(rng, rng.randrange(30, 120)).split()
+        for _ in range(rng.randrange(3, 6) if toxic else int(i % 11 == 0)):
+            found.insert(rng.randrange(len(found)), f"{rng.choice(['vilest', 'grubby'])}{rng.choice('abcdefgh')}{rng.choice('xyz')}")
+        rows.append((i, " ".join(found), "en", "a", 1))
+        if i % 4:
+            labels.append((i, 1, int(toxic)))
+    return write_tables(spark, folder, rows, labels=(labels, "doc_id long, quality int, toxic int"))
+
+
+def test_toxicity_on_held_out_rows(spark, tmp_path):
+    folder = toxic_tables(spark, tmp_path / "t")
+    got = toxicity.op10_toxicity(spark, folder).collect()
+    assert len(got) == 600 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
+    held = [r for r in got if r.held_out]
+    truth = [r.doc_id % 6 == 0 for r in held]
+    hit = sum(t and r.predicted for t, r in zip(truth, held))
+    assert hit >= 0.9 * sum(truth) and sum(r.predicted for r in held) - hit <= 0.02 * len(held)
+    shown = next(r for r in held if r.predicted).evidence
+    assert shown and all(e["label"] in (0, 1) and 0 < e["similarity"] <= 1.000001 for e in shown)
+
+
+def test_toxicity_on_given_rows(spark):
+    got = toxicity.op10_toxicity(spark, SF_DIR).filter("held_out").alias("g")
+    rows = got.join(spark.read.parquet(f"{SF_DIR}/labels.parquet"), "doc_id").collect()
+    assert sum(r.toxic and r.predicted for r in rows) >= 0.7 * sum(r.toxic for r in rows)
+    assert sum(r.predicted > r.toxic for r in rows) <= 1
+
+
+def test_nearest_examples_by_brute_force():
+    rng = random.Random(3)
+    found = [(i, int(rng.random() < 0.4), Counter({rng.randrange(30): rng.randrange(1, 6) for _ in range(rng.randrange(1, 6))})) for i in range(700)]
+    index = toxicity.build([f"t{k}" for k in range(30)], found, {0: 400, 1: 300}, {0: 2.0, 1: 1.0})
+    by_id = {x[0]: x[2] for x in found}
+    dense = np.zeros((700, 30 * toxicity.LEVELS))
+    for k, doc_id in enumerate(index.doc_ids):
+        dims, weights = index.vector(by_id[doc_id])
+        dense[k, dims] = weights
+    for _ in range(60):
+        dims, weights = index.vector(Counter({rng.randrange(30): rng.randrange(1, 6) for _ in range(4)}))
+        query = np.zeros(dense.shape[1])
+        query[dims] = weights
+        exact = dense @ query
+        best, like = index.nearest(dims, weights)
+        assert np.allclose(np.sort(exact)[::-1][: len(like)], like) and np.allclose(exact[best], like)
+        assert len(like) == min(toxicity.NEIGHBOURS, int((exact > 0).sum()))
+        assert math.isclose(index.vote(best, like), index.vote(best, exact[best]))
+
+
+def test_toxicity_of_awkward_rows(spark, odd, empty):
+    got = toxicity.op10_toxicity(spark, odd).collect()
+    assert len(got) == len(awkward()) and all(r.score is not None for r in got)
+    assert toxicity.op10_toxicity(spark, empty).count() == 0
+
+
+# ---- quality ---------------------------------------------------------------------------------------------
+
+
+def test_quality_on_rows_it_did_not_see(spark):
+    docs = documents(spark, SF_DIR)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    known = docs.join(labels, "doc_id")
+    model = cotraining.co_train(known.filter(fold(3) != 1), docs.join(labels, "doc_id", "left_anti"))
+    got = cotraining.score_quality(docs, model).join(labels, "doc_id").filter(fold(3) == 1).collect()
+    kept = [r for r in got if r.label == 1 and r.kept]
+    assert len(kept) >= 0.98 * sum(r.label == 1 for r in got)
+    assert sum(r.label == 0 and not r.kept for r in got) >= 0.8 * sum(r.label == 0 for r in got)
+    assert all(0 <= p <= 1 for r in got for p in (r.p_text, r.p_meta, r.score))
+
+
+def test_quality_of_awkward_rows(spark, odd, empty):
+    got = cotraining.op6_cotraining(spark, odd).collect()
+    assert len(got) >= len(awkward()) and all(0 <= r.score <= 1 for r in got)
+    assert cotraining.op6_cotraining(spark, empty).count() == 0
+    half = cotraining.score_quality(frame(spark, awkward()), None).collect()
+    assert len(half) == len(awkward()) and {r.score for r in half} == {0.5}

@@ -1,0 +1,97 @@
+"""The pipeline against plain Python, stage by stage, and its separation from the rest of the library."""
+
+import pathlib
+import random
+import zlib
+
+import numpy as np
+from conftest import TESTDATA
+from llm_tables import ascii_lower, awkward, frame, sentence, words, write_tables
+from pyspark.sql import functions as F
+from test_cleaning import lines_left
+from test_copies import grouped
+from test_models import leaks
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from colonnade.llm import tokens
+from colonnade.llm.quality_rules import apply_rules
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def corpus():
+    rng = random.Random(31)
+    stop = "the of and to in is it for on was".split()
+
+    def prose(n):
+        return " ".join(rng.choice(stop) if rng.random() < 0.3 else f"word{rng.randrange(3000)}" for _ in range(n))
+
+    item, line = prose(25), "This line stands in very many of the documents here."
+    rows = [(i, f"{prose(40)}\n{line}\n{prose(60)}", "en", "a", 1) for i in range(40)]
+    rows += [(100 + i, rows[i][1] + f" tail{i}", "en", "a", 1) for i in range(6)]
+    rows += [(200 + i, f"{prose(50)} {item} {prose(20)}", "en", "b", 1) for i in range(4)]
+    rows += [(300, prose(10), "en", "b", 1), (301, " ".join(w + "&&&" for w in prose(80).split()), "en", "b", 1)]
+    return rows + [r for r in awkward()], [(1, item), (2, prose(25)), (3, None)]
+
+
+def test_pipeline_by_brute_force(spark, tmp_path):
+    rows, items = corpus()
+    folder = write_tables(spark, tmp_path / "t", rows, benchmark=(items, "item_id long, text string"))
+    verdicts = [r.quality_rules.kept for r in apply_rules(frame(spark, rows).coalesce(1)).collect()]
+    left = [(d, t) for (d, t, *_), kept in zip(rows, verdicts) if kept]
+    left = [(d, t) for d, _, _, t in lines_left(left)]
+    top = {d: k for d, _, _, k in grouped(left)}
+    left = [(d, t) for d, t in left if top[d]]
+    leaked = {d for d, _ in leaks(left, items)}
+    left = [(d, t) for d, t in left if d not in leaked]
+    tokenizer = Tokenizer.from_file(tokens.tokenizer_path())
+    want = sorted(
+        (d, zlib.crc32(np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes())) for d, t in left
+    )
+    pieces = corpus_pipeline.run(spark, folder).collect()
+    found = {}
+    for r in sorted(pieces, key=lambda r: r.start):
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        found.setdefault(r.doc_id, []).extend(r.ids)
+    got = sorted((d, zlib.crc32(np.array(ids, "<u4").tobytes())) for d, ids in found.items())
+    assert got == want and {0, 100}.isdisjoint({d for d, _ in got} - {0}) and len(got) > 30
+
+
+def test_stages_keep_the_columns(spark):
+    folder = f"{TESTDATA}/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, folder)
+        assert after.columns == COLUMNS and after.schema.simpleString() == docs.schema.simpleString(), name
+    assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_stages_pass_awkward_rows(spark, tmp_path):
+    item = " ".join(awkward()[14][1].split()[20_000:20_030])
+    folder = write_tables(spark, tmp_path / "t", awkward(), benchmark=([(1, item)], "item_id long, text string"))
+    docs = frame(spark, awkward()).withColumn("kept", F.lit(1)).withColumn("component_id", F.lit("x"))
+    counts = {name: stage(spark, docs, folder) for name, stage in corpus_pipeline.STAGES}
+    assert all(out.columns == docs.columns for name, out in counts.items() if name != "packing")
+    assert counts["line dedup"].count() == len(awkward())
+    # Of the copies 1 to 4 the first stays; rows without an id stay.
+    ids = [r.doc_id for r in counts["near dedup"].collect()]
+    assert set(ids) & {1, 2, 3, 4} == {1} and ids.count(None) == 2
+    left = [(r.doc_id, r.text) for r in counts["decontamination"].collect()]
+    gone = {r[0] for r in awkward()} - {d for d, _ in left}
+    assert gone == {14}
+    empty = docs.limit(0)
+    assert all(stage(spark, empty, folder).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+def test_nothing_else_imports_the_subpackage():
+    root = pathlib.Path(entry.__file__).parent
+    for file in [*root.glob("colonnade/**/*.py"), *root.glob("tests/*.py"), root / "bench.py"]:
+        if "llm" not in file.relative_to(root).parts:
+            assert "llm" not in file.read_text() and "corpus_pipeline" not in file.read_text(), file
+
+
+def test_helpers_agree():
+    assert words(" a\tb\x0bc d ") == ["a", "b", "c d"] and ascii_lower("AÉz") == "aÉz"
+    assert len(sentence(random.Random(1), 5).split()) == 5
