@@ -202,12 +202,21 @@ def streamed(frame: DataFrame, width: int) -> DataFrame:
 def block_rows(buckets: int) -> Callable:
     """The Arrow task that sends every document's blocks and rolling windows to their buckets.
 
-    Here 32 bits of a hash are kept beside its bucket. A false hit costs some windows that are compared in vain.
+    Here 32 bits of a hash are kept beside its bucket. A false hit costs some windows that are compared in vain. Of
+    equal texts that a task holds at once only the smallest document is sent: the others are copies of it, which
+    their digests settle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 1):
-            values, offsets = lists(part.column(1))
+        for part in slices(batches, 2):
+            if not part.num_rows:
+                continue
+            docs, versions = (part.column(i).to_numpy() for i in (0, 1))
+            order = np.lexsort((docs, versions))
+            first = np.concatenate([[True], np.diff(versions[order]) != 0])
+            smallest = np.sort(order[first])
+            part = part.take(pa.array(smallest)) if len(smallest) < len(docs) else part
+            values, offsets = lists(part.column(2))
             starts = window_starts(offsets, BLOCK)
             if not len(starts):
                 continue
@@ -231,7 +240,7 @@ def anchors(docs: DataFrame) -> DataFrame:
     """``doc_id, repeats, asked``: where windows of 25 words begin that a smaller document has as a block, and where
     blocks begin that a larger document has a window like."""
     spark = docs.sparkSession
-    rows = arrow_job(docs.select("doc_id", "hashes"), block_rows(task_count(spark)), ROWS)
+    rows = arrow_job(docs.select("doc_id", "version", "hashes"), block_rows(task_count(spark)), ROWS)
     return streamed(rows, 1)
 
 
@@ -284,7 +293,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, digest: bool = False) -
     """
     version = F.xxhash64(F.coalesce("text", F.lit("")))
     known = docs.select("doc_id", "text").filter("doc_id IS NOT NULL")
-    hits = anchors(known.select("doc_id", word_hashes(F.col("text")).alias("hashes")))
+    hits = anchors(known.select("doc_id", version.alias("version"), word_hashes(F.col("text")).alias("hashes")))
     whole = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
     digests = known.select("doc_id", whole.alias("digest"), version.alias("version"))
     least = digests.groupBy("digest").agg(F.min("doc_id").alias("least"))
