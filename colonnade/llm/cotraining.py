@@ -118,8 +118,8 @@ def sample(rows: DataFrame, most: int, seed: int) -> DataFrame:
 def co_train(labelled: DataFrame, unlabelled: DataFrame, rounds: int = ROUNDS) -> CoTrained | None:
     """Learn from ``labelled`` (columns of documents and ``label`` 0 or 1) and ``unlabelled`` documents.
 
-    Both are sampled down to a bounded number. A fifth of the labelled sample is kept for calibration. None if the
-    labels show one class only.
+    Both are sampled down to a bounded number. A fifth of the labelled sample is kept for calibration. None if there
+    are no labels, or of one class only.
     """
     spark = labelled.sparkSession
     chosen = sample(labelled.filter("label IS NOT NULL"), LABELLED, 1).withColumn("label", F.col("label").cast("double"))
@@ -129,7 +129,9 @@ def co_train(labelled: DataFrame, unlabelled: DataFrame, rounds: int = ROUNDS) -
     keyed = both.withColumn("key", F.xxhash64("doc_id", "text")).dropDuplicates(["key"])
     described = describe(keyed.withColumn("doc_id", F.struct("key", "label")))
     described = described.select("row.key", "row.label", *(c for c in described.columns if c != "row"))
-    plain = stored(spark, described, "described").repartition(8)
+    plain = stored(spark, described, "described")
+    if plain.filter("label IS NOT NULL").isEmpty():
+        return None
     features = views().fit(plain)
     rows = features.transform(plain).select("key", "label", *VIEWS)
     rows = stored(spark, rows.withColumn("weight", F.lit(1.0)), "features").persist()
