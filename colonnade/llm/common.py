@@ -58,6 +58,17 @@ def stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def chosen(rows: DataFrame, most: int, seed: int, key: str = "doc_id") -> tuple[DataFrame, float]:
+    """The distinct keys among some ``most`` rows, decided by a hash of the key, and the share of rows they stand for.
+
+    The expected number is bounded by ``most`` whatever the table's size, so the keys may be broadcast.
+    """
+    known = rows.filter(F.col(key).isNotNull())
+    rate = min(1.0, most / max(known.count(), 1))
+    place = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 40)) / float(1 << 40)
+    return known.filter(place < rate).select(key).distinct(), rate
+
+
 def task_count(spark: SparkSession) -> int:
     """How many partitions the session shuffles to; it is sized with the data by whoever runs the job."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colonnade.llm.common import arrow_job, documents
+from colonnade.llm.common import arrow_job, chosen, documents
 from colonnade.llm.language_id import fold
 
 EXAMPLES = 6000  # of each label at most, from all over the labelled rows
@@ -42,22 +42,24 @@ def spaced(text: Column) -> Column:
 # ---- examples and terms -----------------------------------------------------------------------------------
 
 
-def examples(labelled: DataFrame, per_label: int = EXAMPLES) -> tuple[DataFrame, dict[int, float]]:
-    """At most some ``per_label`` rows of each label (``doc_id, text, label``), and how many rows one stands for.
+def examples(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES) -> tuple[DataFrame, dict[int, float]]:
+    """At most some ``per_label`` documents of each label (``doc_id, text, label``), and how many rows one stands for.
 
-    A hash of the text decides, so equal texts are one example. The expected number is bounded by the parameter.
+    A hash of the ids in ``labels`` (``doc_id``, ``label`` 0 or 1) decides. The ids, whose number is bounded by the
+    parameter, go to the documents, which are not shuffled; equal texts of a label are one example.
     """
-    usable = labelled.filter("label IS NOT NULL AND text IS NOT NULL")
-    usable = usable.select("doc_id", F.col("label").cast("int").alias("label"), spaced(F.col("text")).alias("text"))
-    usable = usable.withColumn("hash", F.xxhash64("text"))
-    counts = {r.label: r.n for r in usable.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rates = {label: min(1.0, per_label / n) for label, n in counts.items()}
-    if not rates:
-        return usable.drop("hash"), {}
-    rate = F.create_map(*(F.lit(x) for pair in rates.items() for x in pair))[F.col("label")]
-    chosen = usable.filter(F.pmod("hash", F.lit(1 << 40)) / float(1 << 40) < rate)
-    once = chosen.groupBy("hash", "label").agg(F.min_by("text", "doc_id").alias("text"), F.min("doc_id").alias("doc_id"))
-    return once.select("doc_id", "text", "label"), {label: 1 / rate for label, rate in rates.items()}
+    picked, weights = [], {}
+    for label in (0, 1):
+        ids, rate = chosen(labels.filter(F.col("label") == label), per_label, 10 + label)
+        picked.append(ids.withColumn("label", F.lit(label)))
+        weights[label] = 1 / rate
+    ids = F.broadcast(picked[0].unionByName(picked[1]))
+    found = docs.select("doc_id", "text").filter("text IS NOT NULL").join(ids, "doc_id")
+    found = found.select("doc_id", "label", spaced(F.col("text")).alias("text"))
+    once = found.groupBy(F.xxhash64("text").alias("hash"), "label").agg(
+        F.min_by("text", "doc_id").alias("text"), F.min("doc_id").alias("doc_id")
+    )
+    return once.select("doc_id", "text", "label"), weights
 
 
 def select_terms(sample: DataFrame, weights: dict[int, float], most: int = TERMS) -> list[str]:
@@ -184,12 +186,12 @@ def fit_line(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, f
     return float(beta[0]), float(beta[1])
 
 
-def fit(labelled: DataFrame, per_label: int = EXAMPLES, most_terms: int = TERMS) -> Index:
-    """Learn from ``labelled`` (``doc_id``, ``text``, ``label`` 0 or 1); what is kept is bounded by the parameters.
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES, most_terms: int = TERMS) -> Index:
+    """Learn from the ``docs`` that ``labels`` names (0 or 1); what is kept is bounded by the parameters.
 
-    Rows without text or label are left out; with no row of either label every score is that of no evidence.
+    Rows without text, label or id are left out; with no row of either label every score is that of no evidence.
     """
-    sample, weights = examples(labelled, per_label)
+    sample, weights = examples(docs, labels, per_label)
     sample = sample.persist()
     try:
         terms = select_terms(sample, weights, most_terms)
@@ -298,7 +300,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
     known = labels.filter(F.coalesce(fold(3) != 1, F.lit(False)) & F.col("label").isNotNull())
-    index = fit(docs.join(known, "doc_id"))
+    index = fit(docs, known)
     scored = score_toxicity(docs, index)
     held_out = F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out")
     return scored.select("doc_id", held_out, "score", "predicted", "evidence")
