@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colonnade.llm.common import bind, documents, lines, stored, strip, words
+from colonnade.llm.common import bind, chosen, documents, lines, stored, strip, words
 
 LABELLED = 8000  # labelled rows to learn from, at most (expected number)
 POOL = 8000  # unlabelled rows that can get a pseudo-label, at most (expected number)
@@ -108,24 +108,21 @@ class CoTrained:
     joint: tuple[float, float, float]  # of both views: two slopes and an offset
 
 
-def sample(rows: DataFrame, most: int, seed: int) -> DataFrame:
-    """At most some ``most`` rows, by a hash of id and text."""
-    n = rows.count()
-    place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
-    return rows.filter(place < min(1.0, most / max(n, 1)))
+def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> CoTrained | None:
+    """Learn from ``docs`` (columns of documents) and ``labels`` (``doc_id``, ``label`` 0 or 1).
 
-
-def co_train(labelled: DataFrame, unlabelled: DataFrame, rounds: int = ROUNDS) -> CoTrained | None:
-    """Learn from ``labelled`` (columns of documents and ``label`` 0 or 1) and ``unlabelled`` documents.
-
-    Both are sampled down to a bounded number. A fifth of the labelled sample is kept for calibration. None if there
-    are no labels, or of one class only.
+    A hash of the ids picks bounded numbers of labelled and of other documents; these ids go to the documents, which
+    are not shuffled. A fifth of the labelled sample is kept for calibration. None if there are no labels, or of one
+    class only.
     """
-    spark = labelled.sparkSession
-    chosen = sample(labelled.filter("label IS NOT NULL"), LABELLED, 1).withColumn("label", F.col("label").cast("double"))
-    pool = sample(unlabelled, POOL, 2).withColumn("label", F.lit(None).cast("double"))
-    columns = ["doc_id", "text", "lang", "source", "label"]
-    both = chosen.select(*columns).unionByName(pool.select(*columns))
+    spark = docs.sparkSession
+    labels = labels.filter("label IS NOT NULL AND doc_id IS NOT NULL")
+    named, _ = chosen(labels, LABELLED, 1)
+    known = labels.join(F.broadcast(named), "doc_id").groupBy("doc_id").agg(F.max("label").cast("double").alias("label"))
+    free, _ = chosen(docs.select("doc_id"), POOL, 2)
+    free = free.join(labels, "doc_id", "left_anti").withColumn("label", F.lit(None).cast("double"))
+    ids = F.broadcast(known.unionByName(free))
+    both = docs.select("doc_id", "text", "lang", "source").join(ids, "doc_id")
     keyed = both.withColumn("key", F.xxhash64("doc_id", "text")).dropDuplicates(["key"])
     described = describe(keyed.withColumn("doc_id", F.struct("key", "label")))
     described = described.select("row.key", "row.label", *(c for c in described.columns if c != "row"))
@@ -204,7 +201,4 @@ def score_quality(docs: DataFrame, model: CoTrained | None) -> DataFrame:
 def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
-    labels = labels.filter("label IS NOT NULL")
-    labelled = docs.join(labels, "doc_id")
-    unlabelled = docs.join(labels, "doc_id", "left_anti")
-    return score_quality(docs, co_train(labelled, unlabelled))
+    return score_quality(docs, co_train(docs, labels))

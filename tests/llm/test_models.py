@@ -208,8 +208,8 @@ def test_toxicity_of_awkward_rows(spark, odd, empty):
 def test_quality_on_rows_it_did_not_see(spark):
     docs = documents(spark, SF_DIR)
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
-    known = docs.join(labels, "doc_id")
-    model = cotraining.co_train(known.filter(fold(3) != 1), docs.join(labels, "doc_id", "left_anti"))
+    seen = labels.filter(fold(3) != 1)
+    model = cotraining.co_train(docs.join(labels.join(seen, "doc_id", "left_anti"), "doc_id", "left_anti"), seen)
     got = cotraining.score_quality(docs, model).join(labels, "doc_id").filter(fold(3) == 1).collect()
     kept = [r for r in got if r.label == 1 and r.kept]
     assert len(kept) >= 0.98 * sum(r.label == 1 for r in got)
