@@ -29,7 +29,7 @@ WINDOW = 50
 BLOCK = WINDOW // 2  # two blocks fit in any window, so one of them is whole wherever the window begins
 WORDS_AT_ONCE = 3_000_000
 ROWS = "bucket int, kind int, payload binary"
-TABLE, PROBE, ANSWER = 0, 1, 2
+TABLE, PROBE, ANSWER, KNOWN = 0, 1, 2, 3
 
 
 # ---- arrays of (document, place, hash), packed ------------------------------------------------------------
@@ -167,8 +167,10 @@ def answers(width: int) -> Callable:
                 if kind.as_py() == TABLE:
                     table.add(hashes, docs)
                     continue
-                hit, at = table.find(hashes)
-                if kind.as_py() == PROBE:
+                hit, at = (np.arange(len(docs)), None) if kind.as_py() == KNOWN else table.find(hashes)
+                if kind.as_py() == KNOWN:
+                    pass
+                elif kind.as_py() == PROBE:
                     table.asked(at, docs[hit])
                     hit = hit[table.least[at] < docs[hit]]
                 else:
@@ -180,7 +182,7 @@ def answers(width: int) -> Callable:
                     edges = np.append(firsts, len(hit)).astype(np.int32)
                     found = pa.ListArray.from_arrays(edges, pa.array(places[hit].astype(np.int32)))
                     nothing = pa.nulls(len(firsts), found.type)
-                    both = [found, nothing] if kind.as_py() == PROBE else [nothing, found]
+                    both = [nothing, found] if kind.as_py() == ANSWER else [found, nothing]
                     numbers = [pa.array(ids[owner[firsts], k]) for k in range(width)]
                     names = ["doc_id", "version"][:width]
                     yield pa.RecordBatch.from_arrays([*numbers, *both], names=[*names, "repeats", "asked"])
@@ -247,10 +249,22 @@ def anchors(docs: DataFrame) -> DataFrame:
 # ---- windows around the hits ------------------------------------------------------------------------------
 
 
+def around(hits: pa.ListArray, offsets: np.ndarray, size: int) -> np.ndarray:
+    """For each word of the rows end to end: may a window that starts here hold one of the row's hits whole?"""
+    found, hit_offsets = lists(hits)
+    begins = offsets[owners(hit_offsets)]
+    marks = np.zeros(size + 2, np.int64)
+    np.add.at(marks, np.maximum(found + begins - BLOCK, begins), 1)
+    np.add.at(marks, found + begins + 1, -1)
+    return np.cumsum(marks)[:size] > 0
+
+
 def window_rows(buckets: int) -> Callable:
     """The Arrow task that sends the windows of 50 words around the hits to their buckets, hash and all.
 
-    Windows that a larger document may hold build the tables, those that a smaller one may hold look them up.
+    Windows that a larger document may hold build the tables, those that a smaller one may hold look them up. What
+    a task can see itself isn't looked up: of equal windows it sends the smallest document's, the larger ones' are
+    known repeats, which go along without hashes. So a window that very many documents hold counts once a task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,21 +272,31 @@ def window_rows(buckets: int) -> Callable:
             values, offsets = lists(part.column(2))
             every = window_starts(offsets, WINDOW)
             ids = np.stack([part.column(0).to_numpy(), part.column(1).to_numpy()], axis=1)
-            for kind, column in ((TABLE, 4), (PROBE, 3)):
-                hits, hit_offsets = lists(part.column(column))
-                if not len(every) or not len(hits):
-                    continue
-                begins = offsets[owners(hit_offsets)]
-                marks = np.zeros(len(values) + 2, np.int64)
-                np.add.at(marks, np.maximum(hits + begins - BLOCK, begins), 1)
-                np.add.at(marks, hits + begins + 1, -1)
-                starts = every[np.cumsum(marks)[every] > 0]
-                hashes = window_hashes(values, starts, WINDOW)
-                owner = owners(offsets)[starts]
-                spread = mix(hashes ^ seeded(7))
-                bucket = ((spread >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
-                for number, payload in by_bucket(bucket, owner, starts - offsets[owner], hashes, ids):
+            near = [around(part.column(k), offsets, len(values)) for k in (4, 3)]  # asked for, maybe repeats
+            starts = every[(near[0] | near[1])[every]]
+            if not len(starts):
+                continue
+            hashes, owner = window_hashes(values, starts, WINDOW), owners(offsets)[starts]
+            docs, places = ids[owner, 0], starts - offsets[owner]
+            # Of equal windows the smallest document's comes first.
+            order = np.lexsort((starts, docs, hashes))
+            first = np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])
+            least = np.empty(len(docs), np.int64)
+            least[order] = docs[order[first]][np.cumsum(first) - 1]
+            asked, maybe = near[0][starts], near[1][starts]
+            known = maybe & (least < docs)
+            sent = asked[order]
+            group = np.cumsum(first)[sent]
+            table = order[sent][np.flatnonzero(np.diff(group, prepend=0))]
+            spread = mix(hashes ^ seeded(7))
+            bucket = ((spread >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+            for kind, at in ((TABLE, np.sort(table)), (PROBE, np.flatnonzero(maybe & ~known))):
+                for number, payload in by_bucket(bucket[at], owner[at], places[at], hashes[at], ids):
                     yield as_rows([(number, kind, payload)])
+            at = np.flatnonzero(known)
+            one = np.full(len(at), int(hashes[0] % np.uint64(buckets)), np.int32)
+            for number, payload in by_bucket(one, owner[at], places[at], np.zeros(len(at), np.uint8), ids):
+                yield as_rows([(number, KNOWN, payload)])
 
     return run
 
