@@ -140,7 +140,7 @@ def _meets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by bucket and node those whose bucket has several, with the smallest node of the bucket.
 
     Memory holds a batch and what the last bucket needs; a bucket that lies in several partitions has a smallest
-    node in each.
+    node in each. A single row in a partition's first or last bucket is kept: the rest may lie in the next one.
     """
 
     def rows(bucket, band, node, lo):
@@ -149,6 +149,7 @@ def _meets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     empty = np.zeros(0, np.int64)
     held, last, low = (empty, empty, empty), None, None  # a bucket's only row so far; the open bucket and its lowest
+    edge = None  # the partition's first bucket
     for batch in batches:
         bucket, band, node = (
             np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(held)
@@ -158,14 +159,19 @@ def _meets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         firsts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
         counts = np.diff(firsts, append=len(bucket))
         lows, several = node[firsts].copy(), counts > 1
+        edge = bucket[0] if edge is None else edge
         if last is not None and bucket[0] == last:
             lows[0], several[0] = low, True
+        if len(several) > 1 and bucket[0] == edge:
+            several[0] = True
         if not several[-1]:
             held, last, low = (bucket[-1:], band[-1:], node[-1:]), None, None
         else:
             held, last, low = (empty, empty, empty), bucket[-1], lows[-1]
         keep = np.repeat(several, counts)
         yield rows(bucket[keep], band[keep], node[keep], np.repeat(lows, counts)[keep])
+    if len(held[0]):
+        yield rows(*held, held[2])
 
 
 CANDIDATES = "a bigint, b bigint"

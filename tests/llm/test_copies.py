@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_tables import SCHEMA, ascii_lower, awkward, frame, sentence, words, write_tables
 
@@ -191,3 +192,22 @@ def test_near_query_of_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{folder}/documents.parquet")
     assert near_dedup.op5_near_dedup(spark, folder).count() == 0
     assert passages.op4_passages(spark, folder).count() == 0
+
+
+def test_buckets_cut_at_partition_edges_lose_no_row():
+    rows = [(b, 3, n) for b, nodes in ((1, [5]), (2, [1, 2]), (4, [7]), (5, [3, 8, 9]), (6, [4]), (9, [1, 6])) for n in nodes]
+
+    def met(part, batch):
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part[i : i + batch])], names=["bucket", "band", "node"])
+            for i in range(0, len(part), batch)
+        ]
+        return [(r["bucket"], r["node"]) for b in near_dedup._meets(iter(batches)) for r in b.to_pylist()]
+
+    several = {(b, n) for b, _, n in rows if b in (2, 5, 9)}
+    for cut in range(len(rows) + 1):
+        for batch in (1, 2, 3, 100):
+            parts = [p for p in (rows[:cut], rows[cut:]) if p]
+            got = [x for p in parts for x in met(p, batch)]
+            edges = {(p[i][0], p[i][2]) for p in parts for i in (0, -1)}
+            assert len(got) == len(set(got)) and several <= set(got) <= several | edges
