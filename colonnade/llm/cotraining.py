@@ -1,8 +1,8 @@
 """Operator 6: quality classification by co-training.
 
 Two classifiers see a document from two sides: one its words, one its metadata (source, language, size) and the layout of
-the page. Each labels the unlabelled documents it is sure of for the other, round by round. Their probabilities are
-calibrated on labelled documents that trained neither, and combined to one score.
+the page. Each labels the unlabelled documents it is sure of for the other, round by round, out of all there are. Their
+probabilities are calibrated on labelled documents that trained neither, and combined to one score.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from colonnade.llm.common import bind, chosen, documents, lines, stored, strip, words
 
 LABELLED = 8000  # labelled rows to learn from, at most (expected number)
-POOL = 8000  # unlabelled rows that can get a pseudo-label, at most (expected number)
 ROUNDS = 3
 SURE = 0.95  # a view passes on a document it gives a class at least this probability
-SHARE = 0.25  # of the pool that a view passes on in one round, at most
+SHARE = 0.25  # of the unlabelled documents that a view passes on in one round, at most (expected number)
+STEP = 1e-3  # of log-odds, in which documents are counted to find how sure a view must be
 KEEP = 0.3
 WORD_FEATURES = 1 << 15
 NAME_FEATURES = 64
@@ -71,14 +71,23 @@ def describe(docs: DataFrame) -> DataFrame:
     return found.select("row", "names", "m.*")
 
 
+def measured(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``key`` (of the id and the text) and the vectors ``counts``, ``named`` and ``plain`` of each row."""
+    rows = describe(docs.withColumn("doc_id", F.struct("doc_id", F.xxhash64("doc_id", "text").alias("key"))))
+    for stage in (
+        HashingTF(inputCol="tokens", outputCol="counts", numFeatures=WORD_FEATURES),
+        HashingTF(inputCol="names", outputCol="named", numFeatures=NAME_FEATURES, binary=True),
+        VectorAssembler(inputCols=list(LAYOUT), outputCol="plain"),
+    ):
+        rows = stage.transform(rows)
+    return rows.select("row.doc_id", "row.key", "counts", "named", "plain")
+
+
 def views() -> Pipeline:
-    """Feature vectors ``text`` and ``meta`` from what ``describe`` gives."""
+    """Feature vectors ``text`` and ``meta`` from what ``measured`` gives."""
     return Pipeline(
         stages=[
-            HashingTF(inputCol="tokens", outputCol="counts", numFeatures=WORD_FEATURES),
             Normalizer(inputCol="counts", outputCol="text", p=2.0),
-            HashingTF(inputCol="names", outputCol="named", numFeatures=NAME_FEATURES, binary=True),
-            VectorAssembler(inputCols=list(LAYOUT), outputCol="plain"),
             StandardScaler(inputCol="plain", outputCol="scaled", withMean=True, withStd=True),
             VectorAssembler(inputCols=["named", "scaled"], outputCol="meta"),
         ]
@@ -111,46 +120,45 @@ class CoTrained:
 def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> CoTrained | None:
     """Learn from ``docs`` (columns of documents) and ``labels`` (``doc_id``, ``label`` 0 or 1).
 
-    A hash of the ids picks bounded numbers of labelled and of other documents; these ids go to the documents, which
-    are not shuffled. A fifth of the labelled sample is kept for calibration. None if there are no labels, or of one
-    class only.
+    A hash of the ids picks a bounded number of labelled documents, a fifth of which is kept for calibration. All
+    documents count for the scale of the layout, and all without a label can get a pseudo-label. Rows equal in id
+    and text count once. None if there are no labels, or of one class only.
     """
-    spark = docs.sparkSession
+    return _learn(stored(docs.sparkSession, _placed(docs), "described"), labels, rounds)
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    return measured(docs).withColumn("place", F.monotonically_increasing_id())
+
+
+def _learn(rows: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> CoTrained | None:
+    """``co_train`` of stored rows of ``_placed``. Labels meet ids and places; no vectors are shuffled."""
+    spark = rows.sparkSession
     labels = labels.filter("label IS NOT NULL AND doc_id IS NOT NULL")
     named, _ = chosen(labels, LABELLED, 1)
-    known = labels.join(F.broadcast(named), "doc_id").groupBy("doc_id").agg(F.max("label").cast("double").alias("label"))
-    free, _ = chosen(docs.select("doc_id"), POOL, 2)
-    free = free.join(labels, "doc_id", "left_anti").withColumn("label", F.lit(None).cast("double"))
-    ids = F.broadcast(known.unionByName(free))
-    both = docs.select("doc_id", "text", "lang", "source").join(ids, "doc_id")
-    keyed = both.withColumn("key", F.xxhash64("doc_id", "text")).dropDuplicates(["key"])
-    described = describe(keyed.withColumn("doc_id", F.struct("key", "label")))
-    described = described.select("row.key", "row.label", *(c for c in described.columns if c != "row"))
-    plain = stored(spark, described, "described")
-    if plain.filter("label IS NOT NULL").isEmpty():
+    taken = labels.join(F.broadcast(named), "doc_id").groupBy("doc_id").agg(F.max("label").cast("double").alias("label"))
+    once = rows.groupBy("doc_id", "key").agg(F.min("place").alias("place"))
+    free = once.join(labels.select("doc_id").distinct(), "doc_id", "left_anti").select("place")
+    known = stored(spark, once.join(F.broadcast(taken), "doc_id").select("place", "label"), "labelled")
+    if known.isEmpty():
         return None
-    features = views().fit(plain)
-    rows = features.transform(plain).select("key", "label", *VIEWS)
-    rows = stored(spark, rows.withColumn("weight", F.lit(1.0)), "features").persist()
+    features = views().fit(rows)
+    rows = features.transform(rows).select("place", "key", *VIEWS).withColumn("weight", F.lit(1.0))
+    free = _among(rows, free).withColumn("label", F.lit(None).cast("double"))
+    known = rows.join(F.broadcast(known), "place").persist()
     try:
-        known, free = rows.filter("label IS NOT NULL"), rows.filter("label IS NULL")
         held = F.pmod("key", F.lit(5)) == 0
         train, check = known.filter(~held), known.filter(held)
         if min(x.select("label").distinct().count() for x in (train, check)) < 2:
             return None
-        pseudo = {view: train.limit(0) for view in VIEWS}
         models = {view: learner(view).fit(train) for view in VIEWS}
-        most = int(SHARE * free.count())
+        most = SHARE * free.count()
         for round_ in range(1, rounds + 1):
-            told = {}
-            for view, other in zip(VIEWS, reversed(VIEWS), strict=True):
-                z = logits(free, models[view], view)
-                p = probability(F.col(f"z_{view}"))
-                sure = z.withColumn("p", p).filter((F.col("p") >= SURE) | (F.col("p") <= 1 - SURE))
-                sure = sure.orderBy(F.desc(F.abs(F.col("p") - 0.5)), "key").limit(most * round_)
-                told[other] = sure.withColumn("label", (F.col("p") > 0.5).cast("double")).withColumn("weight", F.lit(0.5))
-            pseudo = {view: told[view].select(train.columns) for view in VIEWS}
-            models = {view: learner(view).fit(train.unionByName(pseudo[view])) for view in VIEWS}
+            told = {
+                other: sure(free, models[view], view, int(most * round_)).select(train.columns)
+                for view, other in zip(VIEWS, reversed(VIEWS), strict=True)
+            }
+            models = {view: learner(view).fit(train.unionByName(told[view])) for view in VIEWS}
         judged = check
         for view in VIEWS:
             judged = logits(judged, models[view], view)
@@ -161,7 +169,40 @@ def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> CoTrai
         joint = tuple(_line(judged, [f"z_{view}" for view in VIEWS]))
         return CoTrained(features, models, scales, joint)
     finally:
-        rows.unpersist()
+        known.unpersist()
+
+
+def _among(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows at these places. They go to the rows as bitmaps, a bit for each place."""
+    bitmaps = places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
+    )
+    bitmaps = stored(rows.sparkSession, bitmaps, "unlabelled")
+    bit = F.bitmap_bit_position("place")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.withColumn("bucket", F.bitmap_bucket_number("place")).join(F.broadcast(bitmaps), "bucket")
+    return found.filter(byte.bitwiseAND(F.pow(F.lit(2), bit % 8).cast("int")) != 0).drop("bucket", "bits")
+
+
+def sure(free: DataFrame, model: LogisticRegressionModel, view: str, most: int) -> DataFrame:
+    """The rows of ``free`` that the view gives a class at least ``SURE``, with that ``label`` and half the weight.
+
+    If these are more than ``most``, the surest: rows are counted by steps of log-odds, and of the last step that
+    fits in part a hash of the key decides. Nothing is sorted or gathered.
+    """
+    z = F.greatest(F.least(F.col(f"z_{view}"), F.lit(30.0)), F.lit(-30.0))
+    p = probability(z)
+    found = logits(free, model, view).filter((p >= SURE) | (p <= 1 - SURE))
+    found = found.withColumn("step", F.floor(F.abs(z) / STEP))
+    room, least, share = most, -1, 1.0
+    for step, n in sorted(found.groupBy("step").count().collect(), reverse=True):
+        if n > room:
+            least, share = step, room / n
+            break
+        room -= n
+    place = F.pmod(F.xxhash64(F.lit(3), "key"), F.lit(1 << 40)) / float(1 << 40)
+    found = found.filter((F.col("step") > least) | ((F.col("step") == least) & (place < share)))
+    return found.withColumn("label", (z > 0).cast("double")).withColumn("weight", F.lit(0.5))
 
 
 def _line(rows: DataFrame, columns: list[str]) -> list[float]:
@@ -181,7 +222,11 @@ def score_quality(docs: DataFrame, model: CoTrained | None) -> DataFrame:
     if model is None:
         half = F.lit(0.5)
         return docs.select("doc_id", half.alias("p_text"), half.alias("p_meta"), half.alias("score"), F.lit(True).alias("kept"))
-    scored = model.features.transform(describe(docs)).select("row", *VIEWS)
+    return _scored(measured(docs), model)
+
+
+def _scored(rows: DataFrame, model: CoTrained) -> DataFrame:
+    scored = model.features.transform(rows).select("doc_id", *VIEWS)
     for view in VIEWS:
         scored = logits(scored, model.models[view], view)
         slope, offset = model.scales[view]
@@ -190,7 +235,7 @@ def score_quality(docs: DataFrame, model: CoTrained | None) -> DataFrame:
     clipped = {v: F.greatest(F.least(F.col(f"z_{v}"), F.lit(30.0)), F.lit(-30.0)) for v in VIEWS}
     score = probability(first * clipped["text"] + second * clipped["meta"] + offset)
     return scored.select(
-        F.col("row").alias("doc_id"),
+        "doc_id",
         probability(F.col("z_text")).alias("p_text"),
         probability(F.col("z_meta")).alias("p_meta"),
         score.alias("score"),
@@ -201,4 +246,6 @@ def score_quality(docs: DataFrame, model: CoTrained | None) -> DataFrame:
 def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
-    return score_quality(docs, co_train(docs, labels))
+    rows = stored(spark, _placed(docs), "described")
+    model = _learn(rows, labels)
+    return _scored(rows, model) if model else score_quality(docs, None)

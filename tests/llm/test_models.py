@@ -223,3 +223,53 @@ def test_quality_of_awkward_rows(spark, odd, empty):
     assert cotraining.op6_cotraining(spark, empty).count() == 0
     half = cotraining.score_quality(frame(spark, awkward()), None).collect()
     assert len(half) == len(awkward()) and {r.score for r in half} == {0.5}
+
+
+def test_quality_learns_from_all_unlabelled_rows(spark, monkeypatch):
+    monkeypatch.setattr(cotraining, "LABELLED", 200)
+    monkeypatch.setattr(cotraining, "POOL", 20, raising=False)
+    docs = documents(spark, SF_DIR)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    sizes, learner = [], cotraining.learner
+
+    class Counted:
+        def __init__(self, view):
+            self.view = view
+
+        def fit(self, rows):
+            sizes.append(rows.filter("weight < 1").count())
+            return learner(self.view).fit(rows)
+
+    monkeypatch.setattr(cotraining, "learner", Counted)
+    model = cotraining.co_train(docs, labels)
+    free = docs.join(labels.filter("label IS NOT NULL"), "doc_id", "left_anti").distinct().count()
+    assert sizes[:2] == [0, 0] and max(sizes) > 0.1 * free > 40
+    scaler = next(s for s in model.features.stages if hasattr(s, "mean"))
+    means = cotraining.describe(docs).agg(*(F.avg(c) for c in cotraining.LAYOUT)).first()
+    assert np.allclose(scaler.mean.toArray(), list(means))
+
+
+def test_the_surest_rows_are_passed_on(spark):
+    docs = cotraining.measured(documents(spark, SF_DIR)).withColumn("label", F.pmod("key", F.lit(2)).cast("double"))
+    rows = cotraining.views().fit(docs).transform(docs).withColumn("weight", F.lit(1.0)).persist()
+    model = cotraining.learner("text").fit(rows)
+    z = {r.key: r.z_text for r in cotraining.logits(rows, model, "text").collect()}
+    bound = math.log(cotraining.SURE / (1 - cotraining.SURE))
+    wanted = sorted((min(abs(x), 30.0) for x in z.values() if abs(x) >= bound), reverse=True)
+    assert len(wanted) > 100
+    for most in (0, 1, len(wanted) // 2, len(wanted), 10**9):
+        got = cotraining.sure(rows, model, "text", most).collect()
+        n = min(most, len(wanted))
+        assert abs(len(got) - n) <= 4 * math.sqrt(n) and all(r.label == (z[r.key] > 0) and r.weight == 0.5 for r in got)
+        if got and n:
+            assert min(abs(z[r.key]) for r in got) >= wanted[n - 1] - 2 * cotraining.STEP
+    rows.unpersist()
+
+
+def test_rows_are_found_by_bitmaps(spark):
+    places = sorted({random.Random(3).randrange(1 << 40) for _ in range(50)} | {0, 1, 7, 8, 32767, 32768, (1 << 33) + 5} | set(range(100, 400, 3)))
+    near = sorted({p + d for p in places for d in (-1, 0, 1) if p + d >= 0})
+    rows = spark.createDataFrame([(p,) for p in near], "place long")
+    chosen = spark.createDataFrame([(p,) for p in places], "place long")
+    assert sorted(r.place for r in cotraining._among(rows, chosen).collect()) == places
+    assert cotraining._among(rows, chosen.limit(0)).count() == 0
