@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colonnade.llm.common import arrow_job, documents, task_count
-from colonnade.llm.tokens import encoder, parts, tokenizer_path
+from colonnade.llm.tokens import encoder, text_slices, tokenizer_path
 
 LENGTH = 1024
 END_ID = 0
@@ -136,64 +136,111 @@ def powers_of_two(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, in
     return out
 
 
-def packer(path: str, length: int, end_id: int, with_ids: bool):
-    """The Arrow task: takes document ids and parts in random order, packs a bounded group at a time."""
-
-    def rows(group: list[tuple[int | None, np.ndarray]], first: int) -> tuple[pa.RecordBatch, int]:
-        sequences = Group([len(ids) for _, ids in group]).pack(length)
-        columns: list[list] = [[] for _ in range(8)]
-        for sequence, pieces in enumerate(sequences, first):
-            offset = 0
-            for number, start, size in pieces:
-                doc_id, ids = group[number]
-                piece = ids[start : start + size]
-                crc = zlib.crc32(piece.astype("<u4").tobytes())
-                kept = piece.astype(np.int32) if with_ids else None
-                values = (doc_id, start, size, crc, len(ids), sequence, offset, kept)
-                for column, value in zip(columns, values, strict=True):
-                    column.append(value)
-                offset += size
-        kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())]
-        names = [field.split()[0] for field in PIECES.split(", ")]
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names=names), first + len(sequences)
+COLUMNS = [field.split()[0] for field in PIECES.split(", ")]
+PIECES_AT_ONCE = 4096  # rows of a batch that is sent on
+
+
+class Ids:
+    """Ids of a group of documents, end to end in little-endian 32-bit numbers."""
+
+    def __init__(self):
+        self.doc_ids: list[int | None] = []
+        self.sizes: list[int] = []
+        self.held: list[np.ndarray] = []
+        self.tokens = 0
+
+    def add(self, doc_ids: list[int | None], sizes: list[int], ids: np.ndarray) -> None:
+        self.doc_ids += doc_ids
+        self.sizes += sizes
+        self.held.append(ids)
+        self.tokens += len(ids)
+
+    def pieces(self, length: int, first: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+        """The packed pieces in batches; sequences are numbered from ``first``."""
+        packed = Group(self.sizes).pack(length)
+        flat = np.array([piece for sequence in packed for piece in sequence], np.int64).reshape(-1, 3)
+        number, start, size = flat.T
+        counts = np.array([len(sequence) for sequence in packed], np.int64)
+        sequence = np.repeat(np.arange(first, first + len(packed)), counts)
+        before = np.cumsum(size) - size
+        offset = before - np.repeat(before[np.cumsum(counts) - counts], counts)
+        ids = np.concatenate(self.held).astype("<u4")
+        self.held = []
+        sizes = np.array(self.sizes, np.int64)
+        begin = (np.cumsum(sizes) - sizes)[number] + start
+        doc_ids = pa.array(self.doc_ids, pa.int64())
+        data = memoryview(ids).cast("B")
+        for at in range(0, len(flat), PIECES_AT_ONCE):
+            some = slice(at, at + PIECES_AT_ONCE)
+            spans = list(zip(begin[some].tolist(), size[some].tolist(), strict=True))
+            crc = [zlib.crc32(data[4 * b : 4 * (b + n)]) for b, n in spans]
+            if with_ids:
+                values = np.concatenate([ids[b : b + n] for b, n in spans]).astype(np.int32)
+                ends = np.append(0, np.cumsum(size[some])).astype(np.int32)
+                kept = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+            else:
+                kept = pa.nulls(len(spans), pa.list_(pa.int32()))
+            columns = (start[some], size[some], crc, sizes[number[some]], sequence[some], offset[some])
+            arrays = [doc_ids.take(pa.array(number[some])), *(pa.array(c, pa.int64()) for c in columns), kept]
+            yield pa.RecordBatch.from_arrays(arrays, names=COLUMNS)
+
+
+def packer(path: str, length: int, end_id: int, with_ids: bool, special_as_text: bool):
+    """The Arrow task: takes document ids and texts in random order, packs a bounded group at a time."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, group, tokens = encoder(path), [], 0
+        encode, group = encoder(path, special_as_text), Ids()
         following = TaskContext.get().partitionId() << 40
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal group, following
+            for out in group.pieces(length, following, with_ids):
+                last = out.column(COLUMNS.index("sequence_id"))[-1].as_py()
+                yield out
+            group, following = Ids(), last + 1
+
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
-                ids, ends = encode.encode(part.column(1))
-                for k, doc_id in enumerate(part.column(0).to_pylist()):
-                    group.append((doc_id, np.append(ids[ends[k] : ends[k + 1]], ids.dtype.type(end_id))))
-                    tokens += len(group[-1][1])
-                    if len(group) >= GROUP_DOCUMENTS or tokens >= GROUP_TOKENS:
-                        out, following = rows(group, following)
-                        yield out
-                        group, tokens = [], 0
-        if group:
-            yield rows(group, following)[0]
+            for some in text_slices(batch, 1):
+                ids, ends = encode.encode(some.column(1))
+                ids = np.insert(ids, ends[1:], end_id)
+                ends += np.arange(len(ends))
+                doc_ids, sizes, at = some.column(0).to_pylist(), np.diff(ends), 0
+                while at < len(doc_ids):
+                    room = GROUP_TOKENS - group.tokens + ends[at]
+                    fit = min(int(np.searchsorted(ends, room, "left")), at + GROUP_DOCUMENTS - len(group.sizes), len(doc_ids))
+                    to = max(fit, at + 1)
+                    group.add(doc_ids[at:to], sizes[at:to].tolist(), ids[ends[at] : ends[to]])
+                    at = to
+                    if len(group.sizes) >= GROUP_DOCUMENTS or group.tokens >= GROUP_TOKENS:
+                        yield from flush()
+        if group.sizes:
+            yield from flush()
 
     return pack
 
 
 def pack_documents(
-    docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = True
+    docs: DataFrame,
+    path: str,
+    length: int = LENGTH,
+    end_id: int = END_ID,
+    with_ids: bool = True,
+    special_as_text: bool = True,
 ) -> DataFrame:
     """Pieces of the documents' ids, each with its place in a sequence of at most ``length`` ids.
 
     Documents are dealt out by a hash of their id and packed in groups of bounded size in the order of another
     hash, so a group is a random sample whatever the input's order. ``ids`` holds a piece's ids unless
-    ``with_ids`` is off. Null and empty texts are the end id alone; a null doc_id stays null; repeated rows are
-    packed each; other columns are ignored; an empty table gives no pieces. Sequences are full, or as long as a
-    power of two.
+    ``with_ids`` is off. The strings of special tokens inside texts are ordinary text, or their ids if
+    ``special_as_text`` is off. Null and empty texts are the end id alone; a null doc_id stays null; repeated rows are
+    packed each; texts of any length are cut into pieces; other columns are ignored, whatever their names; an empty
+    table gives no pieces. Sequences are full, or as long as a power of two.
     """
     order = F.xxhash64(F.lit(17), "doc_id")
-    dealt = docs.select("doc_id", "text").repartition(task_count(docs.sparkSession), F.xxhash64("doc_id"))
+    named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    dealt = named.repartition(task_count(docs.sparkSession), F.xxhash64("doc_id"))
     ordered = dealt.sortWithinPartitions(order, "doc_id", F.length("text"))
-    cut = ordered.select(F.col("doc_id").cast("bigint").alias("doc_id"), parts(F.col("text")).alias("parts"))
-    return arrow_job(cut, packer(path, length, end_id, with_ids), PIECES)
+    return arrow_job(ordered, packer(path, length, end_id, with_ids, special_as_text), PIECES)
 
 
 def sequences(pieces: DataFrame, length: int = LENGTH, pad_id: int = END_ID) -> DataFrame:

@@ -12,6 +12,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from colonnade.llm.common import arrow_job, documents, stored, task_count
-from colonnade.llm.tokens import encoder, parts, tokenizer_path
+from colonnade.llm.tokens import encoder, text_slices, tokenizer_path
 from colonnade.session import scratch_dir
 
 MAGIC = b"COLTOK01"
@@ -73,9 +74,18 @@ class EliasFano:
         place = 8 * byte + int(np.flatnonzero(bits)[left])
         return ((place - number) << self.low) | int(self._low_bits(number, 1)[0])
 
-    def decode(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.upper, bitorder="little"))[: self.count]
-        return ((ones - np.arange(self.count)) << self.low) | self._low_bits(0, self.count)
+    def select_run(self, first: int, count: int) -> np.ndarray:
+        """The values numbered ``first`` to ``first + count - 1``: walks on from the sample before the first.
+
+        Only the bits between two samples are unpacked, never the whole upper part.
+        """
+        last = first + count
+        begin = int(self.samples[first // SAMPLE])
+        after = -(-last // SAMPLE)
+        end = int(self.samples[after]) if after < len(self.samples) else 8 * len(self.upper)
+        bits = np.unpackbits(self.upper[begin // 8 : end // 8 + 1], bitorder="little")
+        ones = np.flatnonzero(bits[begin % 8 :])[first % SAMPLE : first % SAMPLE + count] + begin
+        return ((ones - np.arange(first, last)) << self.low) | self._low_bits(first, count)
 
 
 class TokenFile:
@@ -123,7 +133,7 @@ class TokenFile:
 FILES = "shard int, part int, file string, n_docs bigint, n_tokens bigint"
 
 
-def writer(path: str, end_id: int, folder: str, file_ids: int) -> Callable:
+def writer(path: str, end_id: int, folder: str, file_ids: int, special_as_text: bool) -> Callable:
     """The Arrow task that writes a partition's documents, in order, to files of bounded size.
 
     A name is never used twice: a task that is run again writes new files, and only the rows Spark commits say
@@ -132,7 +142,7 @@ def writer(path: str, end_id: int, folder: str, file_ids: int) -> Callable:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
-        encode, shard, number = encoder(path), TaskContext.get().partitionId(), 0
+        encode, shard, number = encoder(path, special_as_text), TaskContext.get().partitionId(), 0
         doc_ids: list[int | None] = []
         pieces: list[np.ndarray] = []
         held = 0
@@ -150,12 +160,13 @@ def writer(path: str, end_id: int, folder: str, file_ids: int) -> Callable:
 
         store.create_dir(root, recursive=True)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                some = batch.slice(begin, 256)
+            for some in text_slices(batch, 1):
                 ids, ends = encode.encode(some.column(1))
+                ids = np.insert(ids, ends[1:], end_id)
+                ends = (ends + np.arange(len(ends))).tolist()
                 for k, doc_id in enumerate(some.column(0).to_pylist()):
                     doc_ids.append(doc_id)
-                    pieces.append(np.append(ids[ends[k] : ends[k + 1]], ids.dtype.type(end_id)))
+                    pieces.append(ids[ends[k] : ends[k + 1]])
                     held += len(pieces[-1])
                     if held >= file_ids:
                         yield flush()
@@ -166,22 +177,36 @@ def writer(path: str, end_id: int, folder: str, file_ids: int) -> Callable:
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, path: str, end_id: int = END_ID, file_ids: int = FILE_IDS
+    docs: DataFrame,
+    folder: str,
+    path: str,
+    end_id: int = END_ID,
+    file_ids: int = FILE_IDS,
+    special_as_text: bool = True,
 ) -> DataFrame:
     """Write the ids of ``docs`` in ascending doc_id order; returns the files: ``FILES`` and ``start``.
 
-    ``start`` counts the ids in the files before. Null ids come first, rows of one id in the order of a hash of
-    their texts; null and empty texts are the end id alone; other columns are ignored; an empty table writes no
-    file. ``folder`` is a path or URI that executors share and pyarrow's file systems can open.
+    ``start`` counts the ids in the files before. The strings of special tokens inside texts are ordinary text, or their
+    ids if ``special_as_text`` is off. Null ids come first, rows of one id in the order of a hash of their texts; null and
+    empty texts are the end id alone; a text longer than ``file_ids`` fills a file of its own; other columns are ignored,
+    whatever their names; an empty table writes no file. ``folder`` is a path or URI that executors share and pyarrow's
+    file systems can open.
     """
     spark = docs.sparkSession
     tie = F.xxhash64("text")
     ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     ordered = ordered.repartitionByRange(task_count(spark), "doc_id", tie).sortWithinPartitions("doc_id", tie)
-    cut = ordered.select("doc_id", parts(F.col("text")).alias("parts"))
-    files = stored(spark, arrow_job(cut, writer(path, end_id, folder, file_ids), FILES), "token-files")
-    before = F.sum("n_tokens").over(Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1))
-    return files.withColumn("start", F.coalesce(before, F.lit(0)))
+    texts = ordered.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    task = writer(path, end_id, folder, file_ids, special_as_text)
+    files = stored(spark, arrow_job(texts, task, FILES), "token-files")
+    # A row per task: as many as the session has shuffle partitions, however long the table.
+    shards = files.groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").collect()
+    sums = accumulate((r.n for r in shards), initial=0)
+    before = [(r.shard, at) for r, at in zip(shards, sums, strict=False)]
+    before = spark.createDataFrame(before, "shard int, before bigint")
+    within = F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    placed = files.withColumn("within", F.coalesce(within, F.lit(0))).join(F.broadcast(before), "shard")
+    return placed.select(*files.columns, (F.col("before") + F.col("within")).alias("start"))
 
 
 READ = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids array<int>"
@@ -194,16 +219,16 @@ def reader(folder: str, with_ids: bool) -> Callable:
             for name, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 with store.open_input_file(f"{root}/{name}") as source:
                     file = TokenFile.load(memoryview(source.read_buffer()))
-                bounds = file.bounds.decode()
                 for begin in range(0, len(file.doc_ids), 2000):
                     end = min(begin + 2000, len(file.doc_ids))
-                    pieces = [file.ids[bounds[i] : bounds[i + 1]] for i in range(begin, end)]
+                    bounds = file.bounds.select_run(begin, end - begin + 1)
+                    pieces = [file.ids[b:e] for b, e in zip(bounds, bounds[1:], strict=False)]
                     ids = [p.astype(np.int32) if with_ids else None for p in pieces]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(file.doc_ids[begin:end], pa.int64(), mask=file.nulls[begin:end].astype(bool)),
-                            pa.array(first + bounds[begin:end], pa.int64()),
-                            pa.array(np.diff(bounds[begin : end + 1]), pa.int64()),
+                            pa.array(first + bounds[:-1], pa.int64()),
+                            pa.array(np.diff(bounds), pa.int64()),
                             pa.array([zlib.crc32(p.astype("<u4").tobytes()) for p in pieces], pa.int64()),
                             pa.array(ids, pa.list_(pa.int32())),
                         ],

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import TESTDATA
 from llm_tables import SCHEMA, awkward, sentence, write_tables
@@ -30,19 +31,32 @@ ODD = [
 ]
 
 
-def test_parts_have_the_ids_of_the_whole(spark, tokenizer):
+def odd_texts():
     rng = random.Random(1)
-    alphabet = list("ab1 '  .,!\n\t é漢́sx") + ["'s", " the", "…"]
-    texts = [*ODD, "", None, *("".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(400))]
-    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", tokens.parts(F.col("text")).alias("p"))
-    table = rows.orderBy("i").toArrow().column("p").combine_chunks()
-    for memo in (0, 5, 100_000):
-        encoder = tokens.Encoder(tokens.tokenizer_path(), memo_parts=memo)
-        for _ in range(2):
-            ids, ends = encoder.encode(table)
+    alphabet = [*"ab1 '  .,!\n\t é漢́sx×÷𝔘", "'s", " the", "…", *map(chr, (0x85, 0xA0, 0x2003, 0x3000, 0xFEFF)), "<|endoftext|>"]
+    return [*ODD, "", None, *("".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(600))]
+
+
+@pytest.mark.parametrize("special_as_text", [True, False])
+def test_parts_have_the_ids_of_the_whole(special_as_text, monkeypatch):
+    texts, plain = odd_texts(), Tokenizer.from_file(tokens.tokenizer_path())
+    plain.encode_special_tokens = special_as_text
+    for memo, at_once in ((0, 7), (5, 1000), (100_000, 500_000)):
+        monkeypatch.setattr(tokens, "PARTS_AT_ONCE", at_once)
+        encoder = tokens.byte_level(tokens.tokenizer_path(), special_as_text, memo)
+        for column in (pa.array(texts), pa.array(["other", *texts])[1:]):
+            ids, ends = encoder.encode(column)
             for i, text in enumerate(texts):
-                assert ids[ends[i] : ends[i + 1]].tolist() == ids_of(tokenizer, text)
-        assert len(encoder.place) == len(encoder.place.keys()) and encoder.filled <= len(encoder.pool)
+                assert ids[ends[i] : ends[i + 1]].tolist() == ids_of(plain, text)
+        assert encoder.filled <= len(encoder.pool)
+    assert encoder.encode(pa.array([], pa.string()))[1].tolist() == [0]
+
+
+def test_slices_hold_all_rows():
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 5, None, "", "y" * 30, "z", "z" * 4])], names=["t"])
+    for most in (1, 6, 1000):
+        slices = list(tokens.text_slices(batch, 0, most))
+        assert sum((s.column(0).to_pylist() for s in slices), []) == batch.column(0).to_pylist()
 
 
 def check_pieces(pieces, rows, tokenizer):
@@ -95,6 +109,13 @@ def test_sequences_hold_the_documents(spark, tokenizer):
     assert packing.pack_documents(docs.limit(0), tokens.tokenizer_path()).count() == 0
 
 
+def test_special_tokens_by_parameter(spark):
+    docs = spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string")
+    packed = [packing.pack_documents(docs, tokens.tokenizer_path(), special_as_text=x) for x in (True, False)]
+    ids = [sum((r.ids for r in p.orderBy("start").collect()), []) for p in packed]
+    assert ids == [[64, 1279, 91, 437, 1659, 5239, 91, 29, 275, 0], [64, 220, 50256, 275, 0]]
+
+
 def test_first_fit_by_brute_force():
     rng = random.Random(4)
     for _ in range(30):
@@ -132,8 +153,9 @@ def test_elias_fano_round_trip():
     for values in ([0], [0, 0, 0], [0, 1, 2, 3], np.cumsum(rng.integers(0, 5000, 1000)), np.cumsum(rng.integers(0, 2, 500)), [0, 10**9]):
         values = np.array(values, np.int64)
         coded = token_files.EliasFano.encode(values)
-        assert (coded.decode() == values).all()
         assert [coded.select(i) for i in range(len(values))] == values.tolist()
+        for first, count in ((0, len(values)), (len(values) // 2, len(values) - len(values) // 2), (len(values) - 1, 1), (len(values) // 3, 1)):
+            assert coded.select_run(first, count).tolist() == values[first : first + count].tolist()
     values = np.cumsum(rng.integers(0, 5000, 10_000))
     coded = token_files.EliasFano.encode(values)
     bits = 8 * (len(coded.upper) + len(coded.lower)) / len(values)
