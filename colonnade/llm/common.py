@@ -51,10 +51,10 @@ def lower_ascii(text: Column) -> Column:
     return F.when(only_ascii, F.lower(text)).otherwise(F.translate(text, upper, lower))
 
 
-def stored(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
+def stored(spark: SparkSession, frame: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
     """The frame written to the shared folder and read back: work done once, kept when executors are lost."""
     path = scratch_dir(spark, label)
-    frame.write.option("compression", "zstd").parquet(path)
+    frame.write.option("compression", "zstd").options(**(options or {})).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -74,12 +74,17 @@ def task_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def arrow_job(
-    frame: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    """``mapInArrow``; workers that were not given this package by the cluster look for it where the driver has it."""
-    environment = frame.sparkSession.sparkContext.environment
+def arrow_environment(spark: SparkSession) -> None:
+    """Workers that were not given this package by the cluster look for it where the driver has it."""
+    environment = spark.sparkContext.environment
     folder, paths = str(Path(__file__).parents[2]), environment.get("PYTHONPATH", "")
     if folder not in paths.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, folder]))
+
+
+def arrow_job(
+    frame: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``mapInArrow`` with this package on the workers' path."""
+    arrow_environment(frame.sparkSession)
     return frame.mapInArrow(task, schema)

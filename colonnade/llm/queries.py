@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from colonnade.llm import (
+    alignment,
     cotraining,
     decontamination,
     language_id,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op12_token_alignment": alignment.op12_token_alignment,
 }
 ORACLES = {
     "op2_line_dedup": line_dedup.ORACLE,
