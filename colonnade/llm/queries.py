@@ -9,6 +9,7 @@ from colonnade.llm import (
     language_id,
     line_dedup,
     near_dedup,
+    nearest,
     packing,
     passages,
     quality_rules,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_nearest_vectors": nearest.op11_nearest_vectors,
     "op12_token_alignment": alignment.op12_token_alignment,
 }
 ORACLES = {
