@@ -15,6 +15,7 @@ from colonnade.llm import (
     quality_rules,
     token_files,
     toxicity,
+    trie,
 )
 
 QUERIES = {
@@ -30,8 +31,10 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_nearest_vectors": nearest.op11_nearest_vectors,
     "op12_token_alignment": alignment.op12_token_alignment,
+    "op13_prefix_trie": trie.op13_prefix_trie,
 }
 ORACLES = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
+    "op13_prefix_trie": trie.ORACLE,
 }
