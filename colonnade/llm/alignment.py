@@ -24,15 +24,16 @@ from colonnade.llm.tokens import Encoder, blank_cuts, byte_level, text_slices, t
 
 WORK = 1 << 16  # ends of A and B in one piece
 BLOCK_WORK = 4_000_000  # ends in a block of pieces whose id pairs are looked up together
-MERGE_WORK = 2_000_000  # ends merged at once
+MERGE_WORK = 500_000  # ends merged at once
 BLANK = "▁"  # stands for a blank in pieces
 
 
 class Vocabulary:
-    """An encoder and the bytes of each of its tokens."""
+    """An encoder and the bytes of each of its tokens. ``faithful``: tokens always spell the text."""
 
-    def __init__(self, encoder: Encoder, tokens: list[bytes]):
-        self.encoder = encoder
+    def __init__(self, encoder: Encoder | None, tokens: list[bytes], faithful: bool = False):
+        self.encoder, self.faithful = encoder, faithful
+        self.dtype = np.dtype("<u2" if len(tokens) <= 1 << 16 else "<u4")
         self.sizes = np.array([len(token) for token in tokens], np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
@@ -64,7 +65,10 @@ def vocabulary_a(path: str) -> Vocabulary:
 
     tokenizer, of = Tokenizer.from_file(path), byte_level_bytes()
     names = (tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size()))
-    return Vocabulary(byte_level(path), [bytes(of[c] for c in name if c in of) for name in names])
+    tokens = [bytes(of[c] for c in name if c in of) for name in names]
+    # With a token for every byte and nothing that changes texts before, byte-level BPE can't lose a byte.
+    faithful = tokenizer.normalizer is None and {bytes([b]) for b in range(256)} <= set(tokens)
+    return Vocabulary(byte_level(path), tokens, faithful)
 
 
 @lru_cache(maxsize=2)
@@ -126,7 +130,7 @@ def cutter(path_a: str, path_b: str, work: int, block_work: int) -> Callable:
             splits = [(0, 0), *(split_at(ends_a, ends_b, d) for d in range(work, total, work)), (len(ids_a), len(ids_b))]
             for piece, ((i, j), (k, m)) in enumerate(zip(splits, splits[1:], strict=False)):
                 begins = (int(ends_a[i - 1]) if i else 0, int(ends_b[j - 1]) if j else 0)
-                held = (pack(ids_a[i : k + 1].astype("<u4").tobytes()), pack(ids_b[j : m + 1].astype("<u4").tobytes()))
+                held = (pack(ids_a[i : k + 1].astype(a.dtype).tobytes()), pack(ids_b[j : m + 1].astype(b.dtype).tobytes()))
                 yield (row, doc_id, piece, len(splits) - 1, k - i, m - j, *begins, *held)
 
         for batch in batches:
@@ -155,6 +159,8 @@ def equal_bytes(texts: pa.StringArray, side: Vocabulary, ids: np.ndarray, at: np
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
     ends = np.append(0, np.cumsum(side.sizes[ids]))[at]
     good = np.diff(ends) == sizes
+    if side.faithful:
+        return good
     kept = np.repeat(good, np.diff(at))
     chosen = texts.filter(pa.array(good))
     _, offsets, data = chosen.buffers()
@@ -168,43 +174,51 @@ def equal_bytes(texts: pa.StringArray, side: Vocabulary, ids: np.ndarray, at: np
 
 
 class Merge:
-    """The merged ends of some pieces, laid out one behind the other.
+    """The merged ends of some pieces, laid out one behind the other on one scale of bytes.
 
     ``piece``, ``a``, ``b`` name each link: the piece it was found in and the places of its two tokens. A link is the
-    stretch up to an end and from the end before; its tokens are those the stretch lies in.
+    stretch up to an end and from the end before; its tokens are those the stretch lies in. Ends are marked on the scale,
+    so that merging, and finding the token around an end, are running sums.
     """
 
-    def __init__(self, pieces: pa.Table | pa.RecordBatch, size_a: np.ndarray, size_b: np.ndarray):
+    def __init__(self, pieces: pa.Table | pa.RecordBatch, a: Vocabulary, b: Vocabulary):
         unpack = zstandard.ZstdDecompressor().decompress
         own = [pieces.column(name).to_numpy() for name in ("n_a", "n_b")]
         begins = [pieces.column(name).to_numpy() for name in ("a_begin", "b_begin")]
         start = np.minimum(*begins)
         self.ids, ends, span = [], [], np.zeros(pieces.num_rows, np.int64)
-        for name, sizes, begin in zip(("a_ids", "b_ids"), (size_a, size_b), begins, strict=True):
-            held = [np.frombuffer(unpack(x), "<u4") for x in pieces.column(name).to_pylist()]
+        for name, side, begin in zip(("a_ids", "b_ids"), (a, b), begins, strict=True):
+            held = [np.frombuffer(unpack(x), side.dtype) for x in pieces.column(name).to_pylist()]
             counts = np.array([len(x) for x in held], np.int64)
             ids = np.concatenate(held).astype(np.int64) if held else np.zeros(0, np.int64)
-            total = np.append(0, np.cumsum(sizes[ids]))
+            total = np.append(0, np.cumsum(side.sizes[ids]))
             first = np.cumsum(counts) - counts
             local = total[1:] - np.repeat(total[first] - begin + start, counts)
             span = np.maximum(span, total[first + counts] - total[first] + begin - start)
             self.ids.append(ids)
             ends.append((local, counts, first))
         base = np.cumsum(span + 1) - span - 1
-        self.ends = [local + np.repeat(base, counts) for local, counts, _ in ends]
-        self.first = [first for _, _, first in ends]
-        mine = [  # a piece's own tokens, without those that follow
-            np.arange(len(local)) - np.repeat(first, counts) < np.repeat(n, counts)
-            for (local, counts, first), n in zip(ends, own, strict=True)
-        ]
-        own_a, own_b = (end[m] for end, m in zip(self.ends, mine, strict=True))
-        self.mine = [np.flatnonzero(m) for m in mine]
-        self.common = np.intersect1d(own_a, own_b, assume_unique=True)
-        self.links = np.union1d(own_a, own_b)
-        self.a, self.b = (np.searchsorted(end, self.links) for end in self.ends)
         self.edges = np.append(base, base[-1] + span[-1] + 1) if len(base) else np.zeros(1, np.int64)
-        self.piece = np.searchsorted(self.edges, self.links, "left") - 1
-        self.own = own
+        # A piece's own tokens, without those that follow.
+        mine = [np.arange(len(x)) - np.repeat(first, n) < np.repeat(o, n) for (x, n, first), o in zip(ends, own, strict=True)]
+        all_ends = [local + np.repeat(base, counts) for local, counts, _ in ends]
+        self.mine = [np.flatnonzero(m) for m in mine]
+        self.ends = [end[m] for end, m in zip(all_ends, self.mine, strict=True)]
+        marks = [self._marks(x) for x in self.ends]
+        self.common = np.flatnonzero(marks[0] & marks[1])
+        self.links = np.flatnonzero(marks[0] | marks[1])
+        self.a, self.b = (self._before(self._marks(x), self.links) for x in all_ends)
+        self.piece = np.repeat(np.arange(pieces.num_rows), self.per_piece(self.links))
+
+    def _marks(self, places: np.ndarray) -> np.ndarray:
+        marks = np.zeros(self.edges[-1] + 1, bool)
+        marks[places] = True
+        return marks
+
+    @staticmethod
+    def _before(marks: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """How many marks lie before each place; none is at the scale's beginning."""
+        return np.cumsum(marks, dtype=np.int32)[places - 1]
 
     def pairs(self) -> np.ndarray:
         return self.ids[0][self.a] << 32 | self.ids[1][self.b]
@@ -213,6 +227,13 @@ class Merge:
         """How many of the rising places lie in each piece."""
         return np.diff(np.searchsorted(places, self.edges, "right"))
 
+    def group_keys(self) -> tuple[list[np.ndarray], np.ndarray]:
+        """For each side its own tokens' groups, and each piece's first; its last, after all common ends, may be empty."""
+        marks = self._marks(self.common)
+        marks[self.edges[1:]] = True
+        first = np.append(0, np.cumsum(self.per_piece(self.common) + 1))
+        return [self._before(marks, end) for end in self.ends], first
+
 
 def slices_of(pieces: pa.Table | pa.RecordBatch, most: int) -> Iterator[pa.Table | pa.RecordBatch]:
     run = np.cumsum(pieces.column("n_a").to_numpy() + pieces.column("n_b").to_numpy()) // most
@@ -229,7 +250,7 @@ def pair_counter(path_a: str, path_b: str) -> Callable:
     """The Arrow task that counts the linked id pairs of each block of pieces; blocks follow each other."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = vocabulary_a(path_a).sizes, vocabulary_b(path_b).sizes
+        sides = vocabulary_a(path_a), vocabulary_b(path_b)
         block, pairs, counts = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def told() -> pa.RecordBatch:
@@ -238,16 +259,18 @@ def pair_counter(path_a: str, path_b: str) -> Callable:
 
         for batch in batches:
             for some in slices_of(batch, MERGE_WORK):
-                merge = Merge(some, *sizes)
+                merge = Merge(some, *sides)
                 found, owner = merge.pairs(), some.column("block").to_numpy()
                 for one in np.unique(owner):
                     if one != block:
                         if len(pairs):
                             yield told()
                         block, pairs, counts = int(one), pairs[:0], counts[:0]
-                    new, n = np.unique(found[owner[merge.piece] == one], return_counts=True)
-                    pairs, place = np.unique(np.concatenate([pairs, new]), return_inverse=True)
-                    counts = np.bincount(place, np.concatenate([counts, n]), len(pairs)).astype(np.int64)
+                    here = found if (owner == one).all() else found[(owner == one)[merge.piece]]
+                    new = pa.array(here).value_counts()
+                    every = np.concatenate([pairs, new.field(0).to_numpy()])
+                    pairs, place = np.unique(every, return_inverse=True)
+                    counts = np.bincount(place, np.concatenate([counts, new.field(1).to_numpy()]), len(pairs)).astype(np.int64)
         if len(pairs):
             yield told()
 
@@ -267,44 +290,23 @@ MERGED = (
 )
 
 
-def group_texts(merge: Merge, size: int) -> tuple[list[str], list[np.ndarray], np.ndarray, np.ndarray]:
-    """The own tokens as text in group order; for each side its tokens' groups, and where each group begins."""
-    groups = [np.searchsorted(merge.common, end[m]) for end, m in zip(merge.ends, merge.mine, strict=True)]
-    # Tokens behind a piece's last common end must not fall into the group of the next piece.
-    piece = [np.searchsorted(merge.edges, end[m], "left") - 1 for end, m in zip(merge.ends, merge.mine, strict=True)]
-    keys = [g * (len(merge.edges) + 1) + p for g, p in zip(groups, piece, strict=True)]
-    every = np.union1d(*keys)
-    keys = [np.searchsorted(every, k) for k in keys]
-    counts = [np.bincount(k, minlength=len(every)) for k in keys]
-    begins = np.append(0, np.cumsum(counts[0] + counts[1]))
-    text = np.zeros(begins[-1], np.int64)
-    for side, (key, n, last) in enumerate(zip(keys, counts, (1, 2), strict=True)):
-        ids = merge.ids[side][merge.mine[side]]
-        place = np.arange(len(ids)) - (np.cumsum(n) - n)[key] + begins[key] + (counts[0][key] if side else 0)
-        ends = np.append(key[1:] != key[:-1], True) if len(key) else np.zeros(0, bool)
-        text[place] = ids + size * last * ends
-    return list(map(written_ids(size).__getitem__, text.tolist())), [piece, keys], begins, counts[0]
-
-
 def scorer(path_a: str, path_b: str) -> Callable:
     """The cogrouped task: a block's pieces and, of every id pair in it, the count and whether it is its B id's highest."""
 
     def score(pieces: pa.Table, known: pa.Table) -> pa.Table:
-        sizes = vocabulary_a(path_a).sizes, vocabulary_b(path_b).sizes
-        most_ids = max(map(len, sizes))
-        pair, at = np.unique(known.column("pair").to_numpy(), return_index=True)
-        n, best = known.column("n").to_numpy()[at], known.column("best").to_numpy()[at]
+        sides = vocabulary_a(path_a), vocabulary_b(path_b)
+        most_ids = max(len(side.sizes) for side in sides)
+        pair = known.column("pair").combine_chunks()
+        n, best = known.column("n").to_numpy(), known.column("best").to_numpy().astype(np.int64)
         out = []
         for some in slices_of(pieces, MERGE_WORK):
-            merge = Merge(some, *sizes)
-            rows, found = some.num_rows, np.searchsorted(pair, merge.pairs())
-            begin = np.searchsorted(merge.piece, np.arange(rows + 1))
-            n_best, count_sum = (
-                np.diff(np.append(0, np.cumsum(values[found] if len(found) else values[:0]))[begin])
-                for values in (best.astype(np.int64), n)
-            )
+            merge = Merge(some, *sides)
+            links = merge.per_piece(merge.links)
+            found = pc.index_in(pa.array(merge.pairs()), value_set=pair).to_numpy(zero_copy_only=False)
+            begin = np.append(0, np.cumsum(links))
+            n_best, count_sum = (np.diff(np.append(0, np.cumsum(x[found]))[begin]) for x in (best, n))
+            numbers = (merge.per_piece(merge.common), links, n_best, count_sum)
             texts = _texts(some, merge, most_ids)
-            numbers = (merge.per_piece(merge.common), merge.per_piece(merge.links), n_best, count_sum)
             copied = [some.column(name) for name in ("row", "doc_id", "piece", "n_pieces", "n_a", "n_b")]
             arrays = [*copied, *(pa.array(x.astype(np.int64)) for x in numbers), *(pa.array(x, pa.string()) for x in texts)]
             out.append(pa.table(dict(zip(names_of(MERGED), arrays, strict=True))))
@@ -321,14 +323,18 @@ MERGED_TYPES = [
 
 def _texts(some: pa.Table, merge: Merge, size: int) -> list[list[str | None]]:
     """Digest of whole documents' groups; of other pieces what stitching needs: head, body and tail."""
-    words, (piece, keys), begins, n_a = group_texts(merge, size)
-    whole = (some.column("n_pieces").to_numpy() == 1).tolist()
-    # The groups of a piece are numbered without gaps, and of those all but the last may be closed.
-    owner = np.zeros(len(begins) - 1, np.int64)
-    for p, k in zip(piece, keys, strict=True):
-        owner[k] = p
-    first = np.searchsorted(owner, np.arange(some.num_rows + 1)).tolist()
-    closed = merge.per_piece(merge.common).tolist()
+    keys, first = merge.group_keys()
+    counts = [np.bincount(key, minlength=first[-1]) for key in keys]
+    n_a, begins = counts[0].tolist(), np.append(0, np.cumsum(counts[0] + counts[1]))
+    text = np.zeros(begins[-1], np.int64)
+    for side, (key, n, last) in enumerate(zip(keys, counts, (1, 2), strict=True)):
+        ids = merge.ids[side][merge.mine[side]]
+        place = np.arange(len(ids)) + (begins[:-1] - (np.cumsum(n) - n) + (counts[0] if side else 0))[key]
+        ends = np.append(key[1:] != key[:-1], True)[: len(key)]
+        text[place] = ids + size * last * ends
+    words = list(map(written_ids(size).__getitem__, text.tolist()))
+    begins, first = begins.tolist(), first.tolist()
+    whole, closed = (some.column("n_pieces").to_numpy() == 1).tolist(), merge.per_piece(merge.common).tolist()
     columns: list[list[str | None]] = [[] for _ in range(6)]
 
     def open_group(x: int) -> tuple[str, str]:
@@ -339,17 +345,12 @@ def _texts(some: pa.Table, merge: Merge, size: int) -> list[list[str | None]]:
     for k in range(some.num_rows):
         g, h = first[k], first[k + 1]
         if whole[k]:
-            text = "".join(words[begins[g] : begins[h]])[:-1] if h > g else ""
+            text = "".join(words[begins[g] : begins[h]])[:-1]
             told = (hashlib.sha256(text.encode()).hexdigest() if text else "", None, None, None, None, None)
-        elif h == g:
-            told = (None, "", "", None, "", "")
         else:
-            head, tail = open_group(g), ("", "")
-            last = g + closed[k]  # the first group that is not closed
+            last = g + closed[k]  # the group that is not closed
             body = "".join(words[begins[g + 1] : begins[last]]) if closed[k] else None
-            if closed[k] and h > last:
-                tail = open_group(last)
-            told = (None, *head, body, *tail)
+            told = (None, *open_group(g), body, *(open_group(last) if closed[k] else ("", "")))
         for column, value in zip(columns, told, strict=True):
             column.append(value)
     return columns
