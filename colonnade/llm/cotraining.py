@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colonnade.llm.common import bind, chosen, documents, lines, stored, strip, words
+from colonnade.llm.common import chosen, documents, lines, stored, strip, words
 
 LABELLED = 8000  # labelled rows to learn from, at most (expected number)
 ROUNDS = 3
@@ -33,42 +33,53 @@ LAYOUT = (
 VIEWS = ("text", "meta")
 
 
+#: Everything but capitals, digits, marks and white space: most of a text, taken out in one pass.
+PLAIN = r"[^\p{Lu}\p{N}\p{P}\p{S}\s]+"
+CLOSING = ".!?:;\"')"
+
+
 def describe(docs: DataFrame) -> DataFrame:
-    """``row`` (doc_id), the words' tokens, the names and the layout of each document. Nulls read as empty."""
-    text = F.coalesce("text", F.lit(""))
-
-    def measured(found: Column) -> Column:
-        size = F.greatest(F.length(text), F.lit(1)).cast("double")
-        n = F.greatest(F.size(found), F.lit(1)).cast("double")
-        filled = F.filter(lines(F.col("text")), lambda line: strip(line) != "")
-        n_lines = F.greatest(F.size(filled), F.lit(1)).cast("double")
-        share = lambda pattern: 1 - F.length(F.regexp_replace(text, pattern, "")) / size
-        closed = F.filter(filled, lambda line: F.rtrim(line).rlike(r"[.!?:;\"')]$"))
-        ends = F.transform(found, lambda word: F.concat(F.lit("~"), F.right(word, F.lit(3))))
-        layout = {
-            "log_words": F.log1p(n),
-            "log_lines": F.log1p(n_lines),
-            "word_length": F.length(F.array_join(found, "")) / n,
-            "distinct_words": F.size(F.array_distinct(found)) / n,
-            "capitals": share(r"\p{Lu}"),
-            "digits": share(r"\p{N}"),
-            "marks": share(r"[\p{P}\p{S}]"),
-            "blank_share": share(r"\s"),
-            "closed_lines": F.size(closed) / n_lines,
-            "distinct_lines": F.size(F.array_distinct(filled)) / n_lines,
-            "words_per_line": F.log1p(n / n_lines),
-        }
-        return F.struct(
-            F.concat(F.transform(found, lambda word: F.lower(word)), ends).alias("tokens"),
-            *(layout[name].cast("double").alias(name) for name in LAYOUT),
-        )
+    """``row`` (doc_id), the words' tokens, the names and the layout of each document.
 
+    Nulls read as empty; empty texts have no tokens; whole texts count, however long; repeated rows are described alike;
+    other columns are ignored, whatever their names.
+    """
     names = F.array(
         F.concat(F.lit("source="), F.coalesce(F.col("source").cast("string"), F.lit(""))),
         F.concat(F.lit("lang="), F.coalesce(F.col("lang").cast("string"), F.lit(""))),
     )
-    found = docs.select(F.col("doc_id").alias("row"), names.alias("names"), bind(words(F.col("text")), measured).alias("m"))
-    return found.select("row", "names", "m.*")
+    rows = docs.select(F.col("doc_id").alias("row"), names.alias("names"), F.coalesce("text", F.lit("")).alias("text"))
+    # What several measures need is a column of its own, so that it is worked out once.
+    rows = rows.select(
+        "row",
+        "names",
+        F.length("text").alias("size"),
+        words(F.lower("text")).alias("tokens"),
+        F.filter(lines(F.col("text")), lambda line: strip(line) != "").alias("filled"),
+        F.regexp_replace("text", PLAIN, "").alias("kinds"),
+    )
+    rows = rows.withColumn("seen", F.regexp_replace("kinds", r"\s+", ""))
+    rows = rows.withColumn("marks", F.regexp_replace("seen", r"[\p{Lu}\p{N}]+", ""))
+    rows = rows.withColumn("digits", F.regexp_replace("seen", r"[\p{Lu}\p{P}\p{S}]+", ""))
+    n = F.greatest(F.size("tokens"), F.lit(1)).cast("double")
+    n_lines = F.greatest(F.size("filled"), F.lit(1)).cast("double")
+    size = F.greatest("size", F.lit(1)).cast("double")
+    closed = F.filter("filled", lambda line: F.instr(F.lit(CLOSING), F.right(F.rtrim(line), F.lit(1))) > 0)
+    marks, digits = F.length("marks"), F.length("digits")
+    layout = {
+        "log_words": F.log1p(n),
+        "log_lines": F.log1p(n_lines),
+        "word_length": (F.col("size") - (F.length("kinds") - F.length("seen"))) / n,
+        "distinct_words": F.size(F.array_distinct("tokens")) / n,
+        "capitals": (F.length("seen") - marks - digits) / size,
+        "digits": digits / size,
+        "marks": marks / size,
+        "blank_share": (F.length("kinds") - F.length("seen")) / size,
+        "closed_lines": F.size(closed) / n_lines,
+        "distinct_lines": F.size(F.array_distinct("filled")) / n_lines,
+        "words_per_line": F.log1p(n / n_lines),
+    }
+    return rows.select("row", "tokens", "names", *(layout[name].cast("double").alias(name) for name in LAYOUT))
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -173,14 +184,18 @@ def _learn(rows: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> CoTraine
 
 
 def _among(rows: DataFrame, places: DataFrame) -> DataFrame:
-    """The rows at these places. They go to the rows as bitmaps, a bit for each place."""
+    """The rows at these places. They go to the rows as bitmaps, a bit for each place.
+
+    A bitmap stands for 32,768 places; the table of them grows with the rows, so Spark's own size check decides whether
+    it is broadcast.
+    """
     bitmaps = places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
     )
     bitmaps = stored(rows.sparkSession, bitmaps, "unlabelled")
     bit = F.bitmap_bit_position("place")
     byte = F.conv(F.hex(F.substring("bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    found = rows.withColumn("bucket", F.bitmap_bucket_number("place")).join(F.broadcast(bitmaps), "bucket")
+    found = rows.withColumn("bucket", F.bitmap_bucket_number("place")).join(bitmaps, "bucket")
     return found.filter(byte.bitwiseAND(F.pow(F.lit(2), bit % 8).cast("int")) != 0).drop("bucket", "bits")
 
 

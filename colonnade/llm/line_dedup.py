@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colonnade.llm.common import bind, documents, lines, lower_ascii, strip
+from colonnade.llm.common import bind, documents, lines, lower_ascii, stored, strip
 
 #: A line counts from this many code points on, and goes if at least this many documents hold it.
 MIN_LENGTH = 40
@@ -43,19 +43,23 @@ def drop_lines(
     """The documents with a struct column ``into``: ``n_lines``, ``n_dropped`` and the ``text`` that stays.
 
     Only digests go through the counting shuffles; the texts are shuffled once, to meet the numbers of the lines
-    they lose. A null text reads as one empty line and becomes an empty text. Rows that share a doc_id are one
-    document; a null doc_id is one document, smaller than all others. Repeated rows are all returned.
+    they lose. A null text reads as one empty line and becomes an empty text; texts of any length are split whole.
+    Rows that share a doc_id are one document; a null doc_id is one document, smaller than all others, so of equal
+    lines the one in the largest id stays. Repeated rows are all returned; an empty table stays empty. Columns of any
+    name go through as they are, but one called ``into`` is replaced.
     """
     row = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
     found = docs.select(row.alias("_row"), F.explode(line_keys(F.col("text"), min_length)).alias("_line"))
     found = found.select(
         "_row", F.col("_row.id").alias("_id"), F.col("_line.i").alias("_i"), F.col("_line.key").alias("_key")
     )
-    shared = shared_lines(found, min_documents)
+    # Read from files, the shared keys get a shuffle of their own, so a line that very many documents hold can be split.
+    shared = stored(docs.sparkSession, shared_lines(found, min_documents), "shared-lines")
     lost = found.join(shared, "_key").filter(~F.col("_id").eqNullSafe(F.col("_holder")))
     numbers = lost.groupBy("_row").agg(F.collect_set("_i").alias("_lost"))
-    keyed = docs.withColumn("_row", row)
-    joined = keyed.join(numbers, keyed["_row"].eqNullSafe(numbers["_row"]), "left").drop("_row")
+    # The caller's columns stay in a struct of their own until the end.
+    whole = docs.select(F.struct("*").alias("_doc"), row.alias("_row"), F.col("text").alias("_text"))
+    joined = whole.join(numbers, whole["_row"].eqNullSafe(numbers["_row"]), "left")
 
     def rebuilt(parts: Column) -> Column:
         every = F.sequence(F.lit(0), F.size(parts) - 1)
@@ -68,7 +72,9 @@ def drop_lines(
             kept.alias("text"),
         )
 
-    return joined.withColumn(into, bind(lines(F.col("text")), rebuilt)).drop("_lost")
+    done = joined.select("_doc", bind(lines(F.col("_text")), rebuilt).alias("_into"))
+    kept = [done["_doc"][name].alias(name) for name in docs.columns if name.lower() != into.lower()]
+    return done.select(*kept, done["_into"].alias(into))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,6 +85,21 @@ def test_stages_pass_awkward_rows(spark, tmp_path):
     assert all(stage(spark, empty, folder).count() == 0 for _, stage in corpus_pipeline.STAGES)
 
 
+def test_stages_pass_clashing_columns(spark, tmp_path):
+    """Columns with the names that stages use inside come out as they went in, and change no other column."""
+    names = ["_row", "_lost", "_doc", "_text", "_key", "_id", "_lines", "_quality", "quality", "lines", "row", "Row_", "kept",
+             "line_dedup", "node", "bucket", "digest", "component_id", "set_key", "hash"]
+    rows, items = corpus()
+    folder = write_tables(spark, tmp_path / "t", rows, benchmark=(items, "item_id long, text string"))
+    plain = frame(spark, rows)
+    clashing = plain.select("*", *(F.concat_ws("-", F.lit(n), "doc_id").alias(n) for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, clashing, folder)
+        assert got.columns == clashing.columns, name
+        assert sorted(map(repr, got.select(*COLUMNS).collect())) == sorted(map(repr, stage(spark, plain, folder).collect())), name
+        assert got.filter(" OR ".join(f"`{n}` <> concat_ws('-', '{n}', doc_id)" for n in names)).isEmpty(), name
+
+
 def test_nothing_else_imports_the_subpackage():
     root = pathlib.Path(entry.__file__).parent
     for file in [*root.glob("colonnade/**/*.py"), *root.glob("tests/*.py"), root / "bench.py"]:
