@@ -18,35 +18,67 @@ from colonnade.llm.quality_rules import apply_rules
 from colonnade.llm.tokens import tokenizer_path
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return apply_rules(docs, into="_quality").filter("_quality.kept").select(*docs.columns)
+    """Documents that the quality rules reject go.
+
+    Null and empty texts have no words and go; very long ones are judged whole; repeated rows alike; columns of any name
+    go through; an empty table stays empty.
+    """
+    name = fresh(docs, "quality")
+    return apply_rules(docs, into=name).filter(F.col(name)["kept"]).select(*docs.columns)
 
 
 def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents share stay in one of them; ``n_chars`` follows the text."""
-    done = drop_lines(docs, into="_lines")
-    new = {"text": F.col("_lines.text"), "n_chars": F.length("_lines.text").cast("bigint")}
+    """Lines that many documents share stay in the one of the largest id; ``n_chars`` follows the text.
+
+    Null texts become empty ones; texts are split whole, however long; repeated rows and rows of one id are one document
+    and are all returned; columns of any name go through; an empty table stays empty.
+    """
+    name = fresh(docs, "lines")
+    done = drop_lines(docs, into=name)
+    text = F.col(name)["text"]
+    new = {"text": text, "n_chars": F.length(text).cast("bigint")}
     return done.select(*(new.get(c, F.col(c)).alias(c) for c in docs.columns))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, that of the smallest id; rows without id all stay."""
+    """One document of each group of near-duplicates stays, that of the smallest id; rows without id all stay.
+
+    Texts without words are linked with nothing and stay; long ones are compared whole; rows of one id stay or go
+    together; columns of any name go through; an empty table stays empty.
+    """
     kept = near_duplicates(spark, docs.select("doc_id", "text")).filter("kept").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
     return named.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
-    row = F.xxhash64("doc_id", "text")
+    """Documents that hold a passage of the benchmark go.
+
+    Null and empty texts hold none; long ones are searched to their end; rows are told apart by 64 bits of id and text, so
+    repeated rows go together and others of the same id stay; columns of any name go through; an empty table, or
+    benchmark, changes nothing.
+    """
+    row, name = F.xxhash64("doc_id", "text"), fresh(docs, "row")
     found = contaminated(docs.select(row.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaks = found.select(F.col("doc_id").alias("_row")).distinct()
-    return docs.withColumn("_row", row).join(leaks, "_row", "left_anti").select(*docs.columns)
+    leaks = found.select(F.col("doc_id").alias(name)).distinct()
+    return docs.withColumn(name, row).join(leaks, name, "left_anti").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the training sequences, ids and all."""
+    """The pieces of the training sequences, ids and all.
+
+    Null and empty texts are the end id alone; long ones are cut into pieces; repeated rows are packed each; other columns
+    are ignored; an empty table gives no pieces.
+    """
     return pack_documents(docs, tokenizer_path())
 
 
