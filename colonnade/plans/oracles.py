@@ -227,4 +227,8 @@ ORACLES: dict[str, str] = {
       WHERE event_type = 'purchase'""",
     "index_join_back": f"""{CC} SELECT * FROM cc WHERE NOT {NO_NAME} AND row_key IN
       (SELECT {PADDED} FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))""",
+    "index_maintained": f"""SELECT {PADDED} AS row_key,
+      CASE WHEN c_acctbal >= 9000 THEN 'VIP' ELSE c_mktsegment END AS segment,
+      CASE WHEN c_nationkey = 5 THEN c_name || '*' ELSE c_name END AS name
+      FROM customer WHERE c_mktsegment <> 'MACHINERY'""",
 }

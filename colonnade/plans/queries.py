@@ -27,7 +27,7 @@ from colonnade.operators.filters import (
     KeyRegex,
     compare,
 )
-from colonnade.operators.index import build_index, lookup_covered, lookup_rows
+from colonnade.operators.index import build_index, index_changes, lookup_covered, lookup_rows, read_index
 from colonnade.plans import inputs
 from colonnade.session import scratch_dir
 from colonnade.sources import tables
@@ -568,3 +568,24 @@ def index_join_back(spark, sf_dir):
     log = _customer_log(spark, sf_dir)
     build_index(cell_ops.read_wide(log, {"info:segment": "string"}), path, ["segment"], [])
     return plain(lookup_rows(spark.read.parquet(path), F.col("segment").isin("BUILDING", "MACHINERY"), log))
+
+
+@query
+def index_maintained(spark, sf_dir):
+    """An index over segments that covers names follows updates of both and deletes, batch by batch."""
+    customers = inputs.load(spark, sf_dir, "customer")
+    key, indexed, covered = inputs.padded("c_custkey"), ["info:segment"], ["info:name"]
+    rich = customers.filter(F.col("c_acctbal") >= 9000)
+    renamed = customers.filter(F.col("c_nationkey") == 5)
+    steps = [
+        mut.put(inputs.customer_cells(spark, sf_dir)),
+        mut.put(cell_ops.wide_to_cells(rich, key, {"info:segment": F.lit("VIP")}, ts=F.lit(1))),
+        mut.delete_rows(inputs.customer_keys(spark, sf_dir).withColumn("ts", F.lit(2))),
+        mut.put(cell_ops.wide_to_cells(renamed, key, {"info:name": F.concat("c_name", F.lit("*"))}, ts=F.lit(3))),
+    ]
+    table, index = scratch_dir(spark, "indexed"), scratch_dir(spark, "index-log")
+    for number, change in enumerate(steps):
+        before = tables.read_log_files(spark, table) if number else change.limit(0)
+        index_changes(before, change, indexed, covered, ts=number).write.mode("append").parquet(index)
+        change.write.mode("append").parquet(table)
+    return read_index(tables.read_log_files(spark, index), indexed, covered)
