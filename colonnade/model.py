@@ -14,6 +14,7 @@ PUT = "put"
 DELETE_ROW = "delete_row"
 DELETE_FAMILY = "delete_family"
 DELETE_COLUMN = "delete_column"
+DELETE_NEWEST = "delete_newest"
 
 COORDINATES = ["row_key", "family", "qualifier"]
 CELL_COLUMNS = [*COORDINATES, "ts", "seq", "value"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -13,6 +14,9 @@ from colonnade.operators.filters import KeyPrefix, apply_filter, value_filters
 from colonnade.operators.mutations import resolve_latest
 from colonnade.operators.rows import join_rows
 
+#: From a log to its visible cells: ``resolve_latest``, or ``resolve_stacked`` where newest versions are deleted.
+Resolve = Callable[[DataFrame], DataFrame]
+
 
 def key_between(start: str | bytes = "", stop: str | bytes = "") -> Column:
     """``start <= row_key < stop`` in byte order; an empty bound is open."""
@@ -51,8 +55,8 @@ def entries_for(table: DataFrame, start: str | bytes = "", stop: str | bytes = "
 
 
 def scan(table: DataFrame, start: str | bytes = "", stop: str | bytes = "", columns: list[str] | None = None,
-         where=None, ordered: bool = False) -> DataFrame:
-    """Read cells of a cell table or, with deletes applied, of a mutation log.
+         where=None, ordered: bool = False, resolve: Resolve = resolve_latest) -> DataFrame:
+    """Read cells of a cell table or, with deletes applied by ``resolve``, of a mutation log.
 
     ``columns`` lists families (``'info'``) or columns (``'info:name'``); ``where`` is a filter of
     ``operators.filters``. Key bounds and the column selection are put below the resolve step; values are
@@ -62,7 +66,7 @@ def scan(table: DataFrame, start: str | bytes = "", stop: str | bytes = "", colu
     needed = columns and [*columns, *(leaf.column for leaf in value_filters(where))]
     cells = table.filter(key_between(start, stop))
     if "op" in table.columns:
-        cells = resolve_latest(cells.filter(_covers_with_markers(needed)) if needed else cells)
+        cells = resolve(cells.filter(_covers_with_markers(needed)) if needed else cells)
     if needed:
         cells = cells.filter(_covers(needed))
     if where is not None:
@@ -72,13 +76,13 @@ def scan(table: DataFrame, start: str | bytes = "", stop: str | bytes = "", colu
     return cells.orderBy(*COORDINATES) if ordered else cells
 
 
-def get_row(table: DataFrame, row_key: str | bytes) -> DataFrame:
+def get_row(table: DataFrame, row_key: str | bytes, resolve: Resolve = resolve_latest) -> DataFrame:
     """All cells of one row; no row, no cells."""
     only = table.filter(F.col("row_key") == F.lit(row_key))
-    return resolve_latest(only) if "op" in table.columns else only
+    return resolve(only) if "op" in table.columns else only
 
 
-def get_rows(table: DataFrame, keys: DataFrame) -> DataFrame:
+def get_rows(table: DataFrame, keys: DataFrame, resolve: Resolve = resolve_latest) -> DataFrame:
     """All cells of the rows whose keys are listed in ``keys.row_key``, a set of any size.
 
     The least and the largest key are looked up first (two values), as bounds that reach the files. The keys then
@@ -88,7 +92,7 @@ def get_rows(table: DataFrame, keys: DataFrame) -> DataFrame:
     wanted = keys.select("row_key").filter(F.col("row_key").isNotNull())
     low, high = wanted.agg(F.min("row_key"), F.max("row_key")).first()
     if low is None:
-        return get_row(table, "").limit(0)
+        return get_row(table, "", resolve).limit(0)
     near = table.filter((F.col("row_key") >= F.lit(low)) & (F.col("row_key") <= F.lit(high)))
     chosen = join_rows(near, wanted.distinct(), "left_semi")
-    return resolve_latest(chosen) if "op" in table.columns else chosen
+    return resolve(chosen) if "op" in table.columns else chosen

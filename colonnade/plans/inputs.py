@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from colonnade.functions.codecs import encode_bigint, encode_int, encode_text
 from colonnade.functions.keys import epoch_micros, salt_key
-from colonnade.model import CELL_SCHEMA, DELETE_COLUMN, DELETE_FAMILY, DELETE_ROW, LOG_COLUMNS, PUT
+from colonnade.model import CELL_SCHEMA, DELETE_COLUMN, DELETE_FAMILY, DELETE_NEWEST, DELETE_ROW, LOG_COLUMNS, PUT
 from colonnade.operators.cells import wide_to_cells
 from colonnade.session import scratch_dir
 from colonnade.sources.tables import bulk_load
@@ -74,13 +74,16 @@ def customer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.select(padded("c_custkey").alias("row_key"), F.lit(1).alias("ts"), F.lit(0).alias("seq"))
 
 
-def event_log(events: DataFrame) -> DataFrame:
-    """Mutations of one row per user: clicks, views and purchases put, signups and errors delete."""
+def event_log(events: DataFrame, newest_only: bool = False) -> DataFrame:
+    """Mutations of one row per user: clicks, views and purchases put, signups and errors delete.
+
+    With ``newest_only`` a signup takes back one version of its column, not all.
+    """
     kind = F.col("event_type")
     is_error = kind == "error"
     whole_row = is_error & (F.col("value") >= 40)
     op = (
-        F.when(kind == "signup", DELETE_COLUMN)
+        F.when(kind == "signup", DELETE_NEWEST if newest_only else DELETE_COLUMN)
         .when(whole_row, DELETE_ROW)
         .when(is_error, DELETE_FAMILY)
         .otherwise(PUT)

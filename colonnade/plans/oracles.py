@@ -173,6 +173,14 @@ ORACLES: dict[str, str] = {
     "delete_family": _deleted("family = 'info'"),
     "delete_column": _deleted("family = 'info' AND qualifier = 'name'"),
     "delete_columns": _deleted("family = 'info' AND qualifier IN ('name', 'segment')"),
+    "delete_newest": f"""{LOG}, versions AS (
+        SELECT *, sum(CASE WHEN op = 'put' THEN 1 ELSE -1 END)
+          OVER (PARTITION BY row_key, family, qualifier ORDER BY version DESC) AS outnumbers
+        FROM marked WHERE op IN ('put', 'delete_column'))
+      SELECT row_key, family, qualifier, ts, seq, value FROM (
+        SELECT * FROM versions WHERE op = 'put' AND outnumbers >= 1
+        QUALIFY row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY version DESC) = 1)
+      WHERE version >= greatest(coalesce(row_marker, 0), coalesce(family_marker, 0))""",
     "table_lifecycle": f"{CC} SELECT * FROM cc WHERE family = 'info'",
     "table_compaction": f"{LOG} SELECT row_key, family, qualifier, value FROM visible",
     "sql_upsert": """SELECT c_custkey, c_name, CASE WHEN c_acctbal < -500 THEN 'STOP'

@@ -344,6 +344,13 @@ def delete_columns(spark, sf_dir):
     return _after_delete(spark, sf_dir, lambda keyed: mut.delete_columns(keyed, "info", ["name", "segment"]))
 
 
+@query
+def delete_newest(spark, sf_dir):
+    """Every signup takes back its user's newest view; the view before shows again, if no other delete hides it."""
+    log = inputs.event_log(inputs.load(spark, sf_dir, "events"), newest_only=True)
+    return mut.resolve_stacked(log).select("row_key", "family", "qualifier", "ts", "seq", "value")
+
+
 @query
 def table_lifecycle(spark, sf_dir):
     """Create, create again (no effect), fill, drop and recreate empty, fill with one family."""

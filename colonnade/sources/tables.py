@@ -9,6 +9,7 @@ replaces its own folder, and files being read are never overwritten.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from colonnade.model import (
     COORDINATES,
     DELETE_COLUMN,
     DELETE_FAMILY,
+    DELETE_NEWEST,
     DELETE_ROW,
     LOG_COLUMNS,
     LOG_SCHEMA,
@@ -81,7 +83,7 @@ def read_log_files(spark: SparkSession, path: str) -> DataFrame:
 
 # ---- named tables ----------------------------------------------------------------------------------------
 
-OPERATIONS = [PUT, DELETE_ROW, DELETE_FAMILY, DELETE_COLUMN]
+OPERATIONS = [PUT, DELETE_ROW, DELETE_FAMILY, DELETE_COLUMN, DELETE_NEWEST]
 
 
 def create_table(spark: SparkSession, name: str, families: list[str], path: str | None = None) -> bool:
@@ -140,11 +142,11 @@ def table_families(spark: SparkSession, name: str) -> list[str]:
 def checked(log: DataFrame, families: list[str]) -> DataFrame:
     """The same log, failing the write at the first entry that names too little or something unknown.
 
-    Puts and column deletes need a family and a qualifier, family deletes a family, all a row key and a known
+    Puts, column deletes and newest-deletes need a family and a qualifier, family deletes a family, all a row key and a known
     operation; families must be declared.
     """
     family, qualifier, op = F.col("family"), F.col("qualifier"), F.coalesce(F.col("op"), F.lit(""))
-    needs_column = op.isin(PUT, DELETE_COLUMN)
+    needs_column = op.isin(PUT, DELETE_COLUMN, DELETE_NEWEST)
     said = lambda *parts: F.raise_error(F.concat(*parts))
     found = F.when(~op.isin(OPERATIONS), said(F.lit("unknown operation: "), op)).when(
         F.coalesce(F.col("row_key"), F.lit("")) == "", said(F.lit("a row key must not be empty"))
@@ -172,19 +174,20 @@ def append_cells(cells: DataFrame, name: str) -> None:
     append_log(put(cells), name)
 
 
-def compact_table(spark: SparkSession, name: str, partitions: int | None = None) -> str:
+def compact_table(spark: SparkSession, name: str, partitions: int | None = None,
+                  resolve: Callable[[DataFrame], DataFrame] = resolve_latest) -> str:
     """Rewrite the batches a table has now as its visible cells, sorted, in one new batch; returns its folder.
 
     The new batch is entered before the old ones are taken out. A reader in between sees cells twice, in the same
     version, and shows them once. Batches that are added meanwhile stay. What arrives later with a version older
-    than a delete that was compacted away shows again. Files of a table with a path stay for readers of the old
+    than a delete that was compacted away shows again, and a later ``delete_newest`` finds no older version. Files of a table with a path stay for readers of the old
     batches, until the caller removes them.
     """
     old = table_batches(spark, name)
     batch = f"v-{uuid.uuid4().hex}"
     folder = f"{table_location(spark, name)}/batch={batch}"
     log = spark.table(name).filter(F.col("batch").isin(old)).select(*LOG_COLUMNS)
-    bulk_load(put(resolve_latest(log)), folder, partitions)
+    bulk_load(put(resolve(log)), folder, partitions)
     publish_batch(spark, name, batch, folder)
     if old:
         specs = ", ".join(f"PARTITION (batch = '{one}')" for one in old)

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from colonnade.functions.keys import time_key_text
 from colonnade.functions.text import parse_lines
-from colonnade.model import LOG_COLUMNS, LOG_SCHEMA, PUT, split_column
+from colonnade.model import DELETE_NEWEST, LOG_COLUMNS, LOG_SCHEMA, PUT, split_column
 from colonnade.operators.cells import join_values, wide_to_cells
 from colonnade.operators.filters import KeyPrefix
 from colonnade.operators.mutations import put
@@ -160,11 +160,13 @@ def latest_stream(log: DataFrame, path: str, checkpoint: str, interval: str | No
     """Running newest entry per cell, and per row and family for their delete markers: each batch emits the changes.
 
     Takes a log, or cells, which count as puts. Late entries with an older version change nothing. Read the output
-    through ``resolve_latest``. State is one row per cell and marker ever seen, which is the table itself: for a
+    through ``resolve_latest``; a ``delete_newest`` entry fails the stream, for it needs older versions. State is one row per cell and marker ever seen, which is the table itself: for a
     table without bound, append the stream to it (``raw_append_stream``, ``upsert_stream``) and resolve when
     reading, which keeps no state.
     """
     entries = log if "op" in log.columns else log.withColumn("op", F.lit(PUT))
+    refused = F.raise_error(F.lit("delete_newest entries need all versions: append the stream"))
+    entries = entries.withColumn("op", F.when(F.col("op") == DELETE_NEWEST, refused).otherwise(F.col("op")))
     newest = F.max(F.struct("ts", "seq", "op", "value")).alias("newest")
     # A marker of a family or row is kept beside the cells and newer puts beside the markers.
     running = entries.groupBy("row_key", "family", "qualifier").agg(newest)
