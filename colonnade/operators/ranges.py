@@ -22,7 +22,7 @@ def clip_ranges(bounds: list[tuple[str, str]], start: str = "", stop: str = "")
     return clipped
 
 
-def _count_not_above(limits: list[str], key: Column) -> Column:
+def count_not_above(limits: list[str], key: Column) -> Column:
     """How many of the sorted limits are <= key: a binary search, so many ranges cost little per row."""
     table = F.array(*[F.lit(limit) for limit in limits])
     steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(limits).bit_length()))])
@@ -50,7 +50,7 @@ def key_range_stats(spark: SparkSession, cells: DataFrame, bounds: list[tuple[st
     if not ranges:
         return listed.selectExpr("range_start", "range_stop", "0L n_rows", "0L n_cells", "0L longest_row")
     key = F.col("row_key")
-    place = _count_not_above([low for low, _ in ranges], key)
+    place = count_not_above([low for low, _ in ranges], key)
     stops = F.array(*[F.lit(high) for _, high in ranges])
     per_row = scan(cells, start, stop).groupBy("row_key").agg(F.count(F.lit(1)).alias("n"))
     placed = per_row.withColumn("range_no", place).withColumn("high", F.get(stops, F.col("range_no") - 1))

@@ -181,6 +181,9 @@ ORACLES: dict[str, str] = {
         SELECT * FROM versions WHERE op = 'put' AND outnumbers >= 1
         QUALIFY row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY version DESC) = 1)
       WHERE version >= greatest(coalesce(row_marker, 0), coalesce(family_marker, 0))""",
+    "bulk_load_aligned": f"{SC} SELECT * FROM sc WHERE row_key >= '4' AND row_key < 'c'",
+    "get_rows_aligned": f"""{SC} SELECT * FROM sc WHERE row_key IN (SELECT left(md5(CAST(o_custkey AS VARCHAR)), 3) ||
+      CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderpriority = '1-URGENT')""",
     "table_lifecycle": f"{CC} SELECT * FROM cc WHERE family = 'info'",
     "table_compaction": f"{LOG} SELECT row_key, family, qualifier, value FROM visible",
     "sql_upsert": """SELECT c_custkey, c_name, CASE WHEN c_acctbal < -500 THEN 'STOP'

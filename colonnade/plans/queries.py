@@ -39,6 +39,9 @@ QUERIES: dict[str, Query] = {}
 
 GOLD = ColumnValue("acct:tier", "EQUAL", "gold", filter_if_missing=True)
 
+#: Rows of a range from which an aligned load cuts it into more files.
+ROWS_PER_FILE = 5_000_000
+
 
 def query(run: Query) -> Query:
     QUERIES[run.__name__] = run
@@ -452,6 +455,31 @@ def bulk_load_single(spark, sf_dir):
     return plain(spark.read.parquet(path))
 
 
+def _aligned(spark, sf_dir):
+    """Two loads at different times into one table's ranges; where they start is read from its stored list."""
+    bounds, path = scratch_dir(spark, "boundaries"), scratch_dir(spark, "aligned")
+    tables.store_boundaries(spark, list("123456789abcdef"), bounds)
+    cells = inputs.customer_cells(spark, sf_dir, salted=True)
+    for part in ("info", "geo acct"):
+        starts = tables.stored_boundaries(spark, bounds)
+        some = cells.filter(F.col("family").isin(part.split()))
+        tables.bulk_load_aligned(some, path, starts, most_rows=ROWS_PER_FILE, append=part != "info")
+    return path, starts
+
+
+@query
+def bulk_load_aligned(spark, sf_dir):
+    return plain(tables.read_aligned(spark, *_aligned(spark, sf_dir), start="4", stop="c"))
+
+
+@query
+def get_rows_aligned(spark, sf_dir):
+    """Scattered keys of a table in ranges: those of customers with urgent orders."""
+    urgent = inputs.load(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    wanted = urgent.select(keys.salt_key(F.col("o_custkey").cast("string")).alias("row_key"))
+    return plain(tables.read_aligned(spark, *_aligned(spark, sf_dir), keys=wanted))
+
+
 @query
 def bulk_load_multi(spark, sf_dir):
     path = scratch_dir(spark, "bulk")

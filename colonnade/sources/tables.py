@@ -13,8 +13,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from colonnade.model import (
+    CELL_SCHEMA,
     COORDINATES,
     DELETE_COLUMN,
     DELETE_FAMILY,
@@ -26,6 +28,8 @@ from colonnade.model import (
 )
 from colonnade.operators.cells import wide_to_cells
 from colonnade.operators.mutations import put, resolve_latest
+from colonnade.operators.ranges import count_not_above
+from colonnade.operators.scan import get_rows, key_between
 
 
 def in_key_order(cells: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -77,6 +81,81 @@ def bulk_load_records(records: DataFrame, row_key: Column, columns: dict[str, Co
     cells.write.mode("overwrite").parquet(path)
 
 
+# ---- loads aligned to key ranges -------------------------------------------------------------------------
+
+
+def store_boundaries(spark: SparkSession, starts: list[str], path: str) -> list[str]:
+    """Keep where the ranges of a table start: one line per range but the first, in byte order, without repeats."""
+    ordered = sorted({s for s in starts if s}, key=str.encode)
+    spark.createDataFrame([(s,) for s in ordered], "range_start string").coalesce(1).write.mode("overwrite").parquet(path)
+    return ordered
+
+
+def stored_boundaries(spark: SparkSession, path: str) -> list[str]:
+    rows = spark.read.schema("range_start string").parquet(path).collect()
+    return sorted((row[0] for row in rows), key=str.encode)
+
+
+def range_number(starts: list[str], key: Column) -> Column:
+    """0 below the first start, 1 from there on, and so forth."""
+    return count_not_above(starts, key) if starts else F.lit(0)
+
+
+def in_ranges(placed: DataFrame, ranges: int) -> DataFrame:
+    """One shuffle partition for each number in ``range``, which needs no look at the keys beforehand."""
+    return placed.repartitionById(ranges, F.col("range"))
+
+
+def bulk_load_aligned(cells: DataFrame, path: str, starts: list[str], most_rows: int | None = None,
+                      append: bool = False) -> None:
+    """Sorted load into the ranges a table has: folder ``range=N`` holds the keys of range N and no others.
+
+    The range of a cell is looked up in ``starts`` (``stored_boundaries``) and is its shuffle partition, so no
+    sample of the keys is taken, and loads at different times share all boundaries. With ``most_rows`` the rows of
+    each range are counted first; ranges with more are cut further by boundaries of their own, on all sort columns, so
+    one huge row or cell fills several sorted files of its range. These ranges are written by a second job: load into a
+    fresh folder, or append batches a reader is told of afterwards, where half a load must not be seen.
+    A null row key fails the load. An empty load leaves an empty table.
+    """
+    order = ["range", *(c for c in [*COORDINATES, "ts", "seq"] if c in cells.columns)]
+    missing = F.raise_error(F.lit("a row key must not be null"))
+    number = F.when(F.col("row_key").isNull(), missing).otherwise(range_number(starts, F.col("row_key")))
+    placed = cells.withColumn("range", number.cast("int"))
+    large = {}
+    if most_rows:
+        counted = placed.groupBy("range").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most_rows)
+        large = {row["range"]: -(-row["n"] // most_rows) for row in counted.collect()}
+    is_large = F.col("range").isin(list(large))
+    small = placed.filter(~is_large) if large else placed
+    small = in_ranges(small, len(starts) + 1).sortWithinPartitions(*order)
+    small.write.mode("append" if append else "overwrite").partitionBy("range").parquet(path)
+    if large:
+        cut = placed.filter(is_large).repartitionByRange(sum(large.values()), *order).sortWithinPartitions(*order)
+        cut.write.mode("append").partitionBy("range").parquet(path)
+
+
+def read_aligned(spark: SparkSession, path: str, starts: list[str], start: str = "", stop: str = "",
+                 keys: DataFrame | None = None, schema: T.StructType = CELL_SCHEMA) -> DataFrame:
+    """Cells of an aligned load with ``start <= row_key < stop``, or of the rows whose keys are in ``keys.row_key``.
+
+    Only folders of ranges that can hold them are listed and read, scattered keys included: of a set of keys of any
+    size the distinct range numbers are looked up first, at most as many as there are ranges.
+    """
+    place = lambda bound: sum(s.encode() <= bound.encode() for s in starts)
+    table = spark.read.schema(T.StructType([*schema.fields, T.StructField("range", T.IntegerType())])).parquet(path)
+    if start:
+        table = table.filter(F.col("range") >= place(start))
+    if stop:
+        # A range that begins at the stop itself is outside.
+        table = table.filter(F.col("range") <= sum(s.encode() < stop.encode() for s in starts))
+    table = table.filter(key_between(start, stop))
+    if keys is not None:
+        known = keys.filter(F.col("row_key").isNotNull())
+        numbers = known.select(range_number(starts, F.col("row_key")).alias("n")).distinct().collect()
+        table = get_rows(table.filter(F.col("range").isin([row["n"] for row in numbers])), known)
+    return table.drop("range")
+
+
 def read_log_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_COLUMNS)
 
