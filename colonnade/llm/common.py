@@ -69,6 +69,22 @@ def chosen(rows: DataFrame, most: int, seed: int, key: str = "doc_id") -> tuple[
     return known.filter(place < rate).select(key).distinct(), rate
 
 
+#: Shuffle groups per key of ``join_hot``.
+PARTS = 4
+
+
+def join_hot(rows: DataFrame, per_key: DataFrame, key: str, spread: str) -> DataFrame:
+    """Inner join of one line per ``key`` to many rows of it, also when one key holds a large share of all.
+
+    Rows go to several shuffle groups by the column ``spread``, a key's line to each of them. That cuts a hot key, and
+    gives both sides a shuffle of their own, without which adaptive execution cannot split what is still too large: a
+    side that was just aggregated by the key would be joined in place.
+    """
+    part = F.pmod(F.xxhash64(spread), F.lit(PARTS)).cast("int")
+    copies = per_key.withColumn("_part", F.explode(F.array(*[F.lit(i) for i in range(PARTS)])))
+    return rows.withColumn("_part", part).join(copies, [key, "_part"]).drop("_part")
+
+
 def task_count(spark: SparkSession) -> int:
     """How many partitions the session shuffles to; it is sized with the data by whoever runs the job."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colonnade.llm.common import arrow_job, stored
+from colonnade.llm.common import arrow_job, join_hot, stored
 
 LINKS = "a bigint, b bigint"
 
@@ -47,7 +47,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 
     Each round puts a star in place of what a partition's links connect, then hangs larger neighbours on the
     smallest (large star) and smaller ones likewise (small star). Minima are partial aggregates, hot nodes are
-    joined by joins whose skewed partitions are split, each round is written. Ends when a round changes nothing,
+    joined in several groups that can be split further (``join_hot``), each round is written. Ends when a round changes nothing,
     after a number of rounds of the order of the logarithm of the longest path. Nulls and self-links don't link.
     """
     now = links.select(F.col("a").cast("bigint"), F.col("b").cast("bigint")).filter("a <> b")
@@ -55,10 +55,10 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     while True:
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = join_hot(both, least, "a", "b").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = join_hot(large, down, "a", "b").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = stored(spark, small.union(down.select("a", F.col("m").alias("b"))).distinct(), "links")
         mark = now.agg(F.count(F.lit(1)), F.sum("a"), F.sum("b"), F.expr("bit_xor(xxhash64(a, b))")).first()
         if mark == before:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from colonnade.llm.arrays import GOLDEN, lists, mix, seeded, window_hashes
-from colonnade.llm.common import arrow_job, documents, lower_ascii, stored, task_count, words
+from colonnade.llm.common import arrow_job, documents, join_hot, lower_ascii, stored, task_count, words
 from colonnade.llm.components import components
 
 SHINGLE = 5
@@ -251,7 +251,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     labels = _labels(spark, texts, classes)
     nodes = filled.groupBy("set_key").agg(F.min("id").alias("node"))
     group = (
-        filled.select("id", "set_key").join(nodes, "set_key")
+        join_hot(filled.select("id", "set_key"), nodes, "set_key", "id")
         .join(labels, "node", "left")
         .groupBy("id")
         .agg(F.min(F.coalesce("component", "node")).alias("component"))
