@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colonnade.llm.arrays import lists, mix, owners, seeded, window_hashes, window_starts
-from colonnade.llm.common import arrow_job, bind, documents, stored, task_count, words
+from colonnade.llm.common import arrow_job, bind, documents, join_hot, stored, task_count, words
 
 WINDOW = 50
 BLOCK = WINDOW // 2  # two blocks fit in any window, so one of them is whole wherever the window begins
@@ -321,7 +321,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, digest: bool = False) -
     whole = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
     digests = known.select("doc_id", whole.alias("digest"), version.alias("version"))
     least = digests.groupBy("digest").agg(F.min("doc_id").alias("least"))
-    copies = digests.join(least, "digest").filter("least < doc_id").select("doc_id", "version")
+    copies = join_hot(digests, least, "digest", "doc_id").filter("least < doc_id").select("doc_id", "version")
     none = F.lit(None)
     marks = (
         hits.withColumn("version", none.cast("bigint"))
