@@ -102,7 +102,7 @@ def resolve_latest(log: DataFrame) -> DataFrame:
 def _newest_entries(log: DataFrame, undone: Column) -> DataFrame:
     """The newest entry of each cell, where that is a put. ``undone`` replaces the value of cells with newest-deletes."""
     # "put" sorts after "delete_column", which settles equal versions in favour of the put.
-    newest = F.max(F.when(F.col("op") != DELETE_NEWEST, F.struct("ts", "seq", "op", "value"))).alias("newest")
+    newest = F.expr(f"max(struct(ts, seq, op, value)) FILTER (WHERE op <> '{DELETE_NEWEST}')").alias("newest")
     entries = group_by_key(log.filter(F.col("op").isin(PUT, DELETE_COLUMN, DELETE_NEWEST)), *COORDINATES)
     seen = entries.agg(newest, F.bool_or(F.col("op") == DELETE_NEWEST).alias("undone"))
     shown = F.when(F.col("undone"), undone).otherwise(F.col("newest.op") == PUT)
