@@ -234,6 +234,9 @@ ORACLES: dict[str, str] = {
       FROM events""",
     "stream_scan": f"""{SC} SELECT row_key, {JOINED.format(sep='_')} AS value FROM sc
       WHERE row_key >= '4' AND row_key < 'c' AND family IN ('acct', 'info') GROUP BY row_key""",
+    "stream_scan_ranges": f"""{SC} SELECT row_key, {JOINED.format(sep='_')} AS value FROM sc
+      WHERE row_key >= '4' AND row_key < 'c' AND family IN ('acct', 'info') GROUP BY row_key""",
+    "stream_ledger": f"{LOG} SELECT row_key, family, qualifier, seq, op, value FROM el",
     "covering_index_lookup": """SELECT CAST(event_id AS VARCHAR) AS ranking, props AS url FROM events
       WHERE event_type = 'purchase'""",
     "index_join_back": f"""{CC} SELECT * FROM cc WHERE NOT {NO_NAME} AND row_key IN

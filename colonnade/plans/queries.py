@@ -32,7 +32,7 @@ from colonnade.plans import inputs
 from colonnade.session import scratch_dir
 from colonnade.sources import tables
 from colonnade.sources.text import LOG_FIELDS, bulk_load_log, read_delimited, read_log
-from colonnade.streaming import sinks
+from colonnade.streaming import ledger, range_stream, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -586,6 +586,32 @@ def stream_scan(spark, sf_dir):
     return sinks.read_batches(spark, path, sinks.JOINED_SCHEMA)
 
 
+@query
+def stream_scan_ranges(spark, sf_dir):
+    """The same rows range by range: each micro-batch is two whole ranges of an aligned table."""
+    table, listed, path = (scratch_dir(spark, label) for label in ("aligned", "ranges", "stream"))
+    starts = tables.store_boundaries(spark, list("123456789abcdef"), scratch_dir(spark, "boundaries"))
+    tables.bulk_load_aligned(mut.put(inputs.customer_cells(spark, sf_dir, salted=True)), table, starts,
+                             most_rows=ROWS_PER_FILE)
+    range_stream.list_ranges(spark, starts, listed, "4", "c")
+    range_stream.scan_ranges_stream(spark, table, listed, path, scratch_dir(spark, "offsets"), "_", ["acct", "info"],
+                                    ranges_per_batch=2).awaitTermination()
+    return sinks.read_batches(spark, path, sinks.JOINED_SCHEMA)
+
+
+@query
+def stream_ledger(spark, sf_dir):
+    """Every entry once, though a second run, with a checkpoint of its own, is sent the first one's files again."""
+    feed, path = scratch_dir(spark, "feed"), scratch_dir(spark, "ledger")
+    log = inputs.event_log(inputs.load(spark, sf_dir, "events"))
+    for rest in (0, 1):
+        log.filter(F.col("seq") % 2 == rest).write.mode("append").parquet(feed)
+        files = spark.readStream.schema(LOG_SCHEMA).parquet(feed)
+        placed = files.select("*", F.col("_metadata.file_path").alias("part"), F.lit(0).cast("bigint").alias("position"))
+        ledger.ledger_stream(placed, path, scratch_dir(spark, "offsets"), "events", interval=None).awaitTermination()
+    return ledger.read_ledger(spark, path).select("row_key", "family", "qualifier", "seq", "op", "value")
+
+
 # ---- secondary index -------------------------------------------------------------------------------------
 
 

@@ -134,6 +134,15 @@ def bulk_load_aligned(cells: DataFrame, path: str, starts: list[str], most_rows:
         cut.write.mode("append").partitionBy("range").parquet(path)
 
 
+def _with_range(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("range", T.IntegerType())])).parquet(path)
+
+
+def read_range_folders(spark: SparkSession, path: str, numbers: list[int], schema: T.StructType = LOG_SCHEMA) -> DataFrame:
+    """The cells, or the log, of the ranges with these numbers; no other folder is read."""
+    return _with_range(spark, path, schema).filter(F.col("range").isin(list(numbers))).drop("range")
+
+
 def read_aligned(spark: SparkSession, path: str, starts: list[str], start: str = "", stop: str = "",
                  keys: DataFrame | None = None, schema: T.StructType = CELL_SCHEMA) -> DataFrame:
     """Cells of an aligned load with ``start <= row_key < stop``, or of the rows whose keys are in ``keys.row_key``.
@@ -142,7 +151,7 @@ def read_aligned(spark: SparkSession, path: str, starts: list[str], start: str =
     size the distinct range numbers are looked up first, at most as many as there are ranges.
     """
     place = lambda bound: sum(s.encode() <= bound.encode() for s in starts)
-    table = spark.read.schema(T.StructType([*schema.fields, T.StructField("range", T.IntegerType())])).parquet(path)
+    table = _with_range(spark, path, schema)
     if start:
         table = table.filter(F.col("range") >= place(start))
     if stop:
