@@ -163,3 +163,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_tokens: int = BLOC
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def _windows(tokens: str) -> str:
+    """SQL for all windows of ``SPAN`` tokens of a table of token lists, and the tokens each mask shows of them."""
+    shown = ", ".join(
+        f"'{number}:' || " + " || ' ' || ".join(f"t[{place + 1}]" for place in mask) for number, mask in enumerate(MASKS)
+    )
+    return f"""SELECT r, i, t, unnest([{shown}]) AS seed FROM (
+      SELECT r, i, ts[i : i + {SPAN - 1}] AS t
+      FROM (SELECT r, ts, unnest(range(1, len(ts) - {SPAN - 2})) AS i FROM {tokens}))"""
+
+
+ORACLE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS ts
+  FROM documents
+), q AS (
+  SELECT row_number() OVER () AS r, item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS ts
+  FROM benchmark
+), dw AS ({_windows("d")}), qw AS ({_windows("q")}),
+met AS (
+  SELECT DISTINCT dw.r AS r, qw.r AS item, dw.i AS i, {SPAN} AS span,
+         len(list_filter(range(1, {SPAN + 1}), lambda k: dw.t[k] = qw.t[k])) AS n
+  FROM dw JOIN qw USING (seed)
+), whole AS (
+  SELECT r, item, i, n AS span, n FROM (
+    SELECT d.r AS r, q.r AS item, len(q.ts) AS n, q.ts AS item_ts, d.ts AS ts,
+           unnest(range(1, len(d.ts) - len(q.ts) + 2)) AS i
+    FROM d JOIN q ON len(q.ts) BETWEEN {MIN_TOKENS} AND {SPAN - 1} AND list_has_all(d.ts, q.ts))
+  WHERE ts[i : i + n - 1] = item_ts
+), found AS (
+  SELECT * FROM met WHERE n >= {SPAN - SUBSTITUTIONS} UNION ALL SELECT * FROM whole
+)
+SELECT doc_id, item_id, min(i) - 1 AS start, max(i + span) - 1 AS "end", count(DISTINCT i) AS n_windows, max(n) AS n_equal
+FROM found JOIN d USING (r) JOIN q ON q.r = item GROUP BY found.r, item, doc_id, item_id
+"""

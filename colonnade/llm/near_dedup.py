@@ -326,3 +326,36 @@ def _unsettled(spark: SparkSession, meets: DataFrame, labels: DataFrame, sets: D
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, documents(spark, sf_dir))
+
+
+ORACLE = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT r, doc_id, unnest(CASE WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' ')) END) AS shingle
+  FROM d WHERE len(ws) > 0
+), sizes AS (
+  SELECT r, doc_id, count(*) AS n FROM s GROUP BY r, doc_id
+), shared AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS n FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.r, b.r
+), pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM shared JOIN sizes x ON shared.a = x.r JOIN sizes y ON shared.b = y.r
+  WHERE 100 * shared.n >= {PERCENT} * (x.n + y.n - shared.n)
+), links AS (
+  SELECT a, b FROM pairs UNION SELECT b, a FROM pairs
+), reached AS (
+  SELECT DISTINCT a AS doc_id, a AS other FROM links
+  UNION
+  SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.other = links.a
+), groups AS (
+  SELECT doc_id, min(other) AS component FROM reached GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id,
+       coalesce(d.doc_id = coalesce(component, d.doc_id), true) AS kept
+FROM d LEFT JOIN sizes USING (r) LEFT JOIN groups ON groups.doc_id = d.doc_id
+"""

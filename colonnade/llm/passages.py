@@ -435,3 +435,25 @@ def uncovered(found: Column, starts: Column) -> Column:
 def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(spark, documents(spark, sf_dir), digest=True)
     return done.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
+ORACLE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents
+), w AS (
+  SELECT r, doc_id, i, array_to_string(ws[i : i + {WINDOW - 1}], ' ') AS passage
+  FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM d)
+), held AS (
+  SELECT r, i, coalesce(min(doc_id) OVER (PARTITION BY passage) < doc_id, false) AS repeated FROM w
+), p AS (
+  SELECT r, doc_id, i, ws[i] AS word FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)
+), marked AS (
+  SELECT p.r, p.i, word, bool_or(coalesce(repeated, false)) OVER (
+    PARTITION BY p.r ORDER BY p.i ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) AS lost
+  FROM p LEFT JOIN held ON p.r = held.r AND p.i = held.i
+)
+SELECT doc_id, count(i) AS n_words, count(i) FILTER (WHERE lost) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM d LEFT JOIN marked USING (r) GROUP BY r, doc_id
+"""

@@ -35,6 +35,9 @@ QUERIES = {
 }
 ORACLES = {
     "op2_line_dedup": line_dedup.ORACLE,
+    "op4_passages": passages.ORACLE,
+    "op5_near_dedup": near_dedup.ORACLE,
+    "op8_decontamination": decontamination.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
     "op13_prefix_trie": trie.ORACLE,
 }

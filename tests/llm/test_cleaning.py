@@ -39,7 +39,23 @@ def test_query_matches_sql(spark, tmp_path, name):
     assert same_as_sql(spark, SF_DIR, name)
     # Rows that share an id, or have none, are one document each in SQL too: with unique ids the awkward rows compare.
     rows = [(i, *row[1:]) for i, row in enumerate(awkward())]
-    assert same_as_sql(spark, write_tables(spark, tmp_path / "t", rows), name)
+    others = {"benchmark": (items(rows), "item_id long, text string"),
+              "conversations": ([(i % 7, i, "user", row[1]) for i, row in enumerate(rows)],
+                                "conv_id long, turn long, role string, text string")}
+    folder = tmp_path / "t"
+    write_tables(spark, folder, rows, **others)
+    assert same_as_sql(spark, str(folder), name)
+
+
+def items(rows):
+    """Benchmark items that documents hold whole, with words changed, deep in a long text, or not quite."""
+    longest = max((row[1] for row in rows if row[1]), key=len).split()
+    base = rows[0][1].split()
+    changed = [w if i % 13 not in (4, 9) else "other" for i, w in enumerate(base[20:60])]
+    broken = [w if i % 4 else "other" for i, w in enumerate(base[60:100])]
+    found = [base[5:40], changed, broken, longest[-30:], longest[29_000:29_012], longest[29_000:29_007], base[7:15],
+             [w.upper() for w in longest[15_000:15_040]], ["same"] * 14, ["same"] * 9, []]
+    return [(i, " ".join(x)) for i, x in enumerate(found)] + [(20, " ".join(longest[-30:])), (21, None)]
 
 
 def repeats(found):
