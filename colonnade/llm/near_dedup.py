@@ -8,7 +8,7 @@ lowers the variance, and an element can stop at a step that no place can gain fr
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -177,41 +177,47 @@ def _meets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 CANDIDATES = "a bigint, b bigint"
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by bucket, centers first: pairs of a center and another document that may be linked.
+def candidate_finder(least_like: float) -> Callable:
+    """The Arrow task that gives, from rows sorted by bucket, centers first, pairs that may be linked.
 
-    A pair that meets in several bands is given out in the first of them.
+    A pair that meets in several bands is given out in the first of them. With ``least_like`` 0 signatures and bands
+    are not looked at: every pair of a center and another document of its bucket is given out.
     """
-    places = ROWS * BANDS
-    current, centers, ready = None, [], None
-    for batch in batches:
-        pairs = []
-        columns = [batch.column(i).to_pylist() for i in range(7)]
-        for i, (bucket, chunk, kind, node, component, band, main) in enumerate(zip(*columns, strict=True)):
-            if (bucket, chunk) != current:
-                current, centers, ready = (bucket, chunk), [], None
-            data = np.frombuffer(batch.column(7)[i].as_buffer(), np.uint8)
-            size = batch.column(8)[i].as_py()
-            small, keys = data[:places], data[places:].view("<u4")
-            if kind == 0:
-                centers.append((node, component, size, small, keys))
-                continue
-            if ready is None:
-                ready = [np.array(c) for c in zip(*centers, strict=True)] if centers else []
-            if not ready:
-                continue
-            nodes, parts, sizes, all_small, all_keys = ready
-            fits = (parts != component) & (100 * np.minimum(sizes, size) >= PERCENT * np.maximum(sizes, size))
-            if component != main:  # it is a center too, so the pair comes up twice
-                fits &= nodes < node
-            at = np.flatnonzero(fits)
-            like = ((all_small[at] == small).mean(axis=1) - 1 / 256) * (256 / 255)
-            at = at[like >= LEAST_LIKE]
-            if len(at):
-                at = at[np.argmax(all_keys[at] == keys, axis=1) == band]
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = ROWS * BANDS
+        current, centers, ready = None, [], None
+        for batch in batches:
+            pairs = []
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            for i, (bucket, chunk, kind, node, component, band, main) in enumerate(zip(*columns, strict=True)):
+                if (bucket, chunk) != current:
+                    current, centers, ready = (bucket, chunk), [], None
+                data = np.frombuffer(batch.column(7)[i].as_buffer(), np.uint8)
+                size = batch.column(8)[i].as_py()
+                small, keys = data[:places], data[places:].view("<u4")
+                if kind == 0:
+                    centers.append((node, component, size, small, keys))
+                    continue
+                if ready is None:
+                    ready = [np.array(c) for c in zip(*centers, strict=True)] if centers else []
+                if not ready:
+                    continue
+                nodes, parts, sizes, all_small, all_keys = ready
+                fits = (parts != component) & (100 * np.minimum(sizes, size) >= PERCENT * np.maximum(sizes, size))
+                if component != main:  # it is a center too, so the pair comes up twice
+                    fits &= nodes < node
+                at = np.flatnonzero(fits)
+                if least_like > 0:
+                    like = ((all_small[at] == small).mean(axis=1) - 1 / 256) * (256 / 255)
+                    at = at[like >= least_like]
+                    if len(at):
+                        at = at[np.argmax(all_keys[at] == keys, axis=1) == band]
                 pairs += [(min(n, node), max(n, node)) for n in nodes[at].tolist()]
-        first, second = zip(*pairs, strict=True) if pairs else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(first, pa.int64()), pa.array(second, pa.int64())], names=["a", "b"])
+            first, second = zip(*pairs, strict=True) if pairs else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(first, pa.int64()), pa.array(second, pa.int64())], names=["a", "b"])
+
+    return candidates
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,14 +237,15 @@ def word_hashes(text):
     return F.transform(words(lower_ascii(text)), lambda word: F.xxhash64(word))
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, least_like: float = LEAST_LIKE) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (``doc_id``, ``text``).
 
     Documents with equal sets are one class, represented by its smallest id; only representatives are banded.
     In a bucket the smallest document is compared with all others. In buckets that then still hold several
     components every document outside the largest of them is compared with all others: by signatures, while the
     bucket streams through a task, and what is similar enough by whole sets (of 64-bit hashes). So no bucket is cut
-    short, and no bucket puts out all its pairs.
+    short, and no bucket puts out all its pairs. With ``least_like`` 0 nothing is left to the signatures in such buckets:
+    every such pair that shares a bucket is verified, which loses no link there and costs as many set comparisons.
 
     Documents without words (null, empty, blank) link with nothing. Rows with a null doc_id link with nothing and
     are kept. Rows that share a doc_id are one document. Other columns are ignored, an empty table gives no rows.
@@ -248,7 +255,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     sketch = stored(spark, arrow_job(hashed, _sketch, SKETCH), "sketches")
     filled = sketch.filter("n_shingles > 0 AND id IS NOT NULL")
     classes = filled.groupBy("set_key").agg(F.min("id").alias("node"), F.first("bands").alias("bands"))
-    labels = _labels(spark, texts, classes)
+    labels = _labels(spark, texts, classes, least_like)
     nodes = filled.groupBy("set_key").agg(F.min("id").alias("node"))
     group = (
         join_hot(filled.select("id", "set_key"), nodes, "set_key", "id")
@@ -265,7 +272,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
 
 
-def _labels(spark: SparkSession, texts: DataFrame, classes: DataFrame) -> DataFrame:
+def _labels(spark: SparkSession, texts: DataFrame, classes: DataFrame, least_like: float) -> DataFrame:
     """``node, component`` of the representatives that are linked."""
     banded = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
     # Ranges of bucket and node cut a hot bucket into several partitions.
@@ -289,11 +296,12 @@ def _labels(spark: SparkSession, texts: DataFrame, classes: DataFrame) -> DataFr
 
     pairs = meets.filter("lo <> node").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
     links = linked(pairs)
-    rest = _unsettled(spark, meets, components(spark, links), sets)
+    rest = _unsettled(spark, meets, components(spark, links), sets, least_like)
     return components(spark, links.union(linked(rest.join(pairs, ["a", "b"], "left_anti"))))
 
 
-def _unsettled(spark: SparkSession, meets: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def _unsettled(spark: SparkSession, meets: DataFrame, labels: DataFrame, sets: DataFrame,
+               least_like: float) -> DataFrame:
     """Pairs ``a, b`` of documents of one bucket and of different components whose signatures are similar.
 
     Two documents of different components are not both in the bucket's largest one, so it is enough to compare
@@ -321,7 +329,7 @@ def _unsettled(spark: SparkSession, meets: DataFrame, labels: DataFrame, sets: D
     dealt = both.join(known, "node").select(*columns, "sketch", "n")
     dealt = dealt.repartition(task_count(spark), "bucket", "chunk")
     ordered = dealt.sortWithinPartitions("bucket", "chunk", "kind", "node")
-    return arrow_job(ordered, _candidates, CANDIDATES).distinct()
+    return arrow_job(ordered, candidate_finder(least_like), CANDIDATES).distinct()
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

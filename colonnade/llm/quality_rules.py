@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from colonnade.llm.common import bind, documents, lines, strip, words
 
+#: Languages that STOP_WORDS has words of; texts known to be of another are not judged by them.
+LISTED = ("en", "de", "fr", "es")
 #: Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
     "the of and to in is it that for on was with as be at by this are from or an not "
@@ -27,6 +29,7 @@ class Rule:
     per: str
     least: int | None = None
     most: int | None = None
+    listed_only: bool = False  # left out for texts of a language without stop words here
 
     def broken(self, measures: Column) -> Column:
         share, whole = measures[self.measure] * 100, measures[self.per]
@@ -43,7 +46,7 @@ RULES = (
     Rule("word_length", "word_chars", "n_words", least=200, most=1200),
     Rule("symbols", "n_symbols", "n_words", most=10),
     Rule("exclamations", "n_exclamations", "n_words", most=30),
-    Rule("stop_words", "n_stop_words", "n_words", least=4),
+    Rule("stop_words", "n_stop_words", "n_words", least=4, listed_only=True),
     Rule("duplicate_lines", "n_dup_lines", "n_lines", most=50),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", most=30),
 )
@@ -113,21 +116,26 @@ def measure(text: Column) -> Column:
     return bind(words(text), counted)
 
 
-def apply_rules(docs: DataFrame, text: str = "text", into: str = "quality_rules") -> DataFrame:
+def apply_rules(docs: DataFrame, text: str = "text", into: str = "quality_rules", lang: str | None = None) -> DataFrame:
     """The documents with a struct column ``into``: the measures, ``base_failed``, ``broken`` (names) and ``kept``.
 
     One projection, no shuffle. Null and empty texts count as no words and fail the base rules; very long texts
     take time in proportion to n log n; repeated rows are judged alike; a column that is called ``into`` already
-    is replaced; an empty table stays empty.
+    is replaced; an empty table stays empty. ``lang`` names a column of language codes: where it has a language that
+    there are no stop words of, that rule is left out; null, and no such column, leave it in.
     """
-    verdict = bind(measure(F.col(text)), _verdict)
+    listed = F.coalesce(F.col(lang).cast("string").isin(*LISTED), F.lit(True)) if lang else F.lit(True)
+    verdict = bind(measure(F.col(text)), lambda measures: _verdict(measures, listed))
     return docs.withColumn(into, verdict)
 
 
-def _verdict(measures: Column) -> Column:
+def _verdict(measures: Column, listed: Column) -> Column:
+    def fails(rule: Rule) -> Column:
+        return rule.broken(measures) & listed if rule.listed_only else rule.broken(measures)
+
     base = BASE[0].broken(measures) | BASE[1].broken(measures)
     broken = F.filter(
-        F.array(*(F.when(rule.broken(measures), F.lit(rule.name)) for rule in (*BASE, *RULES))),
+        F.array(*(F.when(fails(rule), F.lit(rule.name)) for rule in (*BASE, *RULES))),
         lambda name: name.isNotNull(),
     )
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_lines")
@@ -140,16 +148,17 @@ def _verdict(measures: Column) -> Column:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = apply_rules(documents(spark, sf_dir).select("doc_id", "text"))
+    judged = apply_rules(documents(spark, sf_dir).select("doc_id", "text", "lang"), lang="lang")
     fields = (*MEASURES, "base_failed", "kept")
     return judged.select("doc_id", *(F.col(f"quality_rules.{name}").alias(name) for name in fields))
 
 
 ORACLE = f"""
 WITH d AS (
-  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+         coalesce(lang IN {LISTED}, true) AS listed FROM documents
 ), w AS (
-  SELECT r, doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws,
+  SELECT r, doc_id, text, listed, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws,
          list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls,
          list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '(\\.\\.\\.|…) *$')) AS es
   FROM d
@@ -161,7 +170,7 @@ WITH d AS (
 ), cov AS (
   SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM rep) GROUP BY r
 ), m AS (
-  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+  SELECT doc_id, listed, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
          CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
          coalesce(n_repeat_words, 0) AS n_repeat_words,
@@ -175,7 +184,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words
             OR 100 * word_chars < 200 * n_words OR 100 * word_chars > 1200 * n_words
             OR 100 * n_symbols > 10 * n_words OR 100 * n_exclamations > 30 * n_words
-            OR 100 * n_stop_words < 4 * n_words
+            OR listed AND 100 * n_stop_words < 4 * n_words
             OR 100 * n_dup_lines > 50 * n_lines OR 100 * n_ellipsis_lines > 30 * n_lines) AS kept
 FROM m
 """

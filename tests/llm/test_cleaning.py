@@ -87,6 +87,20 @@ def test_rules_name_what_is_broken(spark):
     assert broken[0] == set() and "symbols" in broken[1] and {"exclamations", "stop_words"} <= broken[2]
 
 
+def test_stop_words_are_asked_of_listed_languages_alone(spark, tmp_path):
+    rng = __import__("random").Random(3)
+    text = " ".join(f"sana{rng.randrange(900)}" for _ in range(120))
+    langs = ["fi", "en", None, "de", "", "nl"]
+    rows = [(i, text, lang, "a", 1) for i, lang in enumerate(langs)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for column, want in (("lang", [True, False, False, False, True, True]), (None, [False] * 6)):
+        judged = apply_rules(docs, lang=column).orderBy("doc_id").collect()
+        assert [r.quality_rules.kept for r in judged] == want
+        assert all(set(r.quality_rules.broken) <= {"stop_words"} and not r.quality_rules.base_failed for r in judged)
+    folder = write_tables(spark, tmp_path / "t", rows)
+    assert same_as_sql(spark, folder, "op9_quality_rules")
+
+
 def test_rules_keep_rows_and_other_columns(spark):
     docs = frame(spark, awkward()).withColumnsRenamed({"source": "kept", "lang": "n_words"})
     judged = apply_rules(docs)

@@ -139,6 +139,28 @@ def test_centers_in_several_chunks_find_the_same(spark, monkeypatch):
     assert sorted(map(tuple, near_dedup.near_duplicates(spark, docs).collect()), key=repr) == grouped(rows)
 
 
+def test_pairs_are_verified_without_a_look_at_signatures(spark):
+    """With ``least_like`` 0 signatures that agree nowhere lose no link, where the default would drop the pairs."""
+    rows = list(enumerate(groups_in_one_bucket()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dedup.near_duplicates(spark, docs.repartition(3), least_like=0)
+    assert sorted(map(tuple, got.collect()), key=repr) == grouped(rows)
+    places = near_dedup.ROWS * near_dedup.BANDS
+    sketch = lambda k: np.full(places, k, np.uint8).tobytes()
+    names = "bucket chunk kind node component band main sketch n".split()
+    dealt = [(1, 0, 0, 5, 5, 0, 1, sketch(1), 9), (1, 0, 1, 1, 1, 0, 1, sketch(2), 9), (1, 0, 1, 2, 1, 0, 1, sketch(3), 9)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in dealt])
+    found = lambda least: [tuple(r.values()) for b in near_dedup.candidate_finder(least)(iter([batch])) for r in b.to_pylist()]
+    assert found(0) == [(1, 5), (2, 5)] and found(near_dedup.LEAST_LIKE) == []
+
+
+def groups_in_one_bucket():
+    """A passage that all share and tails of a few kinds: buckets that hold several groups."""
+    rng = random.Random(5)
+    shared, tails = sentence(rng, 60), [sentence(rng, 30 + 10 * k) for k in range(4)]
+    return [f"{shared} {tails[i % 4]} {sentence(rng, 2)}" for i in range(40)]
+
+
 def test_buckets_stream_over_batches():
     import pyarrow as pa
 
