@@ -30,10 +30,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go.
 
     Null and empty texts have no words and go; very long ones are judged whole; repeated rows alike; columns of any name
-    go through; an empty table stays empty.
+    go through; an empty table stays empty. Texts of a language without stop words (``lang``) are judged by the other rules.
     """
     name = fresh(docs, "quality")
-    return apply_rules(docs, into=name).filter(F.col(name)["kept"]).select(*docs.columns)
+    return apply_rules(docs, into=name, lang="lang" if "lang" in docs.columns else None).filter(F.col(name)["kept"]).select(*docs.columns)
 
 
 def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
