@@ -188,6 +188,8 @@ ORACLES: dict[str, str] = {
     "table_compaction": f"{LOG} SELECT row_key, family, qualifier, value FROM visible",
     "sql_upsert": """SELECT c_custkey, c_name, CASE WHEN c_acctbal < -500 THEN 'STOP'
       WHEN c_acctbal < 0 THEN 'DEBT' ELSE c_mktsegment END AS c_mktsegment FROM customer""",
+    "sql_upsert_files": """SELECT c_custkey, c_name, CASE WHEN c_acctbal < -500 THEN 'STOP'
+      WHEN c_acctbal < 0 THEN 'DEBT' ELSE c_mktsegment END AS c_mktsegment FROM customer""",
     "word_count": WORDS,
     "word_count_cells": f"""SELECT word AS row_key, 'content' AS family, 'info' AS qualifier,
       CAST(n AS VARCHAR) AS value FROM ({WORDS})""",

@@ -30,7 +30,7 @@ from colonnade.operators.filters import (
 from colonnade.operators.index import build_index, index_changes, lookup_covered, lookup_rows, read_index
 from colonnade.plans import inputs
 from colonnade.session import scratch_dir
-from colonnade.sources import tables
+from colonnade.sources import file_upserts, tables
 from colonnade.sources.text import LOG_FIELDS, bulk_load_log, read_delimited, read_log
 from colonnade.streaming import ledger, range_stream, sinks
 
@@ -402,6 +402,22 @@ def sql_upsert(spark, sf_dir):
     return result
 
 
+@query
+def sql_upsert_files(spark, sf_dir):
+    """The same two upserts on a stored table: files without a changed key are neither read nor written again."""
+    path = scratch_dir(spark, "keyed")
+    customer = inputs.load(spark, sf_dir, "customer")
+    number = [F.lit(0).cast("bigint").alias("seq")]
+    base = customer.select("c_custkey", "c_name", "c_mktsegment", F.lit(0).cast("bigint").alias("ts"), *number)
+    file_upserts.create_keyed_table(base, path, "c_custkey", ROWS_PER_FILE)
+    for ts, limit, segment in ((1, 0, "DEBT"), (2, -500, "STOP")):
+        changes = customer.filter(F.col("c_acctbal") < limit).select(
+            "c_custkey", F.lit(segment).alias("c_mktsegment"), F.lit(ts).cast("bigint").alias("ts"), *number
+        )
+        file_upserts.upsert_files(changes, path, "c_custkey", base.schema, ROWS_PER_FILE)
+    return file_upserts.read_keyed_table(spark, path, base.schema).select("c_custkey", "c_name", "c_mktsegment")
+
+
 # ---- aggregation -----------------------------------------------------------------------------------------
 
 
