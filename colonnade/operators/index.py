@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from colonnade.model import DELETE_ROW, LOG_COLUMNS, PUT, split_column
 from colonnade.operators.cells import read_wide
+from colonnade.operators.rows import deal_versions
 from colonnade.operators.scan import get_rows, scan
 
 #: Family of a maintained index, the column that names the indexed row, and what parts indexed values in entry keys.
@@ -59,19 +60,23 @@ def index_changes(before: DataFrame, changes: DataFrame, indexed: list[str], cov
     in ``changes`` are read. An entry that is no longer true gets a row delete, a new one puts: a row that moves to
     another value does both. Rows without one of the indexed values have no entry. Entries that stay are not written.
     Append the result to the index's log, in any order with other steps; starting from an empty log with
-    ``before.limit(0)`` and the whole table as changes builds it.
+    ``before.limit(0)`` and the whole table as changes builds it. Both logs are dealt anew before they are resolved, so
+    that no task sorts a whole table, however few files hold it.
     """
     names = [*indexed, *covered]
     fields = {name: f"f{i}" for i, name in enumerate(names)}
     columns = dict.fromkeys(names, "string")
     keys = changes.select("row_key").distinct()
+    near = deal_versions(get_rows(before, keys, resolve=lambda chosen: chosen))
+    # Every change is of a changed row: nothing to look up.
+    added = deal_versions(changes.filter(F.col("row_key").isNotNull()))
 
     def entries(log: DataFrame, alias: str) -> DataFrame:
-        rows = read_wide(get_rows(log, keys), columns, fields).dropna(subset=[fields[name] for name in indexed])
+        rows = read_wide(log, columns, fields).dropna(subset=[fields[name] for name in indexed])
         return rows.select("row_key", F.struct(*fields.values()).alias(alias))
 
     # Of two rows with one key at most: both sides are reduced to one line per changed row.
-    met = entries(before, "old").join(entries(before.unionByName(changes), "new"), "row_key", "full")
+    met = entries(near, "old").join(entries(near.unionByName(added), "new"), "row_key", "full")
     met = met.filter(~F.col("old").eqNullSafe(F.col("new")))
 
     def key(side: str) -> Column:

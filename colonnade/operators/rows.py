@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
+from colonnade.model import COORDINATES
+
 # Shuffle groups per row key. Copying the one line per row this often is cheap next to its cells.
 PARTS = 4
 
@@ -18,6 +20,15 @@ def group_by_key(frame: DataFrame, *keys: str) -> GroupedData:
     return frame.withColumn("key_hash", F.xxhash64(*keys)).groupBy("key_hash", *keys)
 
 
+def deal_versions(log: DataFrame) -> DataFrame:
+    """The same cells or entries, dealt over the shuffle partitions by cell and version.
+
+    Spark sorts before it aggregates strings, in the tasks that read: one file that one task reads, cut into cells
+    there, is then one sort. The versions of a hot cell part too, and a partition that is still large can be split.
+    """
+    return log.hint("rebalance", *COORDINATES, "ts", "seq")
+
+
 def join_rows(cells: DataFrame, per_row: DataFrame, how: str, parts: int = PARTS) -> DataFrame:
     """Join ``per_row`` (at most one line per ``row_key``) to the cells of its row.
 

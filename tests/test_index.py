@@ -1,6 +1,7 @@
 """A maintained index against one that is built anew."""
 
 import random
+import re
 
 import pytest
 from conftest import log_frame
@@ -60,6 +61,36 @@ def test_only_changed_keys_are_read(spark, tmp_path):
     assert "GreaterThanOrEqual(row_key,r150)" in plan and "LessThanOrEqual(row_key,r150)" in plan
 
 
+def above_scans(plan):
+    """For each file scan in a plan, the names of the operators above it, nearest first."""
+    nodes = [re.match(r"([\s:+-]*)(?:\*\(\d+\) )?(\w+)(.*)", line).groups() for line in plan.splitlines() if line]
+    for at, (indent, name, rest) in enumerate(nodes):
+        if name == "FileScan":
+            depth, path = len(indent), []
+            for i, n, r in reversed(nodes[:at]):
+                if len(i) < depth:
+                    depth = len(i)
+                    path.append(n + r)
+            yield path
+
+
+def test_no_task_sorts_the_whole_file_it_reads(spark, tmp_path):
+    """One task reads each log, here of one file: its entries are dealt to others before any sort."""
+    old = [(f"r{i}", "info", q, 1, i, "put", "v") for i in range(40) for q in "abc"]
+    new = [(f"r{i}", "info", "a", 2, i, "put", "w") for i in range(20)] + [(None, "info", "a", 2, 0, "put", "w")]
+    for name, rows in (("old", old), ("new", new * 2)):
+        log_frame(spark, rows).coalesce(1).write.parquet(str(tmp_path / name))
+    before, changes = (spark.read.parquet(str(tmp_path / name)) for name in ("old", "new"))
+    told = index_changes(before, changes, INDEXED, COVERED, 2)
+    paths = list(above_scans(told._jdf.queryExecution().executedPlan().toString()))
+    assert len(paths) >= 3 and any("SortAggregate" in node for path in paths for node in path)
+    for path in paths:
+        assert re.match("Exchange|BroadcastExchange", next(n for n in path if re.match("Sort|.*Exchange", n)))
+    entries = told.collect()
+    assert sorted(r.row_key for r in entries if r.op == "delete_row") == sorted(f"v\0v\0r{i}" for i in range(20))
+    assert sorted(r.value for r in entries if r.qualifier == "key") == sorted(f"r{i}" for i in range(20))
+
+
 def test_values_with_the_parting_character_fail(spark):
     bad = [("r1", "info", "a", 1, 0, "put", "x\u0000y"), ("r1", "info", "b", 1, 1, "put", "z")]
     with pytest.raises(Exception, match="zero character"):
